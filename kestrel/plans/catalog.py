@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from kestrel.operators import logs as lg
 from kestrel.operators import traffic as tr
 from kestrel.plans import params as P
 from kestrel.sources import derived
@@ -47,6 +48,38 @@ def q_key_zone_pivot(spark, sf_dir):
     return tr.key_zone_pivot(_traffic(spark, sf_dir), P.HOME, P.KEY_ZONES)
 
 
+def _logs(spark, sf_dir):
+    return lg.parse_logs(derived.log_lines(Tables(spark, sf_dir).events))
+
+
+def q_log_lines(spark, sf_dir):
+    return derived.log_lines(Tables(spark, sf_dir).events)
+
+
+def q_parse_logs(spark, sf_dir):
+    return _logs(spark, sf_dir)
+
+
+def q_activity_30min(spark, sf_dir):
+    return lg.activity(_logs(spark, sf_dir), "30 minutes")
+
+
+def q_activity_hourly(spark, sf_dir):
+    return lg.activity(_logs(spark, sf_dir), "1 hour")
+
+
+def q_inactivity_gaps(spark, sf_dir):
+    return lg.inactivity_gaps(_logs(spark, sf_dir), P.SLOT_MINUTES, by=("composante",))
+
+
+def q_incomplete_requests(spark, sf_dir):
+    return lg.incomplete_requests(_logs(spark, sf_dir), P.INCOMPLETE_COMPONENT)
+
+
+def q_component_metrics(spark, sf_dir):
+    return lg.component_metrics(derived.component_metrics_input(Tables(spark, sf_dir).events))
+
+
 QUERIES: dict[str, Query] = {
     "traffic_table": q_traffic_table,
     "traffic_rows_per_year": q_traffic_rows_per_year,
@@ -54,4 +87,11 @@ QUERIES: dict[str, Query] = {
     "outwardness": q_outwardness,
     "outwardness_full": q_outwardness_full,
     "key_zone_pivot": q_key_zone_pivot,
+    "log_lines": q_log_lines,
+    "parse_logs": q_parse_logs,
+    "activity_30min": q_activity_30min,
+    "activity_hourly": q_activity_hourly,
+    "inactivity_gaps": q_inactivity_gaps,
+    "incomplete_requests": q_incomplete_requests,
+    "component_metrics": q_component_metrics,
 }

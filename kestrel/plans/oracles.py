@@ -66,6 +66,94 @@ GROUP BY "YEAR" ORDER BY "YEAR"
 """
 
 
+def _list(values) -> str:
+    return "[" + ", ".join(_q(v) for v in values) + "]"
+
+
+def _events_cte() -> str:
+    from kestrel.sources.derived import COMPONENT_OF_EVENT
+    comp = " ".join(f"WHEN {_q(e)} THEN {_q(c)}" for e, c in COMPONENT_OF_EVENT.items())
+    return f"""
+ev AS (
+  SELECT *, CAST(regexp_extract(props, '"k":\\s*(\\d+)', 1) AS INTEGER) AS k,
+         CASE event_type {comp} END AS comp
+  FROM events)"""
+
+
+def _logs_cte() -> str:
+    from kestrel.operators.logs import LOG_PATTERNS as R
+    from kestrel.sources.derived import INCOMPLETE_BELOW_K, LOG_LEVELS, LOG_MESSAGES
+    iso = "'%Y-%m-%dT%H:%M:%S'"
+
+    def ext(name):
+        return f"regexp_extract(log, {_q(R[name])}, 1)"
+
+    return f"""{_events_cte()},
+lines AS (
+  SELECT strftime(ts, {iso}) || '|' ||
+         CASE WHEN k < {INCOMPLETE_BELOW_K} THEN '' ELSE strftime(ts + to_minutes(k), {iso}) END
+         || ' - ' || comp || ' ' || ({_list(LOG_LEVELS)})[event_id % {len(LOG_LEVELS)} + 1]
+         || ' - ' || regexp_replace(md5(CAST(event_id AS VARCHAR)),
+                                    '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})$', '\\1-\\2-\\3-\\4-\\5')
+         || ' - ' || ({_list(LOG_MESSAGES)})[user_id % {len(LOG_MESSAGES)} + 1] AS log
+  FROM ev),
+parsed AS (
+  SELECT {ext("day")} AS day,
+         TRY_CAST(NULLIF({ext("date_start")}, '') AS TIMESTAMP) AS date_start,
+         TRY_CAST(NULLIF({ext("date_end")}, '') AS TIMESTAMP) AS date_end,
+         {ext("composante")} AS composante, {ext("niveau_log")} AS niveau_log,
+         {ext("correlation_id")} AS correlation_id, {ext("message")} AS message
+  FROM lines)"""
+
+
+def _activity(width: str) -> str:
+    return f"""WITH {_logs_cte()}
+SELECT day, time_bucket(INTERVAL '{width}', date_start) AS period_start,
+       time_bucket(INTERVAL '{width}', date_start) + INTERVAL '{width}' AS period_end,
+       COUNT(*) AS processed_requests_count
+FROM parsed WHERE date_start IS NOT NULL GROUP BY 1, 2"""
+
+
+def _gaps() -> str:
+    m = P.SLOT_MINUTES
+    return f"""WITH {_logs_cte()},
+active AS (SELECT DISTINCT composante, time_bucket(INTERVAL '{m} minutes', date_start) AS slot
+           FROM parsed WHERE date_start IS NOT NULL),
+bounds AS (SELECT composante, date_trunc('day', min(slot)) AS lo, date_trunc('day', max(slot)) AS hi
+           FROM active GROUP BY 1),
+calendar AS (SELECT composante, unnest(generate_series(lo, hi + INTERVAL '1 day' - INTERVAL '{m} minutes',
+                                                       INTERVAL '{m} minutes')) AS slot FROM bounds),
+empty AS (SELECT c.composante, c.slot FROM calendar c
+          WHERE NOT EXISTS (SELECT 1 FROM active a WHERE a.composante = c.composante AND a.slot = c.slot)),
+isl AS (SELECT composante, strftime(slot, '%Y-%m-%d') AS day, slot,
+               CAST(epoch(slot) AS BIGINT) // {m * 60}
+               - row_number() OVER (PARTITION BY composante, strftime(slot, '%Y-%m-%d') ORDER BY slot) AS grp
+        FROM empty)
+SELECT composante, day, min(slot) AS inactive_start, max(slot) + INTERVAL '{m} minutes' AS inactive_end
+FROM isl GROUP BY composante, day, grp"""
+
+
+def _incomplete() -> str:
+    return f"""WITH {_logs_cte()}
+SELECT day, time_bucket(INTERVAL '30 minutes', date_start) AS window_start,
+       time_bucket(INTERVAL '30 minutes', date_start) + INTERVAL '30 minutes' AS window_end,
+       CAST(COUNT(*) FILTER (WHERE date_end IS NULL) AS BIGINT) AS incomplete_requests_count
+FROM parsed WHERE composante = {_q(P.INCOMPLETE_COMPONENT)} AND date_start IS NOT NULL
+GROUP BY 1, 2"""
+
+
+def _metrics() -> str:
+    return f"""WITH {_events_cte()},
+m AS (SELECT ts AS ts_, comp AS component, 10 + CAST(floor(value) AS INTEGER) % 80 AS ram_usage,
+             20 + k % 60 AS cpu_usage FROM ev)
+SELECT time_bucket(INTERVAL '1 minute', ts_) AS datetime_timestamp, component,
+       COUNT(*) AS requests_count, max(ram_usage) AS max_used_ram, max(cpu_usage) AS max_used_cpu,
+       avg(ram_usage) AS avg_used_ram, avg(cpu_usage) AS avg_used_cpu,
+       quantile_disc(ram_usage, 0.7) AS percentile_70_used_ram,
+       quantile_disc(cpu_usage, 0.7) AS percentile_70_used_cpu
+FROM m WHERE ts_ IS NOT NULL GROUP BY 1, 2"""
+
+
 def oracles() -> dict[str, str]:
     home = _q(P.HOME)
     return {
@@ -77,4 +165,11 @@ def oracles() -> dict[str, str]:
         "outwardness": _outwardness("INNER"),
         "outwardness_full": _outwardness("FULL OUTER"),
         "key_zone_pivot": _pivot(),
+        "log_lines": f"WITH {_logs_cte()} SELECT log FROM lines",
+        "parse_logs": f"WITH {_logs_cte()} SELECT * FROM parsed",
+        "activity_30min": _activity("30 minutes"),
+        "activity_hourly": _activity("1 hour"),
+        "inactivity_gaps": _gaps(),
+        "incomplete_requests": _incomplete(),
+        "component_metrics": _metrics(),
     }

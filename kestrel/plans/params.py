@@ -5,3 +5,6 @@
 HOME = "NATION_19"
 # Key zones for the pivot, in output column order.
 KEY_ZONES = ("NATION_3", "NATION_1", "NATION_24", "NATION_7", "NATION_12", "NATION_0")
+# Log supervision: gap slot width and the component whose open requests count.
+SLOT_MINUTES = 15
+INCOMPLETE_COMPONENT = "B"

@@ -48,3 +48,61 @@ def traffic_table(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
     return (flows.join(o_names, "s_nationkey").join(d_names, "c_nationkey")
             .select("ORIGIN_COUNTRY_NAME", "DEST_COUNTRY_NAME",
                     F.col("COUNT").cast("long").alias("COUNT"), "YEAR"))
+
+
+# ------------------------------------------------------------------- logs (E)
+# Log levels and messages of the reference's log lines.
+LOG_LEVELS = ("DEBUG", "INFO", "WARNING", "ERROR")
+LOG_MESSAGES = ("doing great stuff here", "processing request", "an error occurred",
+                "task completed successfully")
+# Our mapping of event types to components, and of JSON ``k`` to duration.
+COMPONENT_OF_EVENT = {"click": "A", "view": "B", "purchase": "C", "signup": "D", "error": "E"}
+INCOMPLETE_BELOW_K = 10  # k < 10 -> request has no end time
+
+
+def event_k(props: str = "props"):
+    """Integer ``k`` of the ``{"k": n}`` JSON props."""
+    return F.regexp_extract(F.col(props), r'"k":\s*(\d+)', 1).cast("int")
+
+
+def event_component(col: str = "event_type"):
+    expr = F.lit(None).cast("string")
+    for ev, comp in COMPONENT_OF_EVENT.items():
+        expr = F.when(F.col(col) == ev, F.lit(comp)).otherwise(expr)
+    return expr
+
+
+def log_lines(events: DataFrame) -> DataFrame:
+    """One log line per event: ``start|end - C LEVEL - uuid - message``.
+
+    start = event time; end = start + k minutes, empty when k < 10;
+    component from the event type; level from event_id, message from
+    user_id; correlation id = md5 of event_id laid out as a UUID.
+    """
+    from kestrel.functions.timefn import add_minutes, iso_seconds
+
+    k = event_k()
+    start = iso_seconds(F.col("ts"))
+    end = F.when(k < INCOMPLETE_BELOW_K, F.lit("")).otherwise(
+        iso_seconds(add_minutes(F.col("ts"), k)))
+    levels = F.array(*[F.lit(x) for x in LOG_LEVELS])
+    messages = F.array(*[F.lit(x) for x in LOG_MESSAGES])
+    level = F.element_at(levels, (F.col("event_id") % len(LOG_LEVELS)).cast("int") + 1)
+    message = F.element_at(messages, (F.col("user_id") % len(LOG_MESSAGES)).cast("int") + 1)
+    uuid = F.regexp_replace(F.md5(F.col("event_id").cast("string")),
+                            r"^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+    line = F.concat(start, F.lit("|"), end, F.lit(" - "), event_component(), F.lit(" "),
+                    level, F.lit(" - "), uuid, F.lit(" - "), message)
+    return events.select(line.alias("log"))
+
+
+def component_metrics_input(events: DataFrame) -> DataFrame:
+    """Metric samples: (timestamp, component, requests_count=1, ram_usage, cpu_usage).
+
+    ram_usage in 10..89 from the event value, cpu_usage in 20..79 from k.
+    """
+    return events.select(
+        F.col("ts").alias("timestamp"), event_component().alias("component"),
+        F.lit(1).alias("requests_count"),
+        (F.lit(10) + F.floor("value").cast("int") % 80).alias("ram_usage"),
+        (F.lit(20) + event_k() % 60).alias("cpu_usage"))
