@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from kestrel.operators import logs as lg
+from kestrel.operators import tracking as tk
 from kestrel.operators import traffic as tr
 from kestrel.plans import params as P
 from kestrel.sources import derived
@@ -80,6 +81,43 @@ def q_component_metrics(spark, sf_dir):
     return lg.component_metrics(derived.component_metrics_input(Tables(spark, sf_dir).events))
 
 
+def _gps_cleaned(spark, sf_dir):
+    return tk.clean(tk.normalize(derived.gps_raw(Tables(spark, sf_dir).events)))
+
+
+def _pois(spark, sf_dir):
+    return derived.pois_from_nation(Tables(spark, sf_dir).nation)
+
+
+def q_gps_clean(spark, sf_dir):
+    return tk.good_rows(_gps_cleaned(spark, sf_dir))
+
+
+def q_gps_rejects(spark, sf_dir):
+    return tk.rejected_rows(_gps_cleaned(spark, sf_dir))
+
+
+def q_gps_acceleration(spark, sf_dir):
+    good = tk.good_rows(_gps_cleaned(spark, sf_dir))
+    return tk.driving_harshness(tk.compute_acceleration(good))
+
+
+def q_gps_nearest_poi(spark, sf_dir):
+    good = tk.good_rows(_gps_cleaned(spark, sf_dir))
+    return tk.resolve_pois(good, _pois(spark, sf_dir))
+
+
+def q_gps_enriched(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return tk.enrich(derived.gps_raw(t.events), _pois(spark, sf_dir))
+
+
+def q_driver_kpis(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return tk.driver_kpis(q_gps_enriched(spark, sf_dir), derived.drivers_from_customer(t.customer),
+                          derived.assignments_from_customer(t.customer))
+
+
 QUERIES: dict[str, Query] = {
     "traffic_table": q_traffic_table,
     "traffic_rows_per_year": q_traffic_rows_per_year,
@@ -94,4 +132,10 @@ QUERIES: dict[str, Query] = {
     "inactivity_gaps": q_inactivity_gaps,
     "incomplete_requests": q_incomplete_requests,
     "component_metrics": q_component_metrics,
+    "gps_clean": q_gps_clean,
+    "gps_rejects": q_gps_rejects,
+    "gps_acceleration": q_gps_acceleration,
+    "gps_nearest_poi": q_gps_nearest_poi,
+    "gps_enriched": q_gps_enriched,
+    "driver_kpis": q_driver_kpis,
 }

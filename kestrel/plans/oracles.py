@@ -154,6 +154,95 @@ SELECT time_bucket(INTERVAL '1 minute', ts_) AS datetime_timestamp, component,
 FROM m WHERE ts_ IS NOT NULL GROUP BY 1, 2"""
 
 
+def _gps_cte() -> str:
+    """Normalized GPS text (dots), typed good rows, acceleration, nearest POI."""
+    deg = "0.017453292519943295"
+
+    def dist(lat1, lng1, alt1, lat2, lng2, alt2):
+        sl = f"sin((({lat2}) - ({lat1})) * {deg} / 2.0)"
+        sg = f"sin((({lng2}) - ({lng1})) * {deg} / 2.0)"
+        a = f"(({sl} * {sl}) + (((cos(({lat1}) * {deg}) * cos(({lat2}) * {deg})) * {sg}) * {sg}))"
+        c = f"(atan2(sqrt({a}), sqrt(1.0 - {a})) * 2.0)"
+        d = f"((6371.0 * {c}) * 1000.0)"
+        h = f"COALESCE(CAST({alt1} AS DOUBLE) - CAST({alt2} AS DOUBLE), 0.0)"
+        return f"sqrt(({d} * {d}) + ({h} * {h}))"
+
+    return f"""{_events_cte()},
+ev2 AS (SELECT *, CAST(round(value * 100.0) AS BIGINT) AS v FROM ev),
+raw AS (
+  SELECT event_id, CAST(user_id AS VARCHAR) AS vin, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS dt,
+         CASE WHEN k = 0 THEN '' ELSE '48.' || lpad(CAST(k AS VARCHAR), 2, '0') END AS lat,
+         '2.' || lpad(CAST(v AS VARCHAR), 5, '0') AS lng, CAST(k AS VARCHAR) AS altitude,
+         CASE WHEN k = 1 THEN 'n/a' ELSE CAST(v AS VARCHAR) END AS speed,
+         event_type <> 'view' AS motion,
+         CAST(v // 100 AS VARCHAR) || '.' || lpad(CAST(v % 100 AS VARCHAR), 2, '0') AS power,
+         CAST(v // 50 AS VARCHAR) || '.5' AS distance, CAST(k AS VARCHAR) AS engineHours
+  FROM ev2),
+typed AS (
+  SELECT *, TRY_CAST(dt AS TIMESTAMP) AS t_dt, TRY_CAST(lat AS DOUBLE) AS t_lat,
+         TRY_CAST(lng AS DOUBLE) AS t_lng, CAST(TRY_CAST(altitude AS DOUBLE) AS INTEGER) AS t_alt,
+         CAST(TRY_CAST(speed AS DOUBLE) AS INTEGER) AS t_speed, TRY_CAST(power AS DOUBLE) AS t_power,
+         TRY_CAST(distance AS DOUBLE) AS t_distance,
+         CAST(TRY_CAST(engineHours AS DOUBLE) AS INTEGER) AS t_eh
+  FROM raw),
+judged AS (
+  SELECT *, CASE
+    WHEN vin IS NULL OR COALESCE(trim(dt), '') = '' OR COALESCE(trim(lat), '') = ''
+         OR COALESCE(trim(lng), '') = '' THEN 'missing_key'
+    WHEN t_dt IS NULL THEN 'bad_dt' WHEN t_lat IS NULL THEN 'bad_lat' WHEN t_lng IS NULL THEN 'bad_lng'
+    WHEN altitude <> '' AND t_alt IS NULL THEN 'bad_altitude'
+    WHEN speed <> '' AND t_speed IS NULL THEN 'bad_speed'
+    WHEN power <> '' AND t_power IS NULL THEN 'bad_power'
+    WHEN distance <> '' AND t_distance IS NULL THEN 'bad_distance'
+    WHEN engineHours <> '' AND t_eh IS NULL THEN 'bad_engineHours'
+    WHEN COALESCE(t_speed > 0, false) AND COALESCE(NOT motion, false) THEN 'moving_while_parked'
+  END AS reject_reason
+  FROM typed),
+good AS (
+  SELECT event_id, vin, t_dt AS dt, t_lat AS lat, t_lng AS lng, t_alt AS altitude, t_speed AS speed,
+         motion, t_power AS power, t_distance AS distance, t_eh AS engineHours
+  FROM judged WHERE reject_reason IS NULL),
+lagged AS (
+  SELECT *, lag(dt) OVER w AS pdt, lag(speed) OVER w AS ps FROM good
+  WINDOW w AS (PARTITION BY vin ORDER BY dt NULLS FIRST, speed NULLS FIRST, lat NULLS FIRST,
+                                         lng NULLS FIRST)),
+accel AS (
+  SELECT * EXCLUDE (pdt, ps, dts), acceleration - 4.0 AS accelerationHarshness,
+         -1.0 * (acceleration + 6.0) AS breakingHarshness
+  FROM (SELECT *, CASE WHEN dts IS NOT NULL AND ps IS NOT NULL AND dts <> 0
+                       THEN CAST(speed - ps AS DOUBLE) * 0.44704 / CAST(dts AS DOUBLE) END AS acceleration
+        FROM (SELECT *, epoch_us(dt) // 1000000 - epoch_us(pdt) // 1000000 AS dts FROM lagged))),
+poi AS (
+  SELECT n_name AS name, 48.0 + CAST(n_nationkey AS DOUBLE) * 0.04 AS plat, 2.05 AS plng,
+         CAST(NULL AS DOUBLE) AS palt, CAST(1 + n_regionkey AS DOUBLE) AS radius FROM nation),
+nearest AS (
+  SELECT event_id, CASE WHEN d <= radius * 1000.0 THEN name END AS poi FROM (
+    SELECT g.event_id, p.name, p.radius,
+           {dist("g.lat", "g.lng", "g.altitude", "p.plat", "p.plng", "p.palt")} AS d,
+           row_number() OVER (PARTITION BY g.event_id ORDER BY
+             {dist("g.lat", "g.lng", "g.altitude", "p.plat", "p.plng", "p.palt")}, p.name) AS rn
+    FROM good g, poi p) WHERE rn = 1),
+enriched AS (
+  SELECT a.*, n.poi FROM accel a LEFT JOIN nearest n USING (event_id))"""
+
+
+GPS_COLS = "vin, dt, lat, lng, altitude, speed, motion, power, distance, engineHours"
+
+
+def _kpis() -> str:
+    # "+ 0.0" turns DuckDB's rounded -0.0 into 0.0, as Spark's round returns
+    return f"""WITH {_gps_cte()}
+SELECT time_bucket(INTERVAL '1 hour', e.dt) AS hour, c.c_name AS driverName,
+       round(sum(distance), 2) AS distance, round(sum(distance) * 0.00039, 3) AS fuelConsumption,
+       count(*) FILTER (WHERE accelerationHarshness > 0) AS harshAccelerationsCount,
+       count(*) FILTER (WHERE breakingHarshness > 0) AS harshBreakingsCount,
+       round(max(acceleration), 3) + 0.0 AS maxAcceleration,
+       round(min(acceleration), 3) + 0.0 AS maxBreaking,
+       count(DISTINCT poi) AS visitedPOIsCount
+FROM enriched e JOIN customer c ON e.vin = CAST(c.c_custkey AS VARCHAR)
+GROUP BY 1, 2"""
+
+
 def oracles() -> dict[str, str]:
     home = _q(P.HOME)
     return {
@@ -172,4 +261,14 @@ def oracles() -> dict[str, str]:
         "inactivity_gaps": _gaps(),
         "incomplete_requests": _incomplete(),
         "component_metrics": _metrics(),
+        "gps_clean": f"WITH {_gps_cte()} SELECT {GPS_COLS} FROM good",
+        "gps_rejects": f"WITH {_gps_cte()} SELECT {GPS_COLS}, reject_reason FROM judged "
+                       "WHERE reject_reason IS NOT NULL",
+        "gps_acceleration": f"WITH {_gps_cte()} SELECT {GPS_COLS}, acceleration, "
+                            "accelerationHarshness, breakingHarshness FROM accel",
+        "gps_nearest_poi": f"WITH {_gps_cte()} SELECT {GPS_COLS}, poi FROM good "
+                           "LEFT JOIN nearest USING (event_id)",
+        "gps_enriched": f"WITH {_gps_cte()} SELECT {GPS_COLS}, acceleration, "
+                        "accelerationHarshness, breakingHarshness, poi FROM enriched",
+        "driver_kpis": _kpis(),
     }

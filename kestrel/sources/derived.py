@@ -106,3 +106,50 @@ def component_metrics_input(events: DataFrame) -> DataFrame:
         F.lit(1).alias("requests_count"),
         (F.lit(10) + F.floor("value").cast("int") % 80).alias("ram_usage"),
         (F.lit(20) + event_k() % 60).alias("cpu_usage"))
+
+
+# --------------------------------------------------------------- tracking (C)
+def gps_raw(events: DataFrame) -> DataFrame:
+    """Daily-report shape, every column as text with decimal commas.
+
+    vin = user_id, dt = event time; v = round(value * 100):
+    lat = 48 + k/100, lng = 2 + v/100000, speed = v, power = v/100,
+    distance = (v div 50) + 0.5 metres, altitude = engineHours = k,
+    motion = "0" for views else "1" (views with speed > 0 are rejects).
+    Deterministic junk: k = 0 has no latitude, k = 1 an unparsable speed.
+    The text is built from integers, so any engine parses the same numbers.
+    """
+    k = event_k()
+    v = F.round(F.col("value") * 100.0).cast("long")
+    ks = k.cast("string")
+    return events.select(
+        F.col("user_id").cast("string").alias("vin"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("dt"),
+        F.when(k == 0, F.lit("")).otherwise(F.concat(F.lit("48,"), F.lpad(ks, 2, "0"))).alias("lat"),
+        F.concat(F.lit("2,"), F.lpad(v.cast("string"), 5, "0")).alias("lng"),
+        ks.alias("altitude"),
+        F.when(k == 1, F.lit("n/a")).otherwise(v.cast("string")).alias("speed"),
+        F.when(F.col("event_type") == "view", F.lit("0")).otherwise(F.lit("1")).alias("motion"),
+        F.concat((v / 100).cast("long").cast("string"), F.lit(","),
+                 F.lpad((v % 100).cast("string"), 2, "0")).alias("power"),
+        F.concat((v / 50).cast("long").cast("string"), F.lit(",5")).alias("distance"),
+        ks.alias("engineHours"))
+
+
+def pois_from_nation(nation: DataFrame) -> DataFrame:
+    """POIs: one per nation at lat 48 + key * 0.04, lng 2.05, radius 1 + region km."""
+    return nation.select(F.col("n_name").alias("name"),
+                         (F.lit(48.0) + F.col("n_nationkey").cast("double") * F.lit(0.04)).alias("lat"),
+                         F.lit(2.05).alias("lng"), F.lit(None).cast("double").alias("altitude"),
+                         (F.lit(1) + F.col("n_regionkey")).cast("double").alias("radius"))
+
+
+def drivers_from_customer(customer: DataFrame) -> DataFrame:
+    return customer.select(F.col("c_custkey").cast("string").alias("id"),
+                           F.col("c_name").alias("name"))
+
+
+def assignments_from_customer(customer: DataFrame) -> DataFrame:
+    """Vehicle ``c_custkey`` is driven by customer ``c_custkey`` (vin = user_id)."""
+    return customer.select(F.col("c_custkey").cast("string").alias("driverId"),
+                           F.col("c_custkey").cast("string").alias("vehicle"))
