@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from kestrel.operators import logs as lg
+from kestrel.operators import maintenance as mt
 from kestrel.operators import tracking as tk
 from kestrel.operators import traffic as tr
 from kestrel.plans import params as P
@@ -118,6 +119,29 @@ def q_driver_kpis(spark, sf_dir):
                           derived.assignments_from_customer(t.customer))
 
 
+HISTORY_ORDER = (mt.START, "numero_intervention", mt.DUE, mt.STATE, "trace_id")
+
+
+def _states(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return mt.assign_state(derived.interventions(t.orders),
+                           derived.traceability(t.lineitem, t.orders))
+
+
+def q_assign_state(spark, sf_dir):
+    return _states(spark, sf_dir).select(*mt.STATE_COLUMNS)
+
+
+def q_next_state(spark, sf_dir):
+    return mt.next_state(_states(spark, sf_dir), HISTORY_ORDER).select(
+        *mt.STATE_COLUMNS, "first_element", "element_trouve", "next_rc")
+
+
+def q_lifetime(spark, sf_dir):
+    return mt.lifetime(_states(spark, sf_dir), HISTORY_ORDER, as_struct=False).select(
+        *mt.STATE_COLUMNS, "duree_vie_jour", "duree_vie_km", "type_individu")
+
+
 QUERIES: dict[str, Query] = {
     "traffic_table": q_traffic_table,
     "traffic_rows_per_year": q_traffic_rows_per_year,
@@ -138,4 +162,7 @@ QUERIES: dict[str, Query] = {
     "gps_nearest_poi": q_gps_nearest_poi,
     "gps_enriched": q_gps_enriched,
     "driver_kpis": q_driver_kpis,
+    "assign_state": q_assign_state,
+    "next_state": q_next_state,
+    "lifetime": q_lifetime,
 }

@@ -243,6 +243,83 @@ FROM enriched e JOIN customer c ON e.vin = CAST(c.c_custkey AS VARCHAR)
 GROUP BY 1, 2"""
 
 
+MAINT_CTE = """
+iv AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS numero_intervention, o_orderpriority AS code_operation,
+         CAST(o_custkey AS VARCHAR) AS id_materiel, o_orderdate AS date_debut_intervention,
+         o_orderdate + to_days(CAST(1 + o_orderkey % 3 AS INTEGER)) AS date_fin_intervention,
+         CAST(date_diff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE)) * 40
+              + o_orderkey % 40 AS INTEGER) AS releve_km
+  FROM orders),
+tr AS (
+  SELECT CAST(o.o_custkey AS VARCHAR) AS id_materiel,
+         CASE l.l_returnflag WHEN 'R' THEN 'RC' WHEN 'N' THEN 'NC' WHEN 'A' THEN 'C' END AS etat_organe,
+         l.l_shipdate AS date_echeance, l.l_orderkey * 100 + l.l_linenumber AS trace_id
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+w AS (
+  SELECT *, lead(date_debut_intervention) OVER (PARTITION BY id_materiel
+              ORDER BY date_debut_intervention, numero_intervention) AS nxt
+  FROM iv),
+w2 AS (SELECT *, (nxt - date_debut_intervention) * 0.2 AS delta FROM w),
+j13 AS (
+  SELECT w2.id_materiel, COALESCE(t.etat_organe, 'TM') AS etat_organe, w2.date_debut_intervention,
+         w2.date_fin_intervention, w2.releve_km, w2.numero_intervention, t.date_echeance, t.trace_id
+  FROM w2 LEFT JOIN tr t ON w2.id_materiel = t.id_materiel
+       AND t.date_echeance > w2.date_debut_intervention - w2.delta
+       AND t.date_echeance <= w2.nxt - w2.delta),
+h AS (
+  SELECT *, row_number() OVER (PARTITION BY id_materiel ORDER BY date_debut_intervention,
+            numero_intervention, date_echeance NULLS FIRST, etat_organe NULLS FIRST,
+            trace_id NULLS FIRST) AS rn
+  FROM j13),
+facts AS (
+  SELECT id_materiel,
+         arg_min(etat_organe, rn) AS f_state,
+         min(rn) FILTER (WHERE rn > 1 AND etat_organe IN ('RC', 'NC', 'TM')) AS n_rn,
+         min(rn) FILTER (WHERE rn > 1 AND etat_organe = 'C') AS c1_rn,
+         max(rn) FILTER (WHERE rn > 1 AND etat_organe = 'C') AS cl_rn,
+         max(CASE WHEN rn > 1 AND etat_organe = 'RC' THEN 1 ELSE 0 END) AS next_rc
+  FROM h GROUP BY 1),
+facts2 AS (
+  SELECT f.*, n.etat_organe AS n_state FROM facts f
+  LEFT JOIN h n ON n.id_materiel = f.id_materiel AND n.rn = f.n_rn)
+"""
+
+
+def _lifetime() -> str:
+    return f"""WITH {MAINT_CTE},
+ruled AS (
+  SELECT *, CASE
+    WHEN f_state = 'RC' AND n_state = 'RC' THEN 1
+    WHEN f_state = 'RC' AND n_state = 'NC' THEN 2
+    WHEN f_state = 'RC' AND n_rn IS NULL AND c1_rn IS NOT NULL THEN 3
+    WHEN f_state = 'NC' AND n_state = 'RC' AND c1_rn < n_rn THEN 4
+    WHEN f_state = 'NC' AND n_state = 'NC' AND c1_rn < n_rn THEN 5
+    WHEN f_state = 'NC' AND n_state = 'TM' AND c1_rn < n_rn THEN 6
+    WHEN f_state = 'TM' AND n_state = 'RC' AND c1_rn < n_rn THEN 7
+    WHEN f_state = 'TM' AND n_state = 'NC' AND c1_rn < n_rn THEN 8
+    WHEN f_state = 'TM' AND n_state = 'TM' AND c1_rn < n_rn THEN 9 END AS rule
+  FROM facts2),
+plan AS (
+  SELECT id_materiel,
+         CASE WHEN rule IN (1, 2) THEN 'defaillant' WHEN rule IN (3, 6) THEN 'censure_droite'
+              WHEN rule IN (4, 5, 7, 8) THEN 'censure_gauche' WHEN rule = 9 THEN 'censure' END AS cls,
+         CASE WHEN rule IN (1, 2, 3) THEN 1 ELSE c1_rn END AS from_rn,
+         CASE WHEN rule = 3 THEN cl_rn ELSE n_rn END AS to_rn,
+         CASE WHEN rule IN (1, 2, 3, 4, 6) THEN 1 ELSE c1_rn END AS row_rn
+  FROM ruled WHERE rule IS NOT NULL),
+res AS (
+  SELECT p.id_materiel, p.row_rn, p.cls,
+         date_diff('day', CAST(fr.date_fin_intervention AS DATE),
+                   CAST(tt.date_debut_intervention AS DATE)) AS jour,
+         tt.releve_km - fr.releve_km AS km
+  FROM plan p JOIN h fr ON fr.id_materiel = p.id_materiel AND fr.rn = p.from_rn
+              JOIN h tt ON tt.id_materiel = p.id_materiel AND tt.rn = p.to_rn)
+SELECT h.id_materiel, h.etat_organe, h.date_debut_intervention, h.date_fin_intervention, h.releve_km,
+       CAST(r.jour AS INTEGER) AS duree_vie_jour, r.km AS duree_vie_km, r.cls AS type_individu
+FROM h LEFT JOIN res r ON r.id_materiel = h.id_materiel AND r.row_rn = h.rn"""
+
+
 def oracles() -> dict[str, str]:
     home = _q(P.HOME)
     return {
@@ -271,4 +348,11 @@ def oracles() -> dict[str, str]:
         "gps_enriched": f"WITH {_gps_cte()} SELECT {GPS_COLS}, acceleration, "
                         "accelerationHarshness, breakingHarshness, poi FROM enriched",
         "driver_kpis": _kpis(),
+        "assign_state": f"WITH {MAINT_CTE} SELECT id_materiel, etat_organe, date_debut_intervention, "
+                        "date_fin_intervention, releve_km FROM j13",
+        "next_state": f"""WITH {MAINT_CTE}
+SELECT h.id_materiel, h.etat_organe, h.date_debut_intervention, h.date_fin_intervention, h.releve_km,
+       f.f_state AS first_element, f.n_state AS element_trouve, CAST(f.next_rc AS INTEGER) AS next_rc
+FROM h JOIN facts2 f USING (id_materiel)""",
+        "lifetime": _lifetime(),
     }

@@ -153,3 +153,41 @@ def assignments_from_customer(customer: DataFrame) -> DataFrame:
     """Vehicle ``c_custkey`` is driven by customer ``c_custkey`` (vin = user_id)."""
     return customer.select(F.col("c_custkey").cast("string").alias("driverId"),
                            F.col("c_custkey").cast("string").alias("vehicle"))
+
+
+# ------------------------------------------------------------ maintenance (D)
+# Fixed mapping of line-item return flags to organ states.
+STATE_OF_RETURNFLAG = {"R": "RC", "N": "NC", "A": "C"}
+
+
+def interventions(orders: DataFrame) -> DataFrame:
+    """One intervention per order; the equipment is the customer.
+
+    end = start + (1 + orderkey mod 3) days; km = 40 per day since
+    1992-01-01 + orderkey mod 40 (grows with time, no window needed).
+    """
+    days = (F.lit(1) + F.col("o_orderkey") % 3).cast("int")
+    return orders.select(
+        F.col("o_orderkey").cast("string").alias("numero_intervention"),
+        F.col("o_orderpriority").alias("code_operation"),
+        F.col("o_custkey").cast("string").alias("id_materiel"),
+        F.col("o_orderdate").alias("date_debut_intervention"),
+        (F.col("o_orderdate") + F.make_dt_interval(days, F.lit(0), F.lit(0), F.lit(0)))
+        .alias("date_fin_intervention"),
+        (F.datediff(F.col("o_orderdate").cast("date"), F.lit("1992-01-01").cast("date")) * 40
+         + (F.col("o_orderkey") % 40).cast("int")).alias("releve_km"))
+
+
+def traceability(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    """One state per line item, due at its ship date, for the order's customer.
+
+    ``trace_id`` (orderkey * 100 + linenumber) is a tie-breaker for ordering.
+    """
+    state = F.lit(None).cast("string")
+    for flag, st in STATE_OF_RETURNFLAG.items():
+        state = F.when(F.col("l_returnflag") == flag, F.lit(st)).otherwise(state)
+    return (lineitem.select("l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate")
+            .join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+            .select(F.col("o_custkey").cast("string").alias("id_materiel"), state.alias("etat_organe"),
+                    F.col("l_shipdate").alias("date_echeance"),
+                    (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("trace_id")))
