@@ -9,9 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kestrel.operators import logs as lg
 from kestrel.operators import maintenance as mt
+from kestrel.operators import matching as mm
 from kestrel.operators import tracking as tk
 from kestrel.operators import traffic as tr
 from kestrel.plans import params as P
@@ -142,6 +144,48 @@ def q_lifetime(spark, sf_dir):
         *mt.STATE_COLUMNS, "duree_vie_jour", "duree_vie_km", "type_individu")
 
 
+def _part_sides(spark, sf_dir):
+    part = Tables(spark, sf_dir).part
+    block = list(P.MATCH_BLOCK)
+
+    def side(p):
+        return part.select(*block, F.col("p_partkey").alias(f"{p}_partkey"),
+                           F.col("p_name").alias(f"{p}_name"))
+    return side("a"), side("b"), block
+
+
+MATCH_COLUMNS = ("a_partkey", "b_partkey", "a_name", "b_name", *P.MATCH_BLOCK, "score")
+
+
+def _self_pairs():
+    return F.col("a_partkey") < F.col("b_partkey")
+
+
+def q_fuzzy_match(spark, sf_dir):
+    a, b, block = _part_sides(spark, sf_dir)
+    return mm.fuzzy_match(a, b, block, "a_name", "b_name", P.MATCH_THRESHOLD,
+                          pair_filter=_self_pairs()).select(*MATCH_COLUMNS)
+
+
+def q_phonetic_match(spark, sf_dir):
+    return mm.phonetic_columns(q_fuzzy_match(spark, sf_dir), "a_name", "b_name")
+
+
+def _combined(spark, sf_dir, mode):
+    a, b, block = _part_sides(spark, sf_dir)
+    return mm.combined_match(a, b, block, "a_name", "b_name", P.MATCH_THRESHOLD, mode=mode,
+                             pair_filter=_self_pairs()).select(
+        *MATCH_COLUMNS, "sound_emetteur", "sound_client")
+
+
+def q_combined_match_and(spark, sf_dir):
+    return _combined(spark, sf_dir, "and")
+
+
+def q_combined_match_or(spark, sf_dir):
+    return _combined(spark, sf_dir, "or")
+
+
 QUERIES: dict[str, Query] = {
     "traffic_table": q_traffic_table,
     "traffic_rows_per_year": q_traffic_rows_per_year,
@@ -165,4 +209,8 @@ QUERIES: dict[str, Query] = {
     "assign_state": q_assign_state,
     "next_state": q_next_state,
     "lifetime": q_lifetime,
+    "fuzzy_match": q_fuzzy_match,
+    "phonetic_match": q_phonetic_match,
+    "combined_match_and": q_combined_match_and,
+    "combined_match_or": q_combined_match_or,
 }

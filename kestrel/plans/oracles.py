@@ -320,6 +320,49 @@ SELECT h.id_materiel, h.etat_organe, h.date_debut_intervention, h.date_fin_inter
 FROM h LEFT JOIN res r ON r.id_materiel = h.id_materiel AND r.row_rn = h.rn"""
 
 
+def soundex_sql(x: str) -> str:
+    """American Soundex as Spark computes it, in DuckDB SQL (DuckDB has none).
+
+    First letter kept (upper-cased); H/W after it are skipped; other
+    letters map to digit classes, vowels and non-letters to 0 (a separator);
+    adjacent equal digits collapse; the first letter's own digit and the
+    zeros are dropped; 3 digits, zero-padded. A string not starting with an
+    ASCII letter is returned unchanged.
+    """
+    u = f"upper({x})"
+    tail = f"regexp_replace(regexp_replace(substr({u}, 2), '[HW]', '', 'g'), '[^A-Z]', '0', 'g')"
+    codes = f"translate(substr({u}, 1, 1) || {tail}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', " \
+            f"'01230127022455012623017202')"
+    for d in "01234567":
+        codes = f"regexp_replace({codes}, '{d}+', '{d}', 'g')"
+    digits = f"rpad(substr(replace(substr({codes}, 2), '0', ''), 1, 3), 3, '0')"
+    return (f"CASE WHEN {x} = '' THEN '' WHEN NOT regexp_matches(substr({x}, 1, 1), '^[A-Za-z]$') "
+            f"THEN {x} ELSE substr({u}, 1, 1) || {digits} END")
+
+
+def _match_pairs() -> str:
+    block = P.MATCH_BLOCK
+    on = " AND ".join(f"a.{c} = b.{c}" for c in block)
+    cols = ", ".join(f"a.{c}" for c in block)
+    return f"""pairs AS (
+  SELECT a.p_partkey AS a_partkey, b.p_partkey AS b_partkey, a.p_name AS a_name, b.p_name AS b_name,
+         {cols},
+         1 - CAST(levenshtein(a.p_name, b.p_name) AS DOUBLE)
+             / NULLIF(CAST(greatest(length(a.p_name), length(b.p_name)) AS DOUBLE), 0) AS score
+  FROM part a JOIN part b ON {on} AND a.p_partkey < b.p_partkey)"""
+
+
+def _matching(kind: str) -> str:
+    t = P.MATCH_THRESHOLD
+    cols = "a_partkey, b_partkey, a_name, b_name, " + ", ".join(P.MATCH_BLOCK) + ", score"
+    snd = f"{soundex_sql('a_name')} AS sound_emetteur, {soundex_sql('b_name')} AS sound_client"
+    same = f"{soundex_sql('a_name')} = {soundex_sql('b_name')}"
+    where = {"fuzzy": f"score >= {t}", "phonetic": f"score >= {t}",
+             "and": f"score >= {t} AND {same}", "or": f"(score >= {t} OR {same})"}[kind]
+    extra = "" if kind == "fuzzy" else ", " + snd
+    return f"WITH {_match_pairs()} SELECT {cols}{extra} FROM pairs WHERE {where}"
+
+
 def oracles() -> dict[str, str]:
     home = _q(P.HOME)
     return {
@@ -355,4 +398,8 @@ SELECT h.id_materiel, h.etat_organe, h.date_debut_intervention, h.date_fin_inter
        f.f_state AS first_element, f.n_state AS element_trouve, CAST(f.next_rc AS INTEGER) AS next_rc
 FROM h JOIN facts2 f USING (id_materiel)""",
         "lifetime": _lifetime(),
+        "fuzzy_match": _matching("fuzzy"),
+        "phonetic_match": _matching("phonetic"),
+        "combined_match_and": _matching("and"),
+        "combined_match_or": _matching("or"),
     }

@@ -8,3 +8,6 @@ KEY_ZONES = ("NATION_3", "NATION_1", "NATION_24", "NATION_7", "NATION_12", "NATI
 # Log supervision: gap slot width and the component whose open requests count.
 SLOT_MINUTES = 15
 INCOMPLETE_COMPONENT = "B"
+# Record matching: part names compared within (brand, type) blocks.
+MATCH_BLOCK = ("p_brand", "p_type")
+MATCH_THRESHOLD = 0.7
