@@ -159,9 +159,12 @@ def resolve_pois(fixes: DataFrame, pois: DataFrame, max_broadcast_rows: int = 2_
     scored = F.transform(F.coalesce("cands", F.array()), lambda p: F.struct(
         distance_3d_m("lat", "lng", "altitude", p["lat"], p["lng"], p["altitude"]).alias("d"),
         p["name"].alias("name"), p["radius"].alias("radius")))
-    best = F.array_min(scored)
-    poi = F.when(best["d"] <= best["radius"] * 1000.0, best["name"])
-    return joined.select(*fixes.columns, poi.alias("poi"))
+    # nearest first in its own projection: lambda expressions are not shared
+    # by subexpression elimination, and the optimizer keeps this projection
+    # separate rather than repeat the expensive expression three times
+    best = joined.select(*fixes.columns, F.array_min(scored).alias("_best"))
+    poi = F.when(F.col("_best.d") <= F.col("_best.radius") * 1000.0, F.col("_best.name"))
+    return best.select(*fixes.columns, poi.alias("poi"))
 
 
 def enrich(raw: DataFrame, pois: DataFrame, speed_factor: float = MPH_TO_MS) -> DataFrame:

@@ -186,6 +186,22 @@ def q_combined_match_or(spark, sf_dir):
     return _combined(spark, sf_dir, "or")
 
 
+def _stream_run(spark, sf_dir):
+    from kestrel.streaming import telemetry as st
+    events = st.read_file_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet")
+    return st.run_available_now(spark, derived.gps_raw(events), _pois(spark, sf_dir))
+
+
+def q_stream_enriched(spark, sf_dir):
+    paths = _stream_run(spark, sf_dir)
+    return spark.read.parquet(paths["enriched"]).select(*tk.ENRICHED_COLUMNS)
+
+
+def q_stream_rejects(spark, sf_dir):
+    paths = _stream_run(spark, sf_dir)
+    return spark.read.parquet(paths["rejects"])
+
+
 QUERIES: dict[str, Query] = {
     "traffic_table": q_traffic_table,
     "traffic_rows_per_year": q_traffic_rows_per_year,
@@ -213,4 +229,6 @@ QUERIES: dict[str, Query] = {
     "phonetic_match": q_phonetic_match,
     "combined_match_and": q_combined_match_and,
     "combined_match_or": q_combined_match_or,
+    "stream_enriched": q_stream_enriched,
+    "stream_rejects": q_stream_rejects,
 }

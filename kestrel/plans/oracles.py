@@ -365,7 +365,7 @@ def _matching(kind: str) -> str:
 
 def oracles() -> dict[str, str]:
     home = _q(P.HOME)
-    return {
+    out = {
         "traffic_table": f"WITH {TRAFFIC_CTE} SELECT * FROM traffic",
         "traffic_rows_per_year":
             f'WITH {TRAFFIC_CTE} SELECT "YEAR", COUNT(*) AS "count" FROM traffic GROUP BY 1',
@@ -403,3 +403,7 @@ FROM h JOIN facts2 f USING (id_materiel)""",
         "combined_match_and": _matching("and"),
         "combined_match_or": _matching("or"),
     }
+    # the streaming job must give exactly the batch answer
+    out["stream_enriched"] = out["gps_enriched"]
+    out["stream_rejects"] = out["gps_rejects"]
+    return out
