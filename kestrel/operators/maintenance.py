@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.operators.sequence import with_next
+from kestrel.session import materialize
 
 ID = "id_materiel"
 START, END, KM = "date_debut_intervention", "date_fin_intervention", "releve_km"
@@ -46,8 +47,7 @@ def _bucket(ts: Column | str, width_s: int) -> Column:
 
 def assign_state(interventions: DataFrame, traceability: DataFrame, tolerance: float = 0.2,
                  fill: str = TM, bucket_days: int = 30,
-                 order: Sequence[str] = (START, "numero_intervention"),
-                 key: Sequence[str] = (ID, "numero_intervention")) -> DataFrame:
+                 order: Sequence[str] = (START, "numero_intervention")) -> DataFrame:
     """Attach each traceability row to the interventions whose tolerance window holds it.
 
     window of an intervention = (start - d, next_start - d], d = tolerance x
@@ -56,13 +56,16 @@ def assign_state(interventions: DataFrame, traceability: DataFrame, tolerance: f
     may overlap or leave holes (each uses its own d), so a row can match
     two interventions or none.
 
-    Range join without a per-id nested loop: windows are exploded over the
-    ``bucket_days`` time buckets they cover and joined to traceability rows
-    on (id, bucket) with the range as residual -- an inner join, so AQE can
-    split a hot (id, bucket) on either side. Unmatched interventions come
-    back through a left-anti join on the intervention key.
+    Range join without a per-id nested loop: each window is exploded over
+    the ``bucket_days`` time buckets it covers and inner-joined to the
+    traceability rows on (id, bucket) with the range as a residual, so a
+    busy id is spread over its buckets and AQE may split a hot (id, bucket)
+    on either side. The matches (the answer's size) are materialized once,
+    because interventions with no match come from a left-anti join against
+    their keys.
     """
     width = bucket_days * 86400
+    key = [ID, *[c for c in order if c != ID]]
     iv = with_next(interventions, [ID], list(order), [START], _bucket(START, width * 12),
                    prefix="next_")
     nxt = F.col("next_" + START)
@@ -72,18 +75,18 @@ def assign_state(interventions: DataFrame, traceability: DataFrame, tolerance: f
     win = win.withColumn("_b", F.explode(F.sequence(_bucket("_lo", width), _bucket("_hi", width))))
     tr = traceability.withColumnRenamed(ID, "_tid").withColumn("_tb", _bucket(DUE, width))
     trace_cols = [c for c in traceability.columns if c != ID]
-    matched = (win.join(tr, (F.col(ID) == F.col("_tid")) & (F.col("_b") == F.col("_tb"))
-                        & (F.col(DUE) > F.col("_lo")) & (F.col(DUE) <= F.col("_hi")))
-               .select(*interventions.columns, *trace_cols))
-    hit = matched.select(*key).distinct()
-    unmatched = (interventions.join(hit, list(key), "left_anti")
+    matched = materialize(
+        win.join(tr, (F.col(ID) == F.col("_tid")) & (F.col("_b") == F.col("_tb"))
+                 & (F.col(DUE) > F.col("_lo")) & (F.col(DUE) <= F.col("_hi")))
+        .select(*interventions.columns, *trace_cols), "interval-matches")
+    unmatched = (interventions.join(matched.select(*key).distinct(), key, "left_anti")
                  .select(*interventions.columns,
                          *[F.lit(None).cast(traceability.schema[c].dataType).alias(c)
                            for c in trace_cols]))
     return matched.unionByName(unmatched).fillna({STATE: fill})
 
 
-def _history_facts(rows: DataFrame, order: Sequence[str]) -> tuple[DataFrame, Column]:
+def _history_facts(rows: DataFrame, order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Per-id facts about an ordered state history, skew-safe.
 
     Two partially-aggregated passes instead of a window over the whole id:
@@ -92,7 +95,7 @@ def _history_facts(rows: DataFrame, order: Sequence[str]) -> tuple[DataFrame, Co
     """
     o = F.struct(*[F.col(c) for c in order])
     payload = [F.col(c) for c in (STATE, START, END, KM)]
-    r = rows.withColumn("_o", o)
+    r = materialize(rows.withColumn("_o", o), "history")
     first = r.groupBy(ID).agg(F.min(F.struct(F.col("_o").alias("o"), *payload)).alias("f"))
     after = (r.join(first, ID).filter(F.col("_o") > F.col("f.o"))
              .groupBy(ID).agg(
@@ -104,15 +107,15 @@ def _history_facts(rows: DataFrame, order: Sequence[str]) -> tuple[DataFrame, Co
                  .alias("cl"),
                  F.max(F.when(F.col(STATE) == RC, 1).otherwise(0)).alias("next_rc")))
     facts = first.join(after, ID, "left").withColumn("next_rc", F.coalesce("next_rc", F.lit(0)))
-    return facts, o
+    return facts, r
 
 
 def next_state(rows: DataFrame, order: Sequence[str] = (START, "numero_intervention", DUE,
                                                           STATE)) -> DataFrame:
     """Per row: first_element (first state of the id's history), element_trouve
     (first RC/NC/TM after it, NULL if none) and next_rc (1 if an RC follows)."""
-    facts, _ = _history_facts(rows, order)
-    return (rows.join(facts, ID)
+    facts, r = _history_facts(rows, order)
+    return (r.join(facts, ID)
             .select(*rows.columns, F.col(f"f.{STATE}").alias("first_element"),
                     F.col(f"n.{STATE}").alias("element_trouve"), F.col("next_rc").cast("int")
                     .alias("next_rc")))
@@ -125,7 +128,7 @@ def lifetime(rows: DataFrame, order: Sequence[str] = (START, "numero_interventio
     duration = (start of the "to" row) - (end of the "from" row) in calendar
     days, and the difference of their km readings; other rows get NULLs.
     """
-    facts, o = _history_facts(rows, order)
+    facts, r = _history_facts(rows, order)
     f, n = F.col(f"f.{STATE}"), F.col(f"n.{STATE}")
     c_before_n = F.col("c1").isNotNull() & (F.col("c1.o") < F.col("n.o"))
     rule = F.lit(None).cast("int")
@@ -151,10 +154,10 @@ def lifetime(rows: DataFrame, order: Sequence[str] = (START, "numero_interventio
     facts = (facts.withColumn("_rule", rule)
              .select(ID, "_rule", classes.alias("_cls"), pick("from").alias("_from"),
                      pick("to").alias("_to"), pick("row").alias("_row")))
-    here = F.col("_row").isNotNull() & o.eqNullSafe(F.col("_row.o"))
+    here = F.col("_row").isNotNull() & F.col("_o").eqNullSafe(F.col("_row.o"))
     days = F.datediff(F.col(f"_to.{START}").cast("date"), F.col(f"_from.{END}").cast("date"))
     km = F.col(f"_to.{KM}") - F.col(f"_from.{KM}")
-    out = rows.join(facts, ID)
+    out = r.join(facts, ID)
     jour = F.when(here, days).alias("duree_vie_jour")
     dkm = F.when(here, km).alias("duree_vie_km")
     cls = F.when(here, F.col("_cls")).alias("type_individu")

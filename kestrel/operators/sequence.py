@@ -5,8 +5,13 @@ entity to one task: an entity holding a third of the data would make that
 task a third of the job. Here the window is partitioned by
 (entity, time bucket) -- a bucket's size is bounded by the sampling rate of
 the source -- and rows at a bucket edge take their neighbour from a
-per-bucket summary (one row per non-empty bucket). Results equal a plain
-``lag``/``lead`` over the entity's whole ordered history.
+per-bucket summary: first/last row of each non-empty bucket, computed with
+partial aggregation, then shifted by one bucket in a window over the
+summary (one row per bucket). Results equal a plain ``lag``/``lead`` over
+the entity's whole ordered history.
+
+Cost: two passes over the input (the window and the bucket summary) and two
+shuffles of it, against one pass and one shuffle for the plain window.
 """
 
 from __future__ import annotations
@@ -17,38 +22,49 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _neighbour(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-               values: Sequence[str], bucket: Column, prefix: str,
-               forward: bool) -> DataFrame:
-    keys, order, values = list(keys), list(order), list(values)
-    ordering = [F.col(c).desc() if forward else F.col(c).asc() for c in order]
+def with_neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column,
+                    prev: Sequence[str] = (), next: Sequence[str] = (),
+                    prev_prefix: str = "prev_", next_prefix: str = "next_") -> DataFrame:
+    """Add ``prev_prefix+v`` for v in ``prev`` and ``next_prefix+v`` for v in ``next``.
+
+    ``order`` must be a total order within a key (add tie-breakers); ``bucket``
+    must be non-decreasing along ``order`` (e.g. the day of the first order
+    column). Rows with a NULL bucket get no neighbour across buckets.
+    """
+    keys, order, prev, nxt = list(keys), list(order), list(prev), list(next)
     b = df.withColumn("_bk", bucket)
-    w = Window.partitionBy(*keys, "_bk").orderBy(*ordering)
-    x = b.select("*", *[F.lag(c).over(w).alias(prefix + c) for c in values],
-                 F.row_number().over(w).alias("_rn"),
-                 F.lead(F.lit(1)).over(w).isNull().alias("_edge"))
-    # last row of each bucket in scan direction -> neighbour of the next bucket's first row
-    edges = x.filter("_edge").select(*keys, "_bk",
-                                     F.struct(*[F.col(c) for c in values]).alias("_v"))
-    wb = Window.partitionBy(*keys).orderBy(F.col("_bk").desc() if forward else F.col("_bk"))
-    carried = edges.select(*keys, "_bk", F.lag("_v").over(wb).alias("_carry"))
+    ordering = F.struct(*[F.col(c) for c in order])
+    w = Window.partitionBy(*keys, "_bk").orderBy(*[F.col(c) for c in order])
+    x = b.select("*", *[F.lag(c).over(w).alias(prev_prefix + c) for c in prev],
+                 *[F.lead(c).over(w).alias(next_prefix + c) for c in nxt],
+                 (F.row_number().over(w) == 1).alias("_first"),
+                 F.lead(F.lit(1)).over(w).isNull().alias("_last"))
+    aggs = []
+    if prev:
+        aggs.append(F.max_by(F.struct(*[F.col(c) for c in prev]), ordering).alias("_tail"))
+    if nxt:
+        aggs.append(F.min_by(F.struct(*[F.col(c) for c in nxt]), ordering).alias("_head"))
+    summary = b.groupBy(*keys, "_bk").agg(*aggs)
+    wb = Window.partitionBy(*keys).orderBy("_bk")
+    carried = summary.select(
+        *keys, "_bk",
+        *([F.lag("_tail").over(wb).alias("_from_prev")] if prev else []),
+        *([F.lead("_head").over(wb).alias("_from_next")] if nxt else []))
     out = x.join(carried, keys + ["_bk"], "left")
-    filled = [F.when(F.col("_rn") == 1, F.col(f"_carry.{c}")).otherwise(F.col(prefix + c))
-              .alias(prefix + c) for c in values]
+    filled = ([F.when(F.col("_first"), F.col(f"_from_prev.{c}")).otherwise(F.col(prev_prefix + c))
+               .alias(prev_prefix + c) for c in prev]
+              + [F.when(F.col("_last"), F.col(f"_from_next.{c}")).otherwise(F.col(next_prefix + c))
+                 .alias(next_prefix + c) for c in nxt])
     return out.select(*df.columns, *filled)
 
 
 def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                   values: Sequence[str], bucket: Column, prefix: str = "prev_") -> DataFrame:
-    """Add ``prefix+v`` = value of ``v`` on the previous row of the same key.
-
-    ``order`` must be a total order within a key (add tie-breakers); ``bucket``
-    must be non-decreasing in ``order`` (e.g. the hour of the first order column).
-    """
-    return _neighbour(df, keys, order, values, bucket, prefix, forward=False)
+    """Add ``prefix+v`` = value of ``v`` on the previous row of the same key."""
+    return with_neighbours(df, keys, order, bucket, prev=values, prev_prefix=prefix)
 
 
 def with_next(df: DataFrame, keys: Sequence[str], order: Sequence[str],
               values: Sequence[str], bucket: Column, prefix: str = "next_") -> DataFrame:
     """Add ``prefix+v`` = value of ``v`` on the next row of the same key."""
-    return _neighbour(df, keys, order, values, bucket, prefix, forward=True)
+    return with_neighbours(df, keys, order, bucket, next=values, next_prefix=prefix)

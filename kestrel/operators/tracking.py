@@ -76,10 +76,14 @@ def clean(normalized: DataFrame) -> DataFrame:
                     & F.col("motion").isNull(), F.lit("bad_motion"))
               .when(F.coalesce(typed["speed"] > 0, F.lit(False))
                     & F.coalesce(~F.col("motion"), F.lit(False)), F.lit("moving_while_parked")))
+    # Typed values and verdict are evaluated once per row, as a one-element
+    # ``inline``: a filter on reject_reason then stays above the generator
+    # instead of being pushed below the projection with every parse
+    # expression copied into it (predicate pushdown does not weigh cost).
+    verdict = F.struct(*[typed[c].alias(c) if c in typed else F.col(c) for c in GPS_COLUMNS],
+                       reason.alias("reject_reason"))
     return normalized.select(*[F.col(c).alias(f"_raw_{c}") for c in GPS_COLUMNS if c != "motion"],
-                             *[typed[c].alias(c) if c in typed else F.col(c)
-                               for c in GPS_COLUMNS],
-                             reason.alias("reject_reason"))
+                             F.inline(F.array(verdict)))
 
 
 def good_rows(cleaned: DataFrame) -> DataFrame:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job assumes: UTC wall clock (log days come from text, hours
 # from timestamps), ANSI on (bad input goes through try_* functions, never a
@@ -56,3 +57,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="kestrel-ckpt-")
     sc.setCheckpointDir(configured)
     return configured
+
+
+def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Cut lineage for a frame read more than once: write it, read it back.
+
+    The table goes to a fresh folder under the session's
+    ``spark.checkpoint.dir`` (shared storage on a cluster), so a lost
+    executor does not send the job back to the source scans, and every
+    consumer reads the stored columns instead of recomputing them. A
+    parquet write computes the frame once (an eager RDD checkpoint computes
+    it twice: once to count, once to write).
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kestrel-{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)

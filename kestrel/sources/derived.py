@@ -81,7 +81,8 @@ def log_lines(events: DataFrame) -> DataFrame:
     """
     from kestrel.functions.timefn import add_minutes, iso_seconds
 
-    k = event_k()
+    events = events.select("event_id", "user_id", "ts", "event_type", event_k().alias("_k"))
+    k = F.col("_k")
     start = iso_seconds(F.col("ts"))
     end = F.when(k < INCOMPLETE_BELOW_K, F.lit("")).otherwise(
         iso_seconds(add_minutes(F.col("ts"), k)))
@@ -119,16 +120,18 @@ def gps_raw(events: DataFrame) -> DataFrame:
     Deterministic junk: k = 0 has no latitude, k = 1 an unparsable speed.
     The text is built from integers, so any engine parses the same numbers.
     """
-    k = event_k()
-    v = F.round(F.col("value") * 100.0).cast("long")
-    ks = k.cast("string")
-    return events.select(
+    # k and v first, in their own projection: each is used several times
+    base = events.select("user_id", "ts", "event_type", event_k().alias("_k"),
+                         F.round(F.col("value") * 100.0).cast("long").alias("_v"))
+    k, v = F.col("_k"), F.col("_v")
+    ks, vs = k.cast("string"), v.cast("string")
+    return base.select(
         F.col("user_id").cast("string").alias("vin"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("dt"),
         F.when(k == 0, F.lit("")).otherwise(F.concat(F.lit("48,"), F.lpad(ks, 2, "0"))).alias("lat"),
-        F.concat(F.lit("2,"), F.lpad(v.cast("string"), 5, "0")).alias("lng"),
+        F.concat(F.lit("2,"), F.lpad(vs, 5, "0")).alias("lng"),
         ks.alias("altitude"),
-        F.when(k == 1, F.lit("n/a")).otherwise(v.cast("string")).alias("speed"),
+        F.when(k == 1, F.lit("n/a")).otherwise(vs).alias("speed"),
         F.when(F.col("event_type") == "view", F.lit("0")).otherwise(F.lit("1")).alias("motion"),
         F.concat((v / 100).cast("long").cast("string"), F.lit(","),
                  F.lpad((v % 100).cast("string"), 2, "0")).alias("power"),
