@@ -229,15 +229,21 @@ enriched AS (
 GPS_COLS = "vin, dt, lat, lng, altitude, speed, motion, power, distance, engineHours"
 
 
+def spark_round(expr: str, n: int) -> str:
+    """Spark's round of a double: HALF_UP on the digits of its shortest decimal
+    string (0.058499999999999996 -> 0.058), not on x * 10^n in floating point."""
+    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38, 18)), {n}) AS DOUBLE)"
+
+
 def _kpis() -> str:
-    # "+ 0.0" turns DuckDB's rounded -0.0 into 0.0, as Spark's round returns
     return f"""WITH {_gps_cte()}
 SELECT time_bucket(INTERVAL '1 hour', e.dt) AS hour, c.c_name AS driverName,
-       round(sum(distance), 2) AS distance, round(sum(distance) * 0.00039, 3) AS fuelConsumption,
+       {spark_round("sum(distance)", 2)} AS distance,
+       {spark_round("sum(distance) * 0.00039", 3)} AS fuelConsumption,
        count(*) FILTER (WHERE accelerationHarshness > 0) AS harshAccelerationsCount,
        count(*) FILTER (WHERE breakingHarshness > 0) AS harshBreakingsCount,
-       round(max(acceleration), 3) + 0.0 AS maxAcceleration,
-       round(min(acceleration), 3) + 0.0 AS maxBreaking,
+       {spark_round("max(acceleration)", 3)} AS maxAcceleration,
+       {spark_round("min(acceleration)", 3)} AS maxBreaking,
        count(DISTINCT poi) AS visitedPOIsCount
 FROM enriched e JOIN customer c ON e.vin = CAST(c.c_custkey AS VARCHAR)
 GROUP BY 1, 2"""
