@@ -164,7 +164,7 @@ def _self_pairs():
 def q_fuzzy_match(spark, sf_dir):
     a, b, block = _part_sides(spark, sf_dir)
     return mm.fuzzy_match(a, b, block, "a_name", "b_name", P.MATCH_THRESHOLD,
-                          pair_filter=_self_pairs()).select(*MATCH_COLUMNS)
+                          pair_filter=_self_pairs(), symmetric=True).select(*MATCH_COLUMNS)
 
 
 def q_phonetic_match(spark, sf_dir):
@@ -174,7 +174,7 @@ def q_phonetic_match(spark, sf_dir):
 def _combined(spark, sf_dir, mode):
     a, b, block = _part_sides(spark, sf_dir)
     return mm.combined_match(a, b, block, "a_name", "b_name", P.MATCH_THRESHOLD, mode=mode,
-                             pair_filter=_self_pairs()).select(
+                             pair_filter=_self_pairs(), symmetric=True).select(
         *MATCH_COLUMNS, "sound_emetteur", "sound_client")
 
 

@@ -77,3 +77,11 @@ def test_signature_candidates_are_exact(spark):
         want = {(bl, a, b) for bl, a in lrows for bl2, b in rrows
                 if bl == bl2 and 1 - _lev(a, b) / max(len(a), len(b)) >= t}
         assert got == want, t
+    # self match: one orientation + mirror gives the same pairs
+    same = spark.createDataFrame(rows, "blk int, b string")
+    for t in (0.6, 0.8):
+        sym = {(r.blk, r.a, r.b) for r in
+               mm.similar_name_pairs(left, same, ["blk"], "a", "b", t, symmetric=True).collect()}
+        want = {(bl, a, b) for bl, a in lrows for bl2, b in lrows
+                if bl == bl2 and 1 - _lev(a, b) / max(len(a), len(b)) >= t}
+        assert sym == want, t
