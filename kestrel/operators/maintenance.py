@@ -47,12 +47,15 @@ def _bucket(ts: Column | str, width_s: int) -> Column:
 
 def assign_state(interventions: DataFrame, traceability: DataFrame, tolerance: float = 0.2,
                  fill: str = TM, bucket_days: int = 30,
-                 order: Sequence[str] = (START, "numero_intervention")) -> DataFrame:
+                 order: Sequence[str] = (START, "numero_intervention"),
+                 censor_last: bool = False) -> DataFrame:
     """Attach each traceability row to the interventions whose tolerance window holds it.
 
     window of an intervention = (start - d, next_start - d], d = tolerance x
     (next_start - start); the last intervention of an id has no window.
-    Interventions with no match get one row with state ``fill``. Windows
+    Interventions with no match get one row with state ``fill`` -- except,
+    with ``censor_last``, an id's last intervention, whose synthetic fill
+    would otherwise end every history (and hide "no state follows" cases). Windows
     may overlap or leave holes (each uses its own d), so a row can match
     two interventions or none.
 
@@ -79,7 +82,8 @@ def assign_state(interventions: DataFrame, traceability: DataFrame, tolerance: f
         win.join(tr, (F.col(ID) == F.col("_tid")) & (F.col("_b") == F.col("_tb"))
                  & (F.col(DUE) > F.col("_lo")) & (F.col(DUE) <= F.col("_hi")))
         .select(*interventions.columns, *trace_cols), "interval-matches")
-    unmatched = (interventions.join(matched.select(*key).distinct(), key, "left_anti")
+    pool = iv.filter(nxt.isNotNull()).select(*interventions.columns) if censor_last else interventions
+    unmatched = (pool.join(matched.select(*key).distinct(), key, "left_anti")
                  .select(*interventions.columns,
                          *[F.lit(None).cast(traceability.schema[c].dataType).alias(c)
                            for c in trace_cols]))

@@ -124,10 +124,10 @@ def q_driver_kpis(spark, sf_dir):
 HISTORY_ORDER = (mt.START, "numero_intervention", mt.DUE, mt.STATE, "trace_id")
 
 
-def _states(spark, sf_dir):
+def _states(spark, sf_dir, censor_last=False):
     t = Tables(spark, sf_dir)
     return mt.assign_state(derived.interventions(t.orders),
-                           derived.traceability(t.lineitem, t.orders))
+                           derived.traceability(t.lineitem, t.orders), censor_last=censor_last)
 
 
 def q_assign_state(spark, sf_dir):
@@ -202,6 +202,26 @@ def q_stream_rejects(spark, sf_dir):
     return spark.read.parquet(paths["rejects"])
 
 
+def q_lifetime_censored(spark, sf_dir):
+    return mt.lifetime(_states(spark, sf_dir, censor_last=True), HISTORY_ORDER,
+                       as_struct=False).select(*mt.STATE_COLUMNS, "duree_vie_jour",
+                                               "duree_vie_km", "type_individu")
+
+
+def q_driver_kpis_from_files(spark, sf_dir):
+    """J10 + J11 as jobs: write the enriched day(s), read them back for KPIs."""
+    import uuid
+
+    from kestrel.plans import jobs
+    from kestrel.session import ensure_checkpoint_dir
+    t = Tables(spark, sf_dir)
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kestrel-gps-{uuid.uuid4().hex}"
+    path = jobs.gps_day(derived.gps_raw(t.events), _pois(spark, sf_dir), "all",
+                        f"{base}/enriched", f"{base}/defects")
+    return jobs.driver_kpi_report(spark, path, derived.drivers_from_customer(t.customer),
+                                  derived.assignments_from_customer(t.customer))
+
+
 QUERIES: dict[str, Query] = {
     "traffic_table": q_traffic_table,
     "traffic_rows_per_year": q_traffic_rows_per_year,
@@ -222,9 +242,11 @@ QUERIES: dict[str, Query] = {
     "gps_nearest_poi": q_gps_nearest_poi,
     "gps_enriched": q_gps_enriched,
     "driver_kpis": q_driver_kpis,
+    "driver_kpis_from_files": q_driver_kpis_from_files,
     "assign_state": q_assign_state,
     "next_state": q_next_state,
     "lifetime": q_lifetime,
+    "lifetime_censored": q_lifetime_censored,
     "fuzzy_match": q_fuzzy_match,
     "phonetic_match": q_phonetic_match,
     "combined_match_and": q_combined_match_and,

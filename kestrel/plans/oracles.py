@@ -249,7 +249,9 @@ FROM enriched e JOIN customer c ON e.vin = CAST(c.c_custkey AS VARCHAR)
 GROUP BY 1, 2"""
 
 
-MAINT_CTE = """
+def _maint_cte(censor_last: bool = False) -> str:
+    last = "WHERE w2.nxt IS NOT NULL" if censor_last else ""
+    return f"""
 iv AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS numero_intervention, o_orderpriority AS code_operation,
          CAST(o_custkey AS VARCHAR) AS id_materiel, o_orderdate AS date_debut_intervention,
@@ -272,7 +274,8 @@ j13 AS (
          w2.date_fin_intervention, w2.releve_km, w2.numero_intervention, t.date_echeance, t.trace_id
   FROM w2 LEFT JOIN tr t ON w2.id_materiel = t.id_materiel
        AND t.date_echeance > w2.date_debut_intervention - w2.delta
-       AND t.date_echeance <= w2.nxt - w2.delta),
+       AND t.date_echeance <= w2.nxt - w2.delta
+  {last}),
 h AS (
   SELECT *, row_number() OVER (PARTITION BY id_materiel ORDER BY date_debut_intervention,
             numero_intervention, date_echeance NULLS FIRST, etat_organe NULLS FIRST,
@@ -292,8 +295,11 @@ facts2 AS (
 """
 
 
-def _lifetime() -> str:
-    return f"""WITH {MAINT_CTE},
+MAINT_CTE = _maint_cte()
+
+
+def _lifetime(censor_last: bool = False) -> str:
+    return f"""WITH {_maint_cte(censor_last)},
 ruled AS (
   SELECT *, CASE
     WHEN f_state = 'RC' AND n_state = 'RC' THEN 1
@@ -404,6 +410,7 @@ SELECT h.id_materiel, h.etat_organe, h.date_debut_intervention, h.date_fin_inter
        f.f_state AS first_element, f.n_state AS element_trouve, CAST(f.next_rc AS INTEGER) AS next_rc
 FROM h JOIN facts2 f USING (id_materiel)""",
         "lifetime": _lifetime(),
+        "lifetime_censored": _lifetime(censor_last=True),
         "fuzzy_match": _matching("fuzzy"),
         "phonetic_match": _matching("phonetic"),
         "combined_match_and": _matching("and"),
@@ -412,4 +419,5 @@ FROM h JOIN facts2 f USING (id_materiel)""",
     # the streaming job must give exactly the batch answer
     out["stream_enriched"] = out["gps_enriched"]
     out["stream_rejects"] = out["gps_rejects"]
+    out["driver_kpis_from_files"] = out["driver_kpis"]
     return out

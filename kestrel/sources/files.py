@@ -89,3 +89,30 @@ def read_traceability(spark: SparkSession, path: str) -> DataFrame:
 def read_log_text(spark: SparkSession, path: str) -> DataFrame:
     """Plain log file(s), one line per row in column ``log``."""
     return spark.read.text(path).withColumnRenamed("value", "log")
+
+
+REPORT_COLUMNS = ("nom_emetteur", "prenoms_emetteur", "date_naissance_emetteur")
+CLIENT_COLUMNS = ("nom", "prenoms", "date_naissance", "numero_telephone")
+
+
+def read_reports(spark: SparkSession, path: str) -> DataFrame:
+    """Suspicious-activity reports: issuer surname, first names, birth date."""
+    raw = read_semicolon_csv(spark, path, REPORT_COLUMNS)
+    return raw.withColumn("date_naissance_emetteur",
+                          F.expr("try_cast(date_naissance_emetteur AS date)"))
+
+
+def read_client_register(spark: SparkSession, path: str) -> DataFrame:
+    """Client register; phone numbers rewritten to the +33 form."""
+    from kestrel.functions.text import french_phone
+    raw = read_semicolon_csv(spark, path, CLIENT_COLUMNS)
+    return raw.withColumns({"date_naissance": F.expr("try_cast(date_naissance AS date)"),
+                            "numero_telephone": french_phone("numero_telephone")})
+
+
+def read_drivers(spark: SparkSession, path: str) -> DataFrame:
+    return read_semicolon_csv(spark, path, ("id", "name"))
+
+
+def read_assignments(spark: SparkSession, path: str) -> DataFrame:
+    return read_semicolon_csv(spark, path, ("driverId", "vehicle"))
