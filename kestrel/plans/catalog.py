@@ -186,19 +186,20 @@ def q_combined_match_or(spark, sf_dir):
     return _combined(spark, sf_dir, "or")
 
 
-def _stream_run(spark, sf_dir):
+def _stream_run(spark, sf_dir, outputs):
     from kestrel.streaming import telemetry as st
     events = st.read_file_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet")
-    return st.run_available_now(spark, derived.gps_raw(events), _pois(spark, sf_dir))
+    return st.run_available_now(spark, derived.gps_raw(events), _pois(spark, sf_dir),
+                                outputs=outputs)
 
 
 def q_stream_enriched(spark, sf_dir):
-    paths = _stream_run(spark, sf_dir)
+    paths = _stream_run(spark, sf_dir, ("enriched",))
     return spark.read.parquet(paths["enriched"]).select(*tk.ENRICHED_COLUMNS)
 
 
 def q_stream_rejects(spark, sf_dir):
-    paths = _stream_run(spark, sf_dir)
+    paths = _stream_run(spark, sf_dir, ("rejects",))
     return spark.read.parquet(paths["rejects"])
 
 

@@ -102,36 +102,41 @@ def _acceleration_fn(speed_factor: float, expiry_ms: int, out_cols: list[str]):
         pdf = pd.concat(list(pdfs), ignore_index=True)
         if pdf.empty:
             return
-        dt_us = pdf["dt"].values.astype("datetime64[us]").astype(np.int64)
-        pdf = pdf.assign(_us=dt_us, _spd=pdf["speed"].astype("float64"))
-        pdf = pdf.sort_values(["_us", "_spd", "lat", "lng"], na_position="first", kind="mergesort")
-        last = state.get if state.exists else None
-        lk = None if last is None else (last[0], -np.inf if last[2] is None or np.isnan(last[2])
-                                        else last[2], last[3], last[4])
-        prev_secs = None if last is None else last[1]
-        prev_speed = None if last is None else last[2]
-        acc, ordered = [], []
-        for us, spd, la, ln in zip(pdf["_us"].tolist(), pdf["_spd"].tolist(),
-                                   pdf["lat"].tolist(), pdf["lng"].tolist()):
-            k = (us, -np.inf if spd is None or np.isnan(spd) else spd, la, ln)
-            if lk is not None and k < lk:  # behind this vehicle's last fix
-                acc.append(None)
-                ordered.append(False)
-                continue
-            secs = us // 1_000_000
-            a = None
-            if (prev_secs is not None and prev_speed is not None and not np.isnan(prev_speed)
-                    and not np.isnan(spd) and secs != prev_secs):
-                a = (spd - prev_speed) * speed_factor / float(secs - prev_secs)
-            acc.append(a)
-            ordered.append(True)
-            lk, prev_secs, prev_speed = k, secs, spd
-            last = (us, secs, None if np.isnan(spd) else spd, la, ln)
-        if last is not None:
-            state.update(tuple(None if isinstance(v, float) and np.isnan(v) else v for v in last))
-            state.setTimeoutTimestamp(int(last[0] // 1000) + expiry_ms)
-        pdf = pdf.assign(acceleration=pd.array(acc, dtype="Float64").astype("float64"),
-                         in_order=ordered)
+        us = pdf["dt"].values.astype("datetime64[us]").astype(np.int64)
+        spd = pdf["speed"].astype("float64").to_numpy()
+        lat = pdf["lat"].astype("float64").to_numpy()
+        lng = pdf["lng"].astype("float64").to_numpy()
+        spd_key = np.where(np.isnan(spd), -np.inf, spd)  # NULL speed sorts first
+        order = np.lexsort((lng, lat, spd_key, us))
+        pdf = pdf.iloc[order].reset_index(drop=True)
+        us, spd, spd_key, lat, lng = us[order], spd[order], spd_key[order], lat[order], lng[order]
+        secs = us // 1_000_000
+        n = len(pdf)
+        start, prev_secs, prev_spd = 0, None, np.nan
+        if state.exists:
+            l_us, l_secs, l_spd, l_lat, l_lng = state.get
+            l_key = -np.inf if l_spd is None else l_spd
+            # fixes behind the vehicle's last one: a prefix of the sorted batch
+            behind = (us < l_us) | ((us == l_us) & (
+                (spd_key < l_key) | ((spd_key == l_key) & (
+                    (lat < l_lat) | ((lat == l_lat) & (lng < l_lng))))))
+            start = int(behind.sum())
+            prev_secs, prev_spd = l_secs, (np.nan if l_spd is None else l_spd)
+        acc = np.full(n, np.nan)
+        if start < n:
+            s_secs, s_spd = secs[start:], spd[start:]
+            p_secs = np.concatenate(([0 if prev_secs is None else prev_secs], s_secs[:-1]))
+            p_spd = np.concatenate(([prev_spd], s_spd[:-1]))
+            ok = ~np.isnan(p_spd) & ~np.isnan(s_spd) & (s_secs != p_secs)
+            if prev_secs is None:
+                ok[0] = False
+            with np.errstate(divide="ignore", invalid="ignore"):
+                a = (s_spd - p_spd) * speed_factor / (s_secs - p_secs).astype(np.float64)
+            acc[start:] = np.where(ok, a, np.nan)
+            last_spd = None if np.isnan(spd[-1]) else float(spd[-1])
+            state.update((int(us[-1]), int(secs[-1]), last_spd, float(lat[-1]), float(lng[-1])))
+            state.setTimeoutTimestamp(int(us[-1] // 1000) + expiry_ms)
+        pdf = pdf.assign(acceleration=acc, in_order=np.arange(n) >= start)
         yield pdf[out_cols]
     return fn
 
@@ -199,17 +204,24 @@ def start_reject_sink(rejects: DataFrame, out_dir: str, checkpoint: str,
 
 
 def run_available_now(spark: SparkSession, raw: DataFrame, pois: DataFrame,
-                      base: str | None = None) -> dict:
+                      base: str | None = None,
+                      outputs: tuple[str, ...] = ("enriched", "rejects")) -> dict:
     """Run the enrichment over everything the source holds now; return output paths.
 
-    Output and checkpoints live under the session's checkpoint folder
-    (shared storage on a cluster), in a fresh sub-folder per run.
+    ``outputs`` picks the streaming queries to run: "enriched" (enriched rows
+    + POI messages) and/or "rejects". Output and checkpoints live under the
+    session's checkpoint folder (shared storage on a cluster), in a fresh
+    sub-folder per run.
     """
     base = base or os.path.join(ensure_checkpoint_dir(spark), f"telemetry-{uuid.uuid4().hex}")
     paths = {k: os.path.join(base, k) for k in ("enriched", "pois", "rejects", "chk_e", "chk_r")}
     enriched, rejects = enrich_stream(raw, pois)
-    q1 = start_enriched_sink(enriched, paths["enriched"], paths["pois"], paths["chk_e"], True)
-    q2 = start_reject_sink(rejects, paths["rejects"], paths["chk_r"], True)
-    q1.awaitTermination()
-    q2.awaitTermination()
+    running = []
+    if "enriched" in outputs:
+        running.append(start_enriched_sink(enriched, paths["enriched"], paths["pois"],
+                                           paths["chk_e"], True))
+    if "rejects" in outputs:
+        running.append(start_reject_sink(rejects, paths["rejects"], paths["chk_r"], True))
+    for q in running:
+        q.awaitTermination()
     return paths
