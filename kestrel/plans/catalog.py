@@ -144,9 +144,9 @@ def q_lifetime(spark, sf_dir):
         *mt.STATE_COLUMNS, "duree_vie_jour", "duree_vie_km", "type_individu")
 
 
-def _part_sides(spark, sf_dir):
+def _part_sides(spark, sf_dir, block=P.MATCH_BLOCK):
     part = Tables(spark, sf_dir).part
-    block = list(P.MATCH_BLOCK)
+    block = list(block)
 
     def side(p):
         return part.select(*block, F.col("p_partkey").alias(f"{p}_partkey"),
@@ -167,6 +167,14 @@ def q_fuzzy_match(spark, sf_dir):
                           pair_filter=_self_pairs(), symmetric=True).select(*MATCH_COLUMNS)
 
 
+def q_fuzzy_match_brand(spark, sf_dir):
+    """Coarser blocking (brand only): larger blocks, same exact candidate scheme."""
+    a, b, block = _part_sides(spark, sf_dir, P.MATCH_BLOCK_COARSE)
+    return mm.fuzzy_match(a, b, block, "a_name", "b_name", P.MATCH_THRESHOLD,
+                          pair_filter=_self_pairs(), symmetric=True).select(
+        "a_partkey", "b_partkey", "a_name", "b_name", *block, "score")
+
+
 def q_phonetic_match(spark, sf_dir):
     return mm.phonetic_columns(q_fuzzy_match(spark, sf_dir), "a_name", "b_name")
 
@@ -249,6 +257,7 @@ QUERIES: dict[str, Query] = {
     "lifetime": q_lifetime,
     "lifetime_censored": q_lifetime_censored,
     "fuzzy_match": q_fuzzy_match,
+    "fuzzy_match_brand": q_fuzzy_match_brand,
     "phonetic_match": q_phonetic_match,
     "combined_match_and": q_combined_match_and,
     "combined_match_or": q_combined_match_or,

@@ -352,8 +352,7 @@ def soundex_sql(x: str) -> str:
             f"THEN {x} ELSE substr({u}, 1, 1) || {digits} END")
 
 
-def _match_pairs() -> str:
-    block = P.MATCH_BLOCK
+def _match_pairs(block=P.MATCH_BLOCK) -> str:
     on = " AND ".join(f"a.{c} = b.{c}" for c in block)
     cols = ", ".join(f"a.{c}" for c in block)
     return f"""pairs AS (
@@ -364,15 +363,15 @@ def _match_pairs() -> str:
   FROM part a JOIN part b ON {on} AND a.p_partkey < b.p_partkey)"""
 
 
-def _matching(kind: str) -> str:
+def _matching(kind: str, block=P.MATCH_BLOCK) -> str:
     t = P.MATCH_THRESHOLD
-    cols = "a_partkey, b_partkey, a_name, b_name, " + ", ".join(P.MATCH_BLOCK) + ", score"
+    cols = "a_partkey, b_partkey, a_name, b_name, " + ", ".join(block) + ", score"
     snd = f"{soundex_sql('a_name')} AS sound_emetteur, {soundex_sql('b_name')} AS sound_client"
     same = f"{soundex_sql('a_name')} = {soundex_sql('b_name')}"
     where = {"fuzzy": f"score >= {t}", "phonetic": f"score >= {t}",
              "and": f"score >= {t} AND {same}", "or": f"(score >= {t} OR {same})"}[kind]
     extra = "" if kind == "fuzzy" else ", " + snd
-    return f"WITH {_match_pairs()} SELECT {cols}{extra} FROM pairs WHERE {where}"
+    return f"WITH {_match_pairs(block)} SELECT {cols}{extra} FROM pairs WHERE {where}"
 
 
 def oracles() -> dict[str, str]:
@@ -412,6 +411,7 @@ FROM h JOIN facts2 f USING (id_materiel)""",
         "lifetime": _lifetime(),
         "lifetime_censored": _lifetime(censor_last=True),
         "fuzzy_match": _matching("fuzzy"),
+        "fuzzy_match_brand": _matching("fuzzy", P.MATCH_BLOCK_COARSE),
         "phonetic_match": _matching("phonetic"),
         "combined_match_and": _matching("and"),
         "combined_match_or": _matching("or"),

@@ -11,3 +11,4 @@ INCOMPLETE_COMPONENT = "B"
 # Record matching: part names compared within (brand, type) blocks.
 MATCH_BLOCK = ("p_brand", "p_type")
 MATCH_THRESHOLD = 0.7
+MATCH_BLOCK_COARSE = ("p_brand",)
