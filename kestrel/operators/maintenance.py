@@ -71,6 +71,8 @@ def assign_state(interventions: DataFrame, traceability: DataFrame, tolerance: f
     key = [ID, *[c for c in order if c != ID]]
     iv = with_next(interventions, [ID], list(order), [START], _bucket(START, width * 12),
                    prefix="next_")
+    if censor_last:  # read twice below (windows and the no-match pool)
+        iv = materialize(iv, "interventions-next")
     nxt = F.col("next_" + START)
     delta = (nxt - F.col(START)) * F.lit(tolerance)
     win = (iv.filter(nxt.isNotNull())
