@@ -96,10 +96,13 @@ def _history_facts(rows: DataFrame, order: Sequence[str]) -> tuple[DataFrame, Da
     """Per-id facts about an ordered state history, skew-safe.
 
     Two partially-aggregated passes instead of a window over the whole id:
-    (1) the first row, (2) among rows after it: first RC/NC/TM (``next``),
+    (1) the first row in a total order, (2) among rows after it: first RC/NC/TM (``next``),
     first and last C, any RC. Returns (facts per id, per-row order struct).
     """
-    o = F.struct(*[F.col(c) for c in order])
+    # The last field breaks exact ties: an identical twin of the first row
+    # still counts as a later row, as in a row-by-row window. The ids are
+    # fixed by the write, so recomputing a consumer never changes them.
+    o = F.struct(*[F.col(c) for c in order], F.monotonically_increasing_id().alias("_seq"))
     payload = [F.col(c) for c in (STATE, START, END, KM)]
     r = materialize(rows.withColumn("_o", o), "history")
     first = r.groupBy(ID).agg(F.min(F.struct(F.col("_o").alias("o"), *payload)).alias("f"))

@@ -75,3 +75,19 @@ def test_next_state(spark):
     assert {(r.first_element, r.element_trouve, r.next_rc) for r in out} == {("C", "NC", 1)}
     out = mt.next_state(_history(spark, ["RC", "C"]), ORDER).collect()
     assert {(r.first_element, r.element_trouve, r.next_rc) for r in out} == {("RC", None, 0)}
+
+
+def test_identical_twin_counts_as_a_later_row(spark):
+    # The first row appears twice (same date, intervention, everything). As in
+    # a row-by-row window, the twin is the next NC, so the C that follows it
+    # does not come before the next state and no rule applies.
+    rows = [("X", st, D(d), D(d + 1), km, no)
+            for st, d, km, no in [("NC", 1, 0, "1"), ("NC", 1, 0, "1"), ("C", 4, 1000, "2"),
+                                  ("NC", 7, 2000, "3")]]
+    hist = spark.createDataFrame(rows, "id_materiel string, etat_organe string, "
+                                 "date_debut_intervention timestamp_ntz, "
+                                 "date_fin_intervention timestamp_ntz, releve_km int, "
+                                 "numero_intervention string")
+    assert mt.lifetime(hist, ORDER).filter("type_individu IS NOT NULL").count() == 0
+    out = mt.next_state(hist, ORDER).collect()
+    assert {(r.first_element, r.element_trouve, r.next_rc) for r in out} == {("NC", "NC", 0)}
