@@ -19,5 +19,9 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS)
     footers. When the bound fails the frame is returned unhinted, so the join
     falls back to a shuffle join instead of exhausting executor memory.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if has_at_most(df, max_rows) else df
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True if ``df`` has at most ``max_rows`` rows (scans at most ``max_rows + 1``)."""
+    return df.limit(max_rows + 1).count() <= max_rows

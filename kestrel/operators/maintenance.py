@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.operators.joins import has_at_most
 from kestrel.operators.sequence import with_next
 from kestrel.session import materialize
 
@@ -92,6 +93,28 @@ def assign_state(interventions: DataFrame, traceability: DataFrame, tolerance: f
     return matched.unionByName(unmatched).fillna({STATE: fill})
 
 
+# Joining history rows to one-row-per-id facts: broadcast the facts up to this
+# many ids; above it, a join salted over HISTORY_SALTS spreads a hot id's rows.
+HISTORY_BROADCAST_ROWS = 200_000
+HISTORY_SALTS = 16
+
+
+def _join_per_id(r: DataFrame, per_id: DataFrame, try_broadcast: bool = True) -> DataFrame:
+    """``r`` (many rows per id, with ``_o``) joined to ``per_id`` (one row per id).
+
+    A plain shuffle join would put all rows of a hot id in one task, and AQE
+    does not split it when an aggregate by id follows. With ``try_broadcast``
+    (for a stored ``per_id``, cheap to count) the facts are broadcast below
+    the bound, with no shuffle of ``r``. Otherwise each row gets a salt from
+    its fixed sequence id and the facts are repeated once per salt.
+    """
+    if try_broadcast and has_at_most(per_id, HISTORY_BROADCAST_ROWS):
+        return r.join(F.broadcast(per_id), ID)
+    salt = F.pmod(F.xxhash64(F.col("_o._seq")), F.lit(HISTORY_SALTS))
+    spread = per_id.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(HISTORY_SALTS - 1))))
+    return r.withColumn("_salt", salt).join(spread, [ID, "_salt"]).drop("_salt")
+
+
 def _history_facts(rows: DataFrame, order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Per-id facts about an ordered state history, skew-safe.
 
@@ -106,7 +129,7 @@ def _history_facts(rows: DataFrame, order: Sequence[str]) -> tuple[DataFrame, Da
     payload = [F.col(c) for c in (STATE, START, END, KM)]
     r = materialize(rows.withColumn("_o", o), "history")
     first = r.groupBy(ID).agg(F.min(F.struct(F.col("_o").alias("o"), *payload)).alias("f"))
-    after = (r.join(first, ID).filter(F.col("_o") > F.col("f.o"))
+    after = (_join_per_id(r, first, try_broadcast=False).filter(F.col("_o") > F.col("f.o"))
              .groupBy(ID).agg(
                  F.min(F.when(F.col(STATE).isin(RC, NC, TM),
                               F.struct(F.col("_o").alias("o"), *payload))).alias("n"),
@@ -115,7 +138,8 @@ def _history_facts(rows: DataFrame, order: Sequence[str]) -> tuple[DataFrame, Da
                  F.max(F.when(F.col(STATE) == C, F.struct(F.col("_o").alias("o"), *payload)))
                  .alias("cl"),
                  F.max(F.when(F.col(STATE) == RC, 1).otherwise(0)).alias("next_rc")))
-    facts = first.join(after, ID, "left").withColumn("next_rc", F.coalesce("next_rc", F.lit(0)))
+    facts = materialize(first.join(after, ID, "left")
+                        .withColumn("next_rc", F.coalesce("next_rc", F.lit(0))), "history-facts")
     return facts, r
 
 
@@ -124,7 +148,7 @@ def next_state(rows: DataFrame, order: Sequence[str] = (START, "numero_intervent
     """Per row: first_element (first state of the id's history), element_trouve
     (first RC/NC/TM after it, NULL if none) and next_rc (1 if an RC follows)."""
     facts, r = _history_facts(rows, order)
-    return (r.join(facts, ID)
+    return (_join_per_id(r, facts)
             .select(*rows.columns, F.col(f"f.{STATE}").alias("first_element"),
                     F.col(f"n.{STATE}").alias("element_trouve"), F.col("next_rc").cast("int")
                     .alias("next_rc")))
@@ -166,7 +190,7 @@ def lifetime(rows: DataFrame, order: Sequence[str] = (START, "numero_interventio
     here = F.col("_row").isNotNull() & F.col("_o").eqNullSafe(F.col("_row.o"))
     days = F.datediff(F.col(f"_to.{START}").cast("date"), F.col(f"_from.{END}").cast("date"))
     km = F.col(f"_to.{KM}") - F.col(f"_from.{KM}")
-    out = r.join(facts, ID)
+    out = _join_per_id(r, facts)
     jour = F.when(here, days).alias("duree_vie_jour")
     dkm = F.when(here, km).alias("duree_vie_km")
     cls = F.when(here, F.col("_cls")).alias("type_individu")
