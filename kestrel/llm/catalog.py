@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import (bpe, exact_dedup, html_text, near_dedup, packing, quality_classifier,
-                         quality_rules, sharding, toxicity)
+from kestrel.llm import (bpe, class_lm, exact_dedup, html_text, near_dedup, packing,
+                         quality_classifier, quality_rules, sharding, toxicity)
 from kestrel.session import materialize
 from kestrel.sources.tables import read_table
 
@@ -66,6 +66,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (~F.col("toxic")).alias("kept")))
 
 
+def op9_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_lm.score(read_table(spark, sf_dir, "documents"))
+
+
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(read_table(spark, sf_dir, "pages"))
 
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_sharding": op6_sharding,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_toxicity": op8_toxicity,
+    "op9_class_lm": op9_class_lm,
     "op10_html_extraction": op10_html_extraction,
 }
 
