@@ -16,12 +16,6 @@ def slot_start(ts: Column | str, seconds: int) -> Column:
         .cast("timestamp_ntz")
 
 
-def quarterhour(ts: Column | str) -> Column:
-    """Minute of the hour rounded down to the quarter (0, 15, 30, 45)."""
-    ts = F.col(ts) if isinstance(ts, str) else ts
-    return (F.floor(F.minute(ts) / 15) * 15).cast("int")
-
-
 def add_minutes(ts: Column, minutes: Column) -> Column:
     return ts + F.make_dt_interval(F.lit(0), F.lit(0), minutes.cast("int"), F.lit(0))
 

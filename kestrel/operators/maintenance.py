@@ -64,16 +64,16 @@ def assign_state(interventions: DataFrame, traceability: DataFrame, tolerance: f
     the ``bucket_days`` time buckets it covers and inner-joined to the
     traceability rows on (id, bucket) with the range as a residual, so a
     busy id is spread over its buckets and AQE may split a hot (id, bucket)
-    on either side. The matches (the answer's size) are materialized once,
-    because interventions with no match come from a left-anti join against
-    their keys.
+    on either side. Every intervention row gets an id of its own, stored with
+    its neighbour: it ends the order (several operations may share a number
+    and a start, and numbers may be NULL) and tells which rows had a match.
+    The matches (the answer's size) are materialized once, because rows with
+    no match come from a left-anti join against them.
     """
     width = bucket_days * 86400
-    key = [ID, *[c for c in order if c != ID]]
-    iv = with_next(interventions, [ID], list(order), [START], _bucket(START, width * 12),
-                   prefix="next_")
-    if censor_last:  # read twice below (windows and the no-match pool)
-        iv = materialize(iv, "interventions-next")
+    rest = [c for c in interventions.columns if c != ID and c not in order]
+    iv = with_next(interventions.withColumn("_rid", F.monotonically_increasing_id()), [ID],
+                   [*order, *rest, "_rid"], [START], _bucket(START, width), prefix="next_")
     nxt = F.col("next_" + START)
     delta = (nxt - F.col(START)) * F.lit(tolerance)
     win = (iv.filter(nxt.isNotNull())
@@ -84,13 +84,13 @@ def assign_state(interventions: DataFrame, traceability: DataFrame, tolerance: f
     matched = materialize(
         win.join(tr, (F.col(ID) == F.col("_tid")) & (F.col("_b") == F.col("_tb"))
                  & (F.col(DUE) > F.col("_lo")) & (F.col(DUE) <= F.col("_hi")))
-        .select(*interventions.columns, *trace_cols), "interval-matches")
-    pool = iv.filter(nxt.isNotNull()).select(*interventions.columns) if censor_last else interventions
-    unmatched = (pool.join(matched.select(*key).distinct(), key, "left_anti")
-                 .select(*interventions.columns,
+        .select("_rid", *interventions.columns, *trace_cols), "interval-matches")
+    pool = iv.filter(nxt.isNotNull()) if censor_last else iv
+    unmatched = (pool.join(matched.select("_rid").distinct(), "_rid", "left_anti")
+                 .select("_rid", *interventions.columns,
                          *[F.lit(None).cast(traceability.schema[c].dataType).alias(c)
                            for c in trace_cols]))
-    return matched.unionByName(unmatched).fillna({STATE: fill})
+    return matched.unionByName(unmatched).drop("_rid").fillna({STATE: fill})
 
 
 # Joining history rows to one-row-per-id facts: broadcast the facts up to this

@@ -4,14 +4,11 @@
 entity to one task: an entity holding a third of the data would make that
 task a third of the job. Here the window is partitioned by
 (entity, time bucket) -- a bucket's size is bounded by the sampling rate of
-the source -- and rows at a bucket edge take their neighbour from a
-per-bucket summary: first/last row of each non-empty bucket, computed with
-partial aggregation, then shifted by one bucket in a window over the
-summary (one row per bucket). Results equal a plain ``lag``/``lead`` over
-the entity's whole ordered history.
-
-Cost: two passes over the input (the window and the bucket summary) and two
-shuffles of it, against one pass and one shuffle for the plain window.
+the source. The windowed rows are written out once; then only the rows at
+bucket edges (the first and the last of each bucket, two at most) are read
+again and take their neighbour from the edge row beside them in a window over
+the entity. Results equal a plain ``lag``/``lead`` over the entity's whole
+ordered history, for one pass over the input and one shuffle of it.
 """
 
 from __future__ import annotations
@@ -21,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kestrel.session import materialize
+
 
 def with_neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column,
                     prev: Sequence[str] = (), next: Sequence[str] = (),
@@ -33,29 +32,23 @@ def with_neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], bu
     """
     keys, order, prev, nxt = list(keys), list(order), list(prev), list(next)
     b = df.withColumn("_bk", bucket)
-    ordering = F.struct(*[F.col(c) for c in order])
     w = Window.partitionBy(*keys, "_bk").orderBy(*[F.col(c) for c in order])
-    x = b.select("*", *[F.lag(c).over(w).alias(prev_prefix + c) for c in prev],
-                 *[F.lead(c).over(w).alias(next_prefix + c) for c in nxt],
-                 (F.row_number().over(w) == 1).alias("_first"),
-                 F.lead(F.lit(1)).over(w).isNull().alias("_last"))
-    aggs = []
-    if prev:
-        aggs.append(F.max_by(F.struct(*[F.col(c) for c in prev]), ordering).alias("_tail"))
-    if nxt:
-        aggs.append(F.min_by(F.struct(*[F.col(c) for c in nxt]), ordering).alias("_head"))
-    summary = b.groupBy(*keys, "_bk").agg(*aggs)
-    wb = Window.partitionBy(*keys).orderBy("_bk")
-    carried = summary.select(
-        *keys, "_bk",
-        *([F.lag("_tail").over(wb).alias("_from_prev")] if prev else []),
-        *([F.lead("_head").over(wb).alias("_from_next")] if nxt else []))
-    out = x.join(carried, keys + ["_bk"], "left")
-    filled = ([F.when(F.col("_first"), F.col(f"_from_prev.{c}")).otherwise(F.col(prev_prefix + c))
-               .alias(prev_prefix + c) for c in prev]
-              + [F.when(F.col("_last"), F.col(f"_from_next.{c}")).otherwise(F.col(next_prefix + c))
-                 .alias(next_prefix + c) for c in nxt])
-    return out.select(*df.columns, *filled)
+    x = materialize(b.select("*", *[F.lag(c).over(w).alias(prev_prefix + c) for c in prev],
+                             *[F.lead(c).over(w).alias(next_prefix + c) for c in nxt],
+                             (F.row_number().over(w) == 1).alias("_first"),
+                             F.lead(F.lit(1)).over(w).isNull().alias("_last")), "neighbours")
+    inner = x.filter("NOT _first AND NOT _last")
+    # edge rows of a key in order: first, last, first, last, ... (one row may be both)
+    along = Window.partitionBy(*keys).orderBy("_bk", F.when(F.col("_first"), 0).otherwise(1))
+    known = F.col("_bk").isNotNull()
+    from_prev = F.col("_first") & known & F.lag("_bk").over(along).isNotNull()
+    edges = x.filter("_first OR _last").select(
+        *df.columns,
+        *[F.when(from_prev, F.lag(c).over(along)).otherwise(F.col(prev_prefix + c))
+          .alias(prev_prefix + c) for c in prev],
+        *[F.when(F.col("_last") & known, F.lead(c).over(along)).otherwise(F.col(next_prefix + c))
+          .alias(next_prefix + c) for c in nxt])
+    return inner.select(edges.columns).unionByName(edges)
 
 
 def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str],

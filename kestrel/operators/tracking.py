@@ -8,13 +8,16 @@ grid.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.functions.geo import distance_3d_m, grid_cell
 from kestrel.functions.timefn import slot_start
-from kestrel.operators.joins import broadcast_if_bounded
+from kestrel.operators.joins import has_at_most
 from kestrel.operators.sequence import with_previous
+from kestrel.session import materialize
 
 GPS_COLUMNS = ("vin", "dt", "lat", "lng", "altitude", "speed", "motion", "power",
                "distance", "engineHours")
@@ -30,11 +33,15 @@ ENRICHED_COLUMNS = GPS_COLUMNS + ("acceleration", "accelerationHarshness",
 
 
 def normalize(raw: DataFrame) -> DataFrame:
-    """Decimal comma -> dot in numeric text; motion 0/1/true/false -> boolean."""
+    """Decimal comma -> dot in numeric text; motion 0/1/true/false -> boolean.
+
+    ``_raw`` keeps the columns as they came, for the quarantine.
+    """
     m = F.lower(F.trim(F.col("motion").cast("string")))
     motion = (F.when(m.isin("1", "true"), F.lit(True))
               .when(m.isin("0", "false"), F.lit(False)))
     return raw.withColumns({
+        "_raw": F.struct(*[F.col(c) for c in GPS_COLUMNS]),
         **{c: F.translate(F.col(c).cast("string"), ",", ".") for c in DECIMAL_COMMA_COLUMNS},
         "_motion_text": m, "motion": motion})
 
@@ -46,14 +53,16 @@ def _num(c: str, t: str) -> Column:
         F.expr(f"try_cast(try_cast({c} AS double) AS {t})"))
 
 
-def clean(normalized: DataFrame) -> DataFrame:
+def clean(normalized: DataFrame, speed_type: str = "int",
+          keep: Sequence[str] = ()) -> DataFrame:
     """Typed columns plus ``reject_reason`` (NULL for a good row).
 
     Reasons, first that applies: ``missing_key`` (vin, dt, lat or lng absent),
     ``bad_<col>`` (text present but not parsable), ``moving_while_parked``
     (speed > 0 while motion is false; unknown speed or motion does not
     trigger it). Casting happens before testing, so garbage is quarantined
-    with its reason instead of slipping through as NULL.
+    with its reason instead of slipping through as NULL. ``keep`` names further
+    columns to carry along.
     """
     def present(c):
         return F.col(c).isNotNull() & (F.trim(F.col(c).cast("string")) != "")
@@ -62,7 +71,7 @@ def clean(normalized: DataFrame) -> DataFrame:
         "vin": F.col("vin").cast("string"),
         "dt": F.expr("try_cast(dt AS timestamp_ntz)"),
         "lat": _num("lat", "double"), "lng": _num("lng", "double"),
-        "altitude": _num("altitude", "int"), "speed": _num("speed", "int"),
+        "altitude": _num("altitude", "int"), "speed": _num("speed", speed_type),
         "power": _num("power", "double"), "distance": _num("distance", "double"),
         "engineHours": _num("engineHours", "int"),
     }
@@ -82,19 +91,16 @@ def clean(normalized: DataFrame) -> DataFrame:
     # expression copied into it (predicate pushdown does not weigh cost).
     verdict = F.struct(*[typed[c].alias(c) if c in typed else F.col(c) for c in GPS_COLUMNS],
                        reason.alias("reject_reason"))
-    return normalized.select(*[F.col(c).alias(f"_raw_{c}") for c in GPS_COLUMNS if c != "motion"],
-                             F.inline(F.array(verdict)))
+    return normalized.select("_raw", *keep, F.inline(F.array(verdict)))
 
 
 def good_rows(cleaned: DataFrame) -> DataFrame:
     return cleaned.filter(F.col("reject_reason").isNull()).select(*GPS_COLUMNS)
 
 
-def rejected_rows(cleaned: DataFrame) -> DataFrame:
-    """Rejected rows as normalized text, with their reason; duplicates kept."""
-    raw = [F.col(f"_raw_{c}").alias(c) if c != "motion" else F.col("motion")
-           for c in GPS_COLUMNS]
-    return cleaned.filter(F.col("reject_reason").isNotNull()).select(*raw, "reject_reason")
+def rejected_rows(cleaned: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Rejected rows as they were read, with their reason; duplicates kept."""
+    return cleaned.filter(F.col("reject_reason").isNotNull()).select("_raw.*", *keep, "reject_reason")
 
 
 def split_clean(normalized: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -129,7 +135,7 @@ def driving_harshness(df: DataFrame, acc_limit: float = ACCELERATION_LIMIT,
 
 
 def poi_cells(pois: DataFrame, cell_m: float) -> DataFrame:
-    """POIs grouped by grid cell, each POI listed in its cell's 27 neighbours."""
+    """(cell, p): each POI in its own grid cell and the 26 around it."""
     off = F.array(*[F.lit(i) for i in (-1, 0, 1)])
     cell = grid_cell("lat", "lng", cell_m)
     p = pois.select(F.struct("name", "lat", "lng", "altitude", "radius").alias("p"),
@@ -139,34 +145,49 @@ def poi_cells(pois: DataFrame, cell_m: float) -> DataFrame:
             .select("p", "dx", "dy", F.explode(off).alias("dz"), "c")
             .select("p", F.struct((F.col("c.gx") + F.col("dx")).alias("gx"),
                                   (F.col("c.gy") + F.col("dy")).alias("gy"),
-                                  (F.col("c.gz") + F.col("dz")).alias("gz")).alias("cell"))
-            .groupBy("cell").agg(F.collect_list("p").alias("cands")))
+                                  (F.col("c.gz") + F.col("dz")).alias("gz")).alias("cell")))
 
 
-def resolve_pois(fixes: DataFrame, pois: DataFrame, max_broadcast_rows: int = 2_000_000,
+def resolve_pois(fixes: DataFrame, pois: DataFrame, max_broadcast_pois: int = 100_000,
                  radius_max_km: float | None = None) -> DataFrame:
     """Nearest POI of each fix, named when within that POI's radius (km), else NULL.
 
     Exact without a cross join: with grid cells no smaller than the largest
     radius, any POI that could be the labelled nearest one lies in the fix's
-    cell or a neighbour, and any POI nearer than it does too. Fixes look up
-    their cell's candidate list (equi join; broadcast when the cell table is
-    provably small, shuffle join with AQE skew splitting otherwise) and
-    take the minimum of (distance, name) -- ties go to the first name.
+    cell or a neighbour, and any POI nearer than it does too. Ties of the
+    distance go to the first name.
+
+    With at most ``max_broadcast_pois`` POIs (counted) each cell's candidates
+    are one list and the cell table, whose whole size that count bounds, is
+    broadcast. With more, candidates are rows: fixes join them by cell (a
+    shuffle join whose hot cells AQE can split) and each fix keeps the minimum,
+    partially aggregated -- no list of a cell is ever collected.
     """
     if radius_max_km is None:
         radius_max_km = pois.agg(F.max("radius")).first()[0]
     cell_m = max(float(radius_max_km or 0.0) * 1000.0 * 1.001, 1.0)
-    cells = broadcast_if_bounded(poi_cells(pois, cell_m), max_broadcast_rows)
-    keyed = fixes.withColumn("cell", grid_cell("lat", "lng", cell_m))
-    joined = keyed.join(cells, "cell", "left")
-    scored = F.transform(F.coalesce("cands", F.array()), lambda p: F.struct(
-        distance_3d_m("lat", "lng", "altitude", p["lat"], p["lng"], p["altitude"]).alias("d"),
-        p["name"].alias("name"), p["radius"].alias("radius")))
-    # nearest first in its own projection: lambda expressions are not shared
-    # by subexpression elimination, and the optimizer keeps this projection
-    # separate rather than repeat the expensive expression three times
-    best = joined.select(*fixes.columns, F.array_min(scored).alias("_best"))
+
+    def scored(p):
+        return F.struct(
+            distance_3d_m("lat", "lng", "altitude", p["lat"], p["lng"], p["altitude"]).alias("d"),
+            p["name"].alias("name"), p["radius"].alias("radius"))
+
+    if has_at_most(pois, max_broadcast_pois):
+        cells = poi_cells(pois, cell_m).groupBy("cell").agg(F.collect_list("p").alias("cands"))
+        joined = (fixes.withColumn("cell", grid_cell("lat", "lng", cell_m))
+                  .join(F.broadcast(cells), "cell", "left"))
+        # nearest first in its own projection: lambda expressions are not shared
+        # by subexpression elimination, and the optimizer keeps this projection
+        # separate rather than repeat the expensive expression three times
+        best = joined.select(*fixes.columns, F.array_min(
+            F.transform(F.coalesce("cands", F.array()), scored)).alias("_best"))
+    else:
+        keyed = materialize(fixes.withColumn("_fix", F.monotonically_increasing_id()), "poi-fixes")
+        near = (keyed.withColumn("cell", grid_cell("lat", "lng", cell_m))
+                .join(poi_cells(pois, cell_m), "cell")
+                .select("_fix", scored(F.col("p")).alias("s"))
+                .groupBy("_fix").agg(F.min("s").alias("_best")))
+        best = keyed.join(near, "_fix", "left")
     poi = F.when(F.col("_best.d") <= F.col("_best.radius") * 1000.0, F.col("_best.name"))
     return best.select(*fixes.columns, poi.alias("poi"))
 

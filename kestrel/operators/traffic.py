@@ -35,20 +35,23 @@ def outwardness(traffic: DataFrame, home: str, how: str = "inner") -> DataFrame:
     countries with traffic both ways (the reference behaviour); ``"full"``
     keeps one-way countries with a null on the missing side.
 
-    Both directions come from ONE conditional aggregation over the traffic
-    table (one scan, one shuffle). The totals are windows over the
+    Each direction is a branch of its own, filtered to ``home`` on one end: a
+    condition on either end cannot be pushed below the join that built the
+    traffic table, two plain ones can. The totals are windows over the
     per-country aggregate, whose size is bounded by the number of countries:
     no scalar round trip through the driver and no cross join.
     """
     if how not in ("inner", "full"):
         raise ValueError("how must be 'inner' or 'full'")
-    outbound = (F.col(ORIGIN) == home) & (F.col(DEST) != home)
-    inbound = (F.col(DEST) == home) & (F.col(ORIGIN) != home)
-    per_country = (traffic.filter(outbound | inbound)
-                   .groupBy(F.when(outbound, F.col(DEST)).otherwise(F.col(ORIGIN))
-                            .alias("COUNTRY_NAME"))
-                   .agg(F.sum(F.when(outbound, F.col("COUNT"))).alias("_out"),
-                        F.sum(F.when(inbound, F.col("COUNT"))).alias("_in")))
+    none = F.lit(None).cast("long")
+    outbound = (traffic.filter((F.col(ORIGIN) == home) & (F.col(DEST) != home))
+                .groupBy(F.col(DEST).alias("COUNTRY_NAME"))
+                .agg(F.sum("COUNT").alias("_out")).withColumn("_in", none))
+    inbound = (traffic.filter((F.col(DEST) == home) & (F.col(ORIGIN) != home))
+               .groupBy(F.col(ORIGIN).alias("COUNTRY_NAME"))
+               .agg(F.sum("COUNT").alias("_in")).withColumn("_out", none))
+    per_country = (outbound.unionByName(inbound).groupBy("COUNTRY_NAME")
+                   .agg(F.sum("_out").alias("_out"), F.sum("_in").alias("_in")))
     everyone = Window.partitionBy()
 
     def share(c):

@@ -175,6 +175,23 @@ def q_fuzzy_match_brand(spark, sf_dir):
         "a_partkey", "b_partkey", "a_name", "b_name", *block, "score")
 
 
+def q_fuzzy_name_pairs(spark, sf_dir):
+    """The brand-wide match as name pairs with group sizes."""
+    a, b, block = _part_sides(spark, sf_dir, P.MATCH_BLOCK_COARSE)
+    return mm.name_pair_groups(a, b, block, "a_name", "b_name", P.MATCH_THRESHOLD, symmetric=True)
+
+
+def q_field_match(spark, sf_dir):
+    """Field by field: name and type of parts of one brand and size."""
+    part = Tables(spark, sf_dir).part
+
+    def side(p):
+        return part.select("p_brand", "p_size", F.col("p_name").alias(f"{p}_name"),
+                           F.col("p_type").alias(f"{p}_type"))
+    return mm.field_match(side("a"), side("b"), ["p_brand", "p_size"],
+                          [("a_name", "b_name"), ("a_type", "b_type")], P.MATCH_THRESHOLD)
+
+
 def q_phonetic_match(spark, sf_dir):
     return mm.phonetic_columns(q_fuzzy_match(spark, sf_dir), "a_name", "b_name")
 
@@ -208,7 +225,62 @@ def q_stream_enriched(spark, sf_dir):
 
 def q_stream_rejects(spark, sf_dir):
     paths = _stream_run(spark, sf_dir, ("rejects",))
-    return spark.read.parquet(paths["rejects"])
+    return spark.read.parquet(paths["rejects"]).drop("epoch")
+
+
+def _in_time_order(spark, df, parts: int) -> str:
+    """``df`` written as ``parts`` files of consecutive time ranges of ``ts``, oldest first."""
+    import uuid
+
+    from kestrel.session import ensure_checkpoint_dir
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kestrel-feed-{uuid.uuid4().hex}"
+    cuts = df.select(F.unix_micros(F.col("ts").cast("timestamp")).cast("double").alias("t")) \
+        .approxQuantile("t", [i / parts for i in range(1, parts)], 0.01)
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    for lo, hi in zip([None, *cuts], [*cuts, None]):
+        piece = df
+        if lo is not None:
+            piece = piece.filter(at >= lo)
+        if hi is not None:
+            piece = piece.filter(at < hi)
+        piece.coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def q_stream_enriched_batches(spark, sf_dir):
+    """``events`` fed as several micro-batches: the stored fixes must carry over."""
+    from kestrel.streaming import telemetry as st
+    path = _in_time_order(spark, Tables(spark, sf_dir).events, 3)
+    feed = st.read_file_stream(spark, path, max_files_per_trigger=1)
+    paths = st.run_available_now(spark, derived.gps_raw(feed), _pois(spark, sf_dir))
+    return spark.read.parquet(paths["enriched"]).select(*tk.ENRICHED_COLUMNS)
+
+
+def _message_run(spark, sf_dir):
+    from kestrel.streaming import telemetry as st
+    path = _in_time_order(spark, derived.telemetry_messages(Tables(spark, sf_dir).events), 2)
+    feed = st.read_file_stream(spark, path, max_files_per_trigger=1).select("value")
+    return st.run_available_now(spark, feed, _pois(spark, sf_dir), clean=st.clean_messages)
+
+
+def q_stream_messages(spark, sf_dir):
+    """JSON messages end to end: decode, clean, accelerate, resolve POIs."""
+    return spark.read.parquet(_message_run(spark, sf_dir)["enriched"]).select(
+        "vin", "dt", "lat", "lng", "speed", "acceleration", "poi")
+
+
+def q_stream_poi_messages(spark, sf_dir):
+    """The POI messages the stream wrote, read back."""
+    from kestrel.streaming import telemetry as st
+    return st.decode_poi_messages(spark.read.parquet(_message_run(spark, sf_dir)["pois"]))
+
+
+def q_assign_state_operations(spark, sf_dir):
+    """Several operations per intervention number at one start."""
+    t = Tables(spark, sf_dir)
+    return mt.assign_state(derived.operations(t.lineitem, t.orders),
+                           derived.traceability(t.lineitem, t.orders)).select(
+        *mt.STATE_COLUMNS, "numero_intervention", "code_operation", mt.DUE)
 
 
 def q_lifetime_censored(spark, sf_dir):
@@ -258,9 +330,15 @@ QUERIES: dict[str, Query] = {
     "lifetime_censored": q_lifetime_censored,
     "fuzzy_match": q_fuzzy_match,
     "fuzzy_match_brand": q_fuzzy_match_brand,
+    "fuzzy_name_pairs": q_fuzzy_name_pairs,
+    "field_match": q_field_match,
     "phonetic_match": q_phonetic_match,
     "combined_match_and": q_combined_match_and,
     "combined_match_or": q_combined_match_or,
     "stream_enriched": q_stream_enriched,
     "stream_rejects": q_stream_rejects,
+    "stream_enriched_batches": q_stream_enriched_batches,
+    "stream_messages": q_stream_messages,
+    "stream_poi_messages": q_stream_poi_messages,
+    "assign_state_operations": q_assign_state_operations,
 }

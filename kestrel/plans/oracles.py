@@ -81,12 +81,14 @@ ev AS (
 
 
 def _logs_cte() -> str:
-    from kestrel.operators.logs import LOG_PATTERNS as R
     from kestrel.sources.derived import INCOMPLETE_BELOW_K, LOG_LEVELS, LOG_MESSAGES
     iso = "'%Y-%m-%dT%H:%M:%S'"
 
-    def ext(name):
-        return f"regexp_extract(log, {_q(R[name])}, 1)"
+    moment = r"\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}"
+    form = _q(rf"^({moment})\|({moment})? - ([A-Z]) ([A-Z]+) - (.*?) - (.*)$")
+
+    def ext(group):
+        return f"regexp_extract(log, {form}, {group})"
 
     return f"""{_events_cte()},
 lines AS (
@@ -98,11 +100,11 @@ lines AS (
          || ' - ' || ({_list(LOG_MESSAGES)})[user_id % {len(LOG_MESSAGES)} + 1] AS log
   FROM ev),
 parsed AS (
-  SELECT {ext("day")} AS day,
-         TRY_CAST(NULLIF({ext("date_start")}, '') AS TIMESTAMP) AS date_start,
-         TRY_CAST(NULLIF({ext("date_end")}, '') AS TIMESTAMP) AS date_end,
-         {ext("composante")} AS composante, {ext("niveau_log")} AS niveau_log,
-         {ext("correlation_id")} AS correlation_id, {ext("message")} AS message
+  SELECT left({ext(1)}, 10) AS day, TRY_CAST(NULLIF({ext(1)}, '') AS TIMESTAMP) AS date_start,
+         TRY_CAST(NULLIF({ext(2)}, '') AS TIMESTAMP) AS date_end,
+         {ext(3)} AS composante, {ext(4)} AS niveau_log, {ext(5)} AS correlation_id,
+         {ext(6)} AS message,
+         CASE WHEN NOT regexp_matches(log, {form}) THEN 'bad_line' END AS reject_reason
   FROM lines)"""
 
 
@@ -119,10 +121,10 @@ def _gaps() -> str:
     return f"""WITH {_logs_cte()},
 active AS (SELECT DISTINCT composante, time_bucket(INTERVAL '{m} minutes', date_start) AS slot
            FROM parsed WHERE date_start IS NOT NULL),
-bounds AS (SELECT composante, date_trunc('day', min(slot)) AS lo, date_trunc('day', max(slot)) AS hi
-           FROM active GROUP BY 1),
+bounds AS (SELECT date_trunc('day', min(slot)) AS lo, date_trunc('day', max(slot)) AS hi FROM active),
 calendar AS (SELECT composante, unnest(generate_series(lo, hi + INTERVAL '1 day' - INTERVAL '{m} minutes',
-                                                       INTERVAL '{m} minutes')) AS slot FROM bounds),
+                                                       INTERVAL '{m} minutes')) AS slot
+             FROM (SELECT DISTINCT composante FROM active), bounds),
 empty AS (SELECT c.composante, c.slot FROM calendar c
           WHERE NOT EXISTS (SELECT 1 FROM active a WHERE a.composante = c.composante AND a.slot = c.slot)),
 isl AS (SELECT composante, strftime(slot, '%Y-%m-%d') AS day, slot,
@@ -298,6 +300,24 @@ facts2 AS (
 MAINT_CTE = _maint_cte()
 
 
+def _operations() -> str:
+    return f"""WITH {MAINT_CTE},
+ops AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS numero_intervention, 'OP' || l_linenumber AS code_operation,
+         CAST(o_custkey AS VARCHAR) AS id_materiel, o_orderdate AS date_debut_intervention,
+         o_orderdate + to_days(CAST(1 + l_linenumber % 3 AS INTEGER)) AS date_fin_intervention,
+         CAST(l_linenumber * 10 AS INTEGER) AS releve_km
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+ow AS (SELECT *, lead(date_debut_intervention) OVER (PARTITION BY id_materiel
+         ORDER BY date_debut_intervention, numero_intervention, code_operation) AS nxt FROM ops),
+od AS (SELECT *, (nxt - date_debut_intervention) * 0.2 AS delta FROM ow)
+SELECT od.id_materiel, COALESCE(t.etat_organe, 'TM') AS etat_organe, od.date_debut_intervention,
+       od.date_fin_intervention, od.releve_km, od.numero_intervention, od.code_operation, t.date_echeance
+FROM od LEFT JOIN tr t ON od.id_materiel = t.id_materiel
+     AND t.date_echeance > od.date_debut_intervention - od.delta
+     AND t.date_echeance <= od.nxt - od.delta"""
+
+
 def _lifetime(censor_last: bool = False) -> str:
     return f"""WITH {_maint_cte(censor_last)},
 ruled AS (
@@ -374,6 +394,40 @@ def _matching(kind: str, block=P.MATCH_BLOCK) -> str:
     return f"WITH {_match_pairs(block)} SELECT {cols}{extra} FROM pairs WHERE {where}"
 
 
+def _name_pairs() -> str:
+    block = ", ".join(P.MATCH_BLOCK_COARSE)
+    return f"""WITH n AS (SELECT {block}, p_name, COUNT(*) AS k FROM part GROUP BY ALL),
+s AS (SELECT {", ".join("a." + c for c in P.MATCH_BLOCK_COARSE)}, a.p_name AS a_name, b.p_name AS b_name,
+             1 - CAST(levenshtein(a.p_name, b.p_name) AS DOUBLE)
+                 / NULLIF(CAST(greatest(length(a.p_name), length(b.p_name)) AS DOUBLE), 0) AS score,
+             a.k AS n_left, b.k AS n_right
+      FROM n a JOIN n b USING ({block}))
+SELECT * FROM s WHERE score >= {P.MATCH_THRESHOLD}"""
+
+
+def _field_match() -> str:
+    def sim(c):
+        return (f"COALESCE(1 - CAST(levenshtein(a.{c}, b.{c}) AS DOUBLE) / "
+                f"NULLIF(CAST(greatest(length(a.{c}), length(b.{c})) AS DOUBLE), 0), 0.0)")
+
+    def same(c):
+        a, b = soundex_sql(f"a.{c}"), soundex_sql(f"b.{c}")
+        return f"COALESCE(({a}) = ({b}), false)"
+
+    t = P.MATCH_THRESHOLD
+    return f"""WITH n AS (SELECT p_brand, p_size, p_name, p_type, COUNT(*) AS k FROM part GROUP BY ALL),
+s AS (SELECT a.p_brand, a.p_size, a.p_name AS a_name, a.p_type AS a_type, a.k AS n_left,
+             b.p_name AS b_name, b.p_type AS b_type, b.k AS n_right,
+             {sim("p_name")} AS score_a_name, {sim("p_type")} AS score_a_type,
+             {same("p_name")} AS s1, {same("p_type")} AS s2
+      FROM n a JOIN n b ON a.p_brand = b.p_brand AND a.p_size = b.p_size),
+m AS (SELECT *, (0.0 + score_a_name + score_a_type) / 2.0 AS score FROM s
+      WHERE score_a_name >= {t} OR score_a_type >= {t} OR s1 OR s2)
+SELECT p_brand, p_size, a_name, a_type, n_left, b_name, b_type, n_right, score_a_name, score_a_type,
+       s1 AND s2 AS same_sound, score
+FROM m WHERE score >= {t} OR (s1 AND s2)"""
+
+
 def oracles() -> dict[str, str]:
     home = _q(P.HOME)
     out = {
@@ -393,8 +447,11 @@ def oracles() -> dict[str, str]:
         "incomplete_requests": _incomplete(),
         "component_metrics": _metrics(),
         "gps_clean": f"WITH {_gps_cte()} SELECT {GPS_COLS} FROM good",
-        "gps_rejects": f"WITH {_gps_cte()} SELECT {GPS_COLS}, reject_reason FROM judged "
-                       "WHERE reject_reason IS NOT NULL",
+        "gps_rejects": f"WITH {_gps_cte()} SELECT vin, dt, replace(lat, '.', ',') AS lat, "
+                       "replace(lng, '.', ',') AS lng, altitude, speed, "
+                       "CASE WHEN motion THEN '1' ELSE '0' END AS motion, "
+                       "replace(power, '.', ',') AS power, replace(distance, '.', ',') AS distance, "
+                       "engineHours, reject_reason FROM judged WHERE reject_reason IS NOT NULL",
         "gps_acceleration": f"WITH {_gps_cte()} SELECT {GPS_COLS}, acceleration, "
                             "accelerationHarshness, breakingHarshness FROM accel",
         "gps_nearest_poi": f"WITH {_gps_cte()} SELECT {GPS_COLS}, poi FROM good "
@@ -412,6 +469,8 @@ FROM h JOIN facts2 f USING (id_materiel)""",
         "lifetime_censored": _lifetime(censor_last=True),
         "fuzzy_match": _matching("fuzzy"),
         "fuzzy_match_brand": _matching("fuzzy", P.MATCH_BLOCK_COARSE),
+        "fuzzy_name_pairs": _name_pairs(),
+        "field_match": _field_match(),
         "phonetic_match": _matching("phonetic"),
         "combined_match_and": _matching("and"),
         "combined_match_or": _matching("or"),
@@ -419,5 +478,12 @@ FROM h JOIN facts2 f USING (id_materiel)""",
     # the streaming job must give exactly the batch answer
     out["stream_enriched"] = out["gps_enriched"]
     out["stream_rejects"] = out["gps_rejects"]
+    out["stream_enriched_batches"] = out["gps_enriched"]
+    messages = _gps_cte().replace("FROM judged WHERE reject_reason IS NULL",
+                                  "FROM judged WHERE engineHours NOT IN ('0', '1')")
+    out["stream_messages"] = (f"WITH {messages} SELECT vin, dt, lat, lng, CAST(speed AS DOUBLE) AS speed, "
+                              "acceleration, poi FROM enriched")
+    out["stream_poi_messages"] = f"WITH {messages} SELECT vin, dt, poi FROM enriched WHERE poi IS NOT NULL"
+    out["assign_state_operations"] = _operations()
     out["driver_kpis_from_files"] = out["driver_kpis"]
     return out

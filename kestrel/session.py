@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,7 +49,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is. Only when it is unset (local tests) do we create a private folder.
+    as is; without it this is an error, because executors would write to disks
+    of their own. Only a session inside one machine's process (master
+    ``local``, ``local[n]``, as in tests) gets a private folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,11 +60,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not is_single_process(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="kestrel-ckpt-")
     sc.setCheckpointDir(configured)
     return configured
 
 
+def is_single_process(master: str) -> bool:
+    """True for ``local`` and ``local[...]``; a ``local-cluster`` has executors of its own."""
+    return master == "local" or master.startswith("local[")
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of any path Spark can read."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, p = hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """Cut lineage for a frame read more than once: write it, read it back.
 
@@ -70,9 +91,34 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     executor does not send the job back to the source scans, and every
     consumer reads the stored columns instead of recomputing them. A
     parquet write computes the frame once (an eager RDD checkpoint computes
-    it twice: once to count, once to write).
+    it twice: once to count, once to write). The folder is removed when the
+    application ends, or earlier by ``scratch``.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kestrel-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    fs, p = hadoop_path(spark, path)
+    fs.deleteOnExit(p)
+    for paths in _SCRATCH:
+        paths.append(path)
     return spark.read.parquet(path)
+
+
+_SCRATCH: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Removes the tables materialized inside the block when it ends.
+
+    For jobs that write their own outputs; a frame that outlives the block
+    must not depend on them.
+    """
+    paths: list[str] = []
+    _SCRATCH.append(paths)
+    try:
+        yield
+    finally:
+        _SCRATCH.remove(paths)
+        for path in paths:
+            remove_path(spark, path)

@@ -23,38 +23,35 @@ def traffic_table(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
     """Flight-summary shape: one row per (origin, destination, year).
 
     A line item is a "flight" from its supplier's nation to its customer's
-    nation in the year of the order. The fact stream is reduced to
-    (origin nation, destination nation, year) counts *before* names are
-    attached, so the only large shuffles are the two key joins; the final
-    aggregate has at most 25 x 25 x years groups and is partially
-    aggregated map-side.
+    nation in the year of the order. Names are attached to suppliers and
+    customers before the fact joins, so a filter on a country reaches those
+    small tables and cuts the facts at their first join; the final aggregate
+    has at most 25 x 25 x years groups and is partially aggregated map-side.
     """
+    names = broadcast_if_bounded(nation.select("n_nationkey", "n_name"), NATION_BOUND)
+    origins = (supplier.select("s_suppkey", "s_nationkey")
+               .join(names, F.col("s_nationkey") == F.col("n_nationkey"))
+               .select("s_suppkey", F.col("n_name").alias("ORIGIN_COUNTRY_NAME")))
+    dests = (customer.select("c_custkey", "c_nationkey")
+             .join(names, F.col("c_nationkey") == F.col("n_nationkey"))
+             .select("c_custkey", F.col("n_name").alias("DEST_COUNTRY_NAME")))
     origin = (lineitem.select("l_orderkey", "l_suppkey")
-              .join(supplier.select("s_suppkey", "s_nationkey"),
-                    F.col("l_suppkey") == F.col("s_suppkey"))
-              .select("l_orderkey", "s_nationkey"))
+              .join(origins, F.col("l_suppkey") == F.col("s_suppkey"))
+              .select("l_orderkey", "ORIGIN_COUNTRY_NAME"))
     dest = (orders.select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("YEAR"))
-            .join(customer.select("c_custkey", "c_nationkey"),
-                  F.col("o_custkey") == F.col("c_custkey"))
-            .select("o_orderkey", "YEAR", "c_nationkey"))
-    flows = (origin.join(dest, F.col("l_orderkey") == F.col("o_orderkey"))
-             .groupBy("s_nationkey", "c_nationkey", "YEAR")
-             .agg(F.count(F.lit(1)).alias("COUNT")))
-    names = broadcast_if_bounded(nation.select("n_nationkey", "n_name"), NATION_BOUND)
-    o_names = names.select(F.col("n_nationkey").alias("s_nationkey"),
-                           F.col("n_name").alias("ORIGIN_COUNTRY_NAME"))
-    d_names = names.select(F.col("n_nationkey").alias("c_nationkey"),
-                           F.col("n_name").alias("DEST_COUNTRY_NAME"))
-    return (flows.join(o_names, "s_nationkey").join(d_names, "c_nationkey")
-            .select("ORIGIN_COUNTRY_NAME", "DEST_COUNTRY_NAME",
-                    F.col("COUNT").cast("long").alias("COUNT"), "YEAR"))
+            .join(dests, F.col("o_custkey") == F.col("c_custkey"))
+            .select("o_orderkey", "YEAR", "DEST_COUNTRY_NAME"))
+    return (origin.join(dest, F.col("l_orderkey") == F.col("o_orderkey"))
+            .groupBy("ORIGIN_COUNTRY_NAME", "DEST_COUNTRY_NAME", "YEAR")
+            .agg(F.count(F.lit(1)).alias("COUNT"))
+            .select("ORIGIN_COUNTRY_NAME", "DEST_COUNTRY_NAME", "COUNT", "YEAR"))
 
 
 # ------------------------------------------------------------------- logs (E)
-# Log levels and messages of the reference's log lines.
+# Log levels of the line format. The messages are our own.
 LOG_LEVELS = ("DEBUG", "INFO", "WARNING", "ERROR")
-LOG_MESSAGES = ("doing great stuff here", "processing request", "an error occurred",
-                "task completed successfully")
+LOG_MESSAGES = ("cache warmed", "order accepted: forwarding", "disk-1 failed, retry in 5s - see runbook",
+                "batch closed (100%)")
 # Our mapping of event types to components, and of JSON ``k`` to duration.
 COMPONENT_OF_EVENT = {"click": "A", "view": "B", "purchase": "C", "signup": "D", "error": "E"}
 INCOMPLETE_BELOW_K = 10  # k < 10 -> request has no end time
@@ -181,6 +178,37 @@ def interventions(orders: DataFrame) -> DataFrame:
          + (F.col("o_orderkey") % 40).cast("int")).alias("releve_km"))
 
 
+def operations(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    """Several operations per intervention number: one per line item, all at the order's date."""
+    start = F.col("o_orderdate")
+    days = (F.lit(1) + F.col("l_linenumber") % 3).cast("int")
+    return (lineitem.select("l_orderkey", "l_linenumber")
+            .join(orders.select("o_orderkey", "o_custkey", "o_orderdate"),
+                  F.col("l_orderkey") == F.col("o_orderkey"))
+            .select(F.col("o_orderkey").cast("string").alias("numero_intervention"),
+                    F.concat(F.lit("OP"), F.col("l_linenumber").cast("string")).alias("code_operation"),
+                    F.col("o_custkey").cast("string").alias("id_materiel"),
+                    start.alias("date_debut_intervention"),
+                    (start + F.make_dt_interval(days, F.lit(0), F.lit(0), F.lit(0)))
+                    .alias("date_fin_intervention"),
+                    (F.col("l_linenumber") * 10).cast("int").alias("releve_km")))
+
+
+def telemetry_messages(events: DataFrame) -> DataFrame:
+    """Topic shape: a JSON ``value`` per event; k = 0 has no latitude, k = 1 is no JSON at all."""
+    base = events.select("user_id", "ts", event_k().alias("_k"),
+                         F.round(F.col("value") * 100.0).cast("long").alias("_v"))
+    k, v = F.col("_k"), F.col("_v")
+    message = F.to_json(F.struct(
+        F.col("user_id").cast("string").alias("vin"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"),
+        F.when(k > 0, F.concat(F.lit("48."), F.lpad(k.cast("string"), 2, "0")).cast("double"))
+        .alias("latitude"),
+        F.concat(F.lit("2."), F.lpad(v.cast("string"), 5, "0")).cast("double").alias("longitude"),
+        v.cast("double").alias("speed"), (k / F.lit(100.0)).alias("fuel_level")))
+    return base.select(F.when(k == 1, F.lit("not json")).otherwise(message).alias("value"), "ts")
+
+
 def traceability(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """One state per line item, due at its ship date, for the order's customer.
 

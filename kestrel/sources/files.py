@@ -1,15 +1,17 @@
 """Readers for the reference's own file formats (JSON summaries, `;` CSV, log text).
 
 All schemas are explicit: no inference pass over the data, and typed parsing
-is done afterwards with ``try_*`` functions so malformed values become a
-reason code instead of an exception (ANSI mode) or a silent null.
+is done afterwards with ``try_*`` functions. A row with a value that is there
+but cannot be parsed is rejected with a reason (``bad_<column>``): readers
+return the good rows, or with ``rejects=True`` the rejected ones as they were
+read, with ``reject_reason``. Good and rejected rows together are the input.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,6 +44,28 @@ def read_semicolon_csv(spark: SparkSession, path: str | list[str],
             .schema(_string_schema(columns)).csv(path))
 
 
+def _parsed(raw: DataFrame, typed: dict[str, Column], rejects: bool) -> DataFrame:
+    """Rows of ``raw`` with ``typed`` columns, split by whether all values could be parsed."""
+    reason = F.lit(None).cast("string")
+    for c, expr in reversed(typed.items()):
+        present = F.col(c).isNotNull() & (F.trim(c) != "")
+        reason = F.when(present & expr.isNull(), F.lit(f"bad_{c}")).otherwise(reason)
+    verdict = F.struct(*[typed.get(c, F.col(c)).alias(c) for c in raw.columns],
+                       reason.alias("reject_reason"))
+    rows = raw.select(F.struct(*raw.columns).alias("_raw"), F.inline(F.array(verdict)))
+    if rejects:
+        return rows.filter("reject_reason IS NOT NULL").select("_raw.*", "reject_reason")
+    return rows.filter("reject_reason IS NULL").drop("_raw", "reject_reason")
+
+
+def _try(c: str, kind: str) -> Column:
+    return F.expr(f"try_cast({c} AS {kind})")
+
+
+def _export_time(c: str) -> Column:
+    return F.try_to_timestamp(c, F.lit(MAINTENANCE_TS_FORMAT)).cast("timestamp_ntz")
+
+
 def read_traffic_json(spark: SparkSession, base: str, years: Iterable[int]) -> DataFrame:
     """Yearly flight summaries ``{base}/{year}.json`` as one multi-path scan.
 
@@ -61,29 +85,22 @@ def read_gps_day(spark: SparkSession, base: str, day: str) -> DataFrame:
     return read_semicolon_csv(spark, f"{base.rstrip('/')}/{day}/", GPS_COLUMNS)
 
 
-def read_pois(spark: SparkSession, path: str) -> DataFrame:
+def read_pois(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
     raw = read_semicolon_csv(spark, path, POI_COLUMNS)
-    return raw.select("name", *[F.expr(f"try_cast({c} AS double)").alias(c)
-                                for c in ("lat", "lng", "altitude", "radius")])
+    return _parsed(raw, {c: _try(c, "double") for c in POI_COLUMNS[1:]}, rejects)
 
 
-def read_maintenance(spark: SparkSession, path: str) -> DataFrame:
+def read_maintenance(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
     raw = read_semicolon_csv(spark, path, MAINTENANCE_COLUMNS)
-    fmt = F.lit(MAINTENANCE_TS_FORMAT)
-    return raw.select(
-        "numero_intervention", "code_operation", "id_materiel",
-        F.try_to_timestamp("date_debut_intervention", fmt).cast("timestamp_ntz")
-        .alias("date_debut_intervention"),
-        F.try_to_timestamp("date_fin_intervention", fmt).cast("timestamp_ntz")
-        .alias("date_fin_intervention"),
-        F.expr("try_cast(releve_km AS int)").alias("releve_km"))
+    return _parsed(raw, {"date_debut_intervention": _export_time("date_debut_intervention"),
+                         "date_fin_intervention": _export_time("date_fin_intervention"),
+                         "releve_km": _try("releve_km", "int")}, rejects)
 
 
-def read_traceability(spark: SparkSession, path: str) -> DataFrame:
+def read_traceability(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
     raw = read_semicolon_csv(spark, path, TRACEABILITY_COLUMNS)
-    return raw.select("id_materiel", F.trim("etat_organe").alias("etat_organe"),
-                      F.try_to_timestamp("date_echeance", F.lit(MAINTENANCE_TS_FORMAT))
-                      .cast("timestamp_ntz").alias("date_echeance"))
+    return _parsed(raw, {"etat_organe": F.trim("etat_organe"),
+                         "date_echeance": _export_time("date_echeance")}, rejects)
 
 
 def read_log_text(spark: SparkSession, path: str) -> DataFrame:
@@ -95,19 +112,18 @@ REPORT_COLUMNS = ("nom_emetteur", "prenoms_emetteur", "date_naissance_emetteur")
 CLIENT_COLUMNS = ("nom", "prenoms", "date_naissance", "numero_telephone")
 
 
-def read_reports(spark: SparkSession, path: str) -> DataFrame:
+def read_reports(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
     """Suspicious-activity reports: issuer surname, first names, birth date."""
     raw = read_semicolon_csv(spark, path, REPORT_COLUMNS)
-    return raw.withColumn("date_naissance_emetteur",
-                          F.expr("try_cast(date_naissance_emetteur AS date)"))
+    return _parsed(raw, {"date_naissance_emetteur": _try("date_naissance_emetteur", "date")}, rejects)
 
 
-def read_client_register(spark: SparkSession, path: str) -> DataFrame:
+def read_client_register(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
     """Client register; phone numbers rewritten to the +33 form."""
     from kestrel.functions.text import french_phone
     raw = read_semicolon_csv(spark, path, CLIENT_COLUMNS)
-    return raw.withColumns({"date_naissance": F.expr("try_cast(date_naissance AS date)"),
-                            "numero_telephone": french_phone("numero_telephone")})
+    return _parsed(raw, {"date_naissance": _try("date_naissance", "date"),
+                         "numero_telephone": french_phone("numero_telephone")}, rejects)
 
 
 def read_drivers(spark: SparkSession, path: str) -> DataFrame:

@@ -1,36 +1,37 @@
 """J12: streaming enrichment of vehicle telemetry (Structured Streaming).
 
-source (Kafka or files) -> decode -> clean (stateless; rejects to their own
-sink) -> acceleration (keyed state per vin) -> harshness (stateless) ->
-nearest POI (stream-static join on grid cells) -> parquet + POI messages.
-
-The batch ``lag`` cannot run on a stream (row windows are refused), so the
-previous fix of each vehicle lives in state: ``applyInPandasWithState``
-keyed by vin keeps the last fix's ordering key and speed. Rows of a
-micro-batch are sorted before use, so per-vehicle results equal the batch
-job whenever a vehicle's fixes arrive in time order across batches. A fix
-older than the vehicle's last one is flagged ``in_order = false`` (no
-acceleration, state untouched); fixes older than the watermark are dropped
-by Spark; idle vehicles expire by event-time timeout.
+source (Kafka or files) -> decode -> clean -> acceleration against each
+vehicle's last fix -> harshness -> nearest POI -> parquet + POI messages.
+
+The stream runs the batch operators on each micro-batch (``foreachBatch``)
+together with one stored row per vehicle, its last fix. That row takes part in
+the acceleration like any fix of the micro-batch, so the neighbour operator's
+(vehicle, hour) buckets also spread a hot vehicle of a stream over tasks. The
+stored fix never expires: a vehicle that returns after hours continues where
+the batch job would.
+
+Every input row reaches exactly one output: ``enriched``, ``rejects`` (cannot
+be decoded or cleaned, with a reason) or ``late`` (behind the vehicle's last
+fix of an earlier micro-batch, or delivered twice); ``counts`` has a row per
+micro-batch. All outputs and the stored fixes of micro-batch ``n`` live in
+folders ``epoch=n`` written by overwrite, from the stored fixes of the epoch
+before it, so a micro-batch that runs again replaces its own results.
 """
 
 from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from kestrel.operators import tracking as tk
-from kestrel.session import ensure_checkpoint_dir
+from kestrel.session import ensure_checkpoint_dir, hadoop_path, materialize, remove_path, scratch
 
-# Telemetry message layout of the reference's tracking topic.
+# Message layouts of the telemetry and POI topics.
 TELEMETRY_SCHEMA = T.StructType([
     T.StructField("vin", T.StringType()),
     T.StructField("timestamp", T.TimestampType()),
@@ -44,11 +45,8 @@ POI_MESSAGE_SCHEMA = T.StructType([
     T.StructField("dt", T.TimestampType()),
     T.StructField("poi", T.StringType()),
 ])
-STATE_SCHEMA = T.StructType([
-    T.StructField("dt_us", T.LongType()), T.StructField("secs", T.LongType()),
-    T.StructField("speed", T.DoubleType()), T.StructField("lat", T.DoubleType()),
-    T.StructField("lng", T.DoubleType()),
-])
+OUTPUTS = ("enriched", "pois", "rejects", "late", "counts")
+FIX = ("dt", "speed", "lat", "lng")
 
 
 # ------------------------------------------------------------------ sources
@@ -62,20 +60,6 @@ def read_kafka(spark: SparkSession, servers: str, topic: str,
     return reader.load()
 
 
-def decode_telemetry(messages: DataFrame) -> DataFrame:
-    """JSON ``value`` -> batch column names (dt, lat, lng); undecodable -> reject_reason."""
-    decoded = F.from_json(F.col("value").cast("string"), TELEMETRY_SCHEMA)
-    return messages.select(F.col("value").cast("string").alias("raw_value"),
-                           decoded.alias("m")).select(
-        "raw_value", F.col("m.vin").alias("vin"),
-        F.col("m.timestamp").cast("timestamp_ntz").alias("dt"),
-        F.col("m.latitude").alias("lat"), F.col("m.longitude").alias("lng"),
-        F.lit(None).cast("int").alias("altitude"), F.col("m.speed").alias("speed"),
-        F.lit(None).cast("boolean").alias("motion"), F.col("m.fuel_level").alias("fuel_level"),
-        F.when(F.col("m").isNull() | F.col("m.vin").isNull() | F.col("m.timestamp").isNull(),
-               F.lit("undecodable")).alias("reject_reason"))
-
-
 def read_file_stream(spark: SparkSession, path: str, fmt: str = "parquet",
                      max_files_per_trigger: int | None = None) -> DataFrame:
     """File stream with the schema taken from the files already there.
@@ -84,7 +68,8 @@ def read_file_stream(spark: SparkSession, path: str, fmt: str = "parquet",
     (the file source otherwise requires a directory).
     """
     schema = spark.read.format(fmt).load(path).schema
-    if not any(ch in path for ch in "*?[") and os.path.isfile(path):
+    fs, p = hadoop_path(spark, path)
+    if not any(ch in path for ch in "*?[") and fs.getFileStatus(p).isFile():
         head, tail = os.path.split(path)
         path = os.path.join(head, f"[{tail[0]}]{tail[1:]}")
     reader = spark.readStream.schema(schema).format(fmt)
@@ -93,135 +78,136 @@ def read_file_stream(spark: SparkSession, path: str, fmt: str = "parquet",
     return reader.load(path)
 
 
-# --------------------------------------------------------------- state step
-def _acceleration_fn(speed_factor: float, expiry_ms: int, out_cols: list[str]):
-    def fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        pdf = pd.concat(list(pdfs), ignore_index=True)
-        if pdf.empty:
-            return
-        us = pdf["dt"].values.astype("datetime64[us]").astype(np.int64)
-        spd = pdf["speed"].astype("float64").to_numpy()
-        lat = pdf["lat"].astype("float64").to_numpy()
-        lng = pdf["lng"].astype("float64").to_numpy()
-        spd_key = np.where(np.isnan(spd), -np.inf, spd)  # NULL speed sorts first
-        order = np.lexsort((lng, lat, spd_key, us))
-        pdf = pdf.iloc[order].reset_index(drop=True)
-        us, spd, spd_key, lat, lng = us[order], spd[order], spd_key[order], lat[order], lng[order]
-        secs = us // 1_000_000
-        n = len(pdf)
-        start, prev_secs, prev_spd = 0, None, np.nan
-        if state.exists:
-            l_us, l_secs, l_spd, l_lat, l_lng = state.get
-            l_key = -np.inf if l_spd is None else l_spd
-            # fixes behind the vehicle's last one: a prefix of the sorted batch
-            behind = (us < l_us) | ((us == l_us) & (
-                (spd_key < l_key) | ((spd_key == l_key) & (
-                    (lat < l_lat) | ((lat == l_lat) & (lng < l_lng))))))
-            start = int(behind.sum())
-            prev_secs, prev_spd = l_secs, (np.nan if l_spd is None else l_spd)
-        acc = np.full(n, np.nan)
-        if start < n:
-            s_secs, s_spd = secs[start:], spd[start:]
-            p_secs = np.concatenate(([0 if prev_secs is None else prev_secs], s_secs[:-1]))
-            p_spd = np.concatenate(([prev_spd], s_spd[:-1]))
-            ok = ~np.isnan(p_spd) & ~np.isnan(s_spd) & (s_secs != p_secs)
-            if prev_secs is None:
-                ok[0] = False
-            with np.errstate(divide="ignore", invalid="ignore"):
-                a = (s_spd - p_spd) * speed_factor / (s_secs - p_secs).astype(np.float64)
-            acc[start:] = np.where(ok, a, np.nan)
-            last_spd = None if np.isnan(spd[-1]) else float(spd[-1])
-            state.update((int(us[-1]), int(secs[-1]), last_spd, float(lat[-1]), float(lng[-1])))
-            state.setTimeoutTimestamp(int(us[-1] // 1000) + expiry_ms)
-        pdf = pdf.assign(acceleration=acc, in_order=np.arange(n) >= start)
-        yield pdf[out_cols]
-    return fn
-
-
-def stream_acceleration(fixes: DataFrame, speed_factor: float = tk.MPH_TO_MS,
-                        watermark: str = "10 minutes", expiry: str = "1 hour") -> DataFrame:
-    """Per-vin acceleration on a stream (same formula as the batch operator)."""
-    expiry_ms = int(pd.Timedelta(expiry).total_seconds() * 1000)
-    out_fields = list(fixes.schema.fields) + [T.StructField("acceleration", T.DoubleType()),
-                                              T.StructField("in_order", T.BooleanType())]
-    out_schema = T.StructType(out_fields)
-    fn = _acceleration_fn(speed_factor, expiry_ms, [f.name for f in out_fields])
-    # watermarks need a zoned timestamp; dt stays timestamp_ntz in the output
-    return (fixes.withColumn("_event_time", F.col("dt").cast("timestamp"))
-            .withWatermark("_event_time", watermark).groupBy("vin")
-            .applyInPandasWithState(fn, out_schema, STATE_SCHEMA, "append",
-                                    GroupStateTimeout.EventTimeTimeout))
-
-
-def enrich_stream(raw: DataFrame, pois: DataFrame, speed_factor: float = tk.MPH_TO_MS,
-                  watermark: str = "10 minutes") -> tuple[DataFrame, DataFrame]:
-    """(enriched stream, rejected stream) from a stream of raw GPS text rows."""
-    cleaned = tk.clean(tk.normalize(raw))
-    good, bad = tk.good_rows(cleaned), tk.rejected_rows(cleaned)
-    moving = tk.driving_harshness(stream_acceleration(good, speed_factor, watermark))
-    return tk.resolve_pois(moving, pois).select(*tk.ENRICHED_COLUMNS, "in_order"), bad
-
-
-# -------------------------------------------------------------------- sinks
-def poi_messages(enriched: DataFrame) -> DataFrame:
-    """(key, value) rows for the resolved-POI topic: JSON of (vin, dt, poi)."""
-    return enriched.filter(F.col("poi").isNotNull()).select(
-        F.col("vin").alias("key"), F.to_json(F.struct("vin", "dt", "poi")).alias("value"))
+# ----------------------------------------------------------------- messages
+def decode_telemetry(messages: DataFrame) -> DataFrame:
+    """JSON ``value`` -> ``raw_value``, the GPS columns as text, and ``undecodable``."""
+    text = F.col("value").cast("string")
+    decoded = messages.select(text.alias("raw_value"), F.from_json(text, TELEMETRY_SCHEMA).alias("m"))
+    given = {"vin": F.col("m.vin"), "dt": F.col("m.timestamp").cast("timestamp_ntz"),
+             "lat": F.col("m.latitude"), "lng": F.col("m.longitude"), "speed": F.col("m.speed")}
+    bad = F.col("m").isNull() | F.col("m.vin").isNull() | F.col("m.timestamp").isNull()
+    return decoded.select("raw_value",
+                          *[given.get(c, F.lit(None)).cast("string").alias(c) for c in tk.GPS_COLUMNS],
+                          F.col("m.fuel_level").alias("fuel_level"), bad.alias("undecodable"))
 
 
-def start_enriched_sink(enriched: DataFrame, out_dir: str, poi_dir: str, checkpoint: str,
-                        available_now: bool = False, kafka: dict | None = None):
-    """Append enriched rows as parquet (partitioned by day) and resolved POIs.
+def clean_reports(batch: DataFrame) -> DataFrame:
+    """Cleaned rows (see ``tracking.clean``) of raw GPS reports."""
+    return tk.clean(tk.normalize(batch))
 
-    POI messages go to Kafka when ``kafka`` options are given, else to
-    parquet. One ``foreachBatch`` writes both from the same micro-batch.
-    """
-    def write(batch: DataFrame, epoch: int):
-        batch = batch.persist()
-        (batch.withColumn("day", F.to_date("dt")).write.mode("append")
-         .partitionBy("day").parquet(out_dir))
-        msgs = poi_messages(batch)
-        if kafka:
-            msgs.write.format("kafka").options(**kafka).save()
-        else:
-            msgs.write.mode("append").parquet(poi_dir)
-        batch.unpersist()
-
-    w = enriched.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-    return w.start()
+
+def clean_messages(batch: DataFrame) -> DataFrame:
+    """Cleaned rows of JSON messages; one that cannot be decoded keeps its text as the raw vin column."""
+    rows = tk.clean(tk.normalize(decode_telemetry(batch)), speed_type="double", keep=("raw_value", "undecodable"))
+    return (rows.withColumn("reject_reason", F.when(F.col("undecodable"), F.lit("undecodable"))
+                            .otherwise(F.col("reject_reason"))).drop("undecodable"))
 
 
-def start_reject_sink(rejects: DataFrame, out_dir: str, checkpoint: str,
-                      available_now: bool = False):
-    w = (rejects.writeStream.format("parquet").option("path", out_dir)
-         .option("checkpointLocation", checkpoint).outputMode("append"))
+def poi_messages(enriched: DataFrame) -> DataFrame:
+    """(key, value) rows for the resolved-POI topic: JSON of (vin, dt, poi)."""
+    return enriched.filter(F.col("poi").isNotNull()).select(
+        F.col("vin").alias("key"), F.to_json(F.struct("vin", "dt", "poi"), {
+            "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}).alias("value"))
+
+
+def decode_poi_messages(messages: DataFrame) -> DataFrame:
+    """The POI topic read back: vin, dt, poi (NULLs where a message cannot be decoded)."""
+    decoded = F.from_json(F.col("value").cast("string"), POI_MESSAGE_SCHEMA)
+    return messages.select(decoded.alias("m")).select(
+        "m.vin", F.col("m.dt").cast("timestamp_ntz").alias("dt"), "m.poi")
+
+
+# -------------------------------------------------------------- micro-batch
+def _last_fixes(spark: SparkSession, base: str, epoch: int) -> DataFrame | None:
+    """The stored fixes of the latest epoch before ``epoch``."""
+    fs, p = hadoop_path(spark, f"{base}/state")
+    if not fs.exists(p):
+        return None
+    done = [int(s.getPath().getName().partition("=")[2]) for s in fs.listStatus(p)
+            if s.getPath().getName().startswith("epoch=")]
+    before = [n for n in done if n < epoch]
+    for old in sorted(before)[:-2]:  # a replay needs the one before, never older ones
+        remove_path(spark, f"{base}/state/epoch={old}")
+    return spark.read.parquet(f"{base}/state/epoch={max(before)}") if before else None
+
+
+def _sorted_out(good: DataFrame, last: DataFrame | None, drop_repeats: bool) -> DataFrame:
+    """``good`` with ``late_reason``: NULL, ``late`` or ``duplicate``."""
+    reason = F.lit(None).cast("string")
+    rows = good
+    if last is not None:
+        rows = rows.join(last.select(F.col("vin").alias("_v"), F.struct(*FIX).alias("_last")),
+                         F.col("vin") == F.col("_v"), "left").drop("_v")
+        mine = F.struct(*FIX)
+        reason = F.when(mine < F.col("_last"), F.lit("late"))
+        if drop_repeats:
+            reason = reason.when(mine == F.col("_last"), F.lit("duplicate"))
+    if drop_repeats:
+        same = Window.partitionBy(*tk.GPS_COLUMNS).orderBy(F.lit(1))
+        rows = rows.withColumn("_n", F.row_number().over(same))
+        reason = F.coalesce(reason, F.when(F.col("_n") > 1, F.lit("duplicate")))
+    return rows.withColumn("late_reason", reason).drop("_last", "_n")
+
+
+def process_batch(batch: DataFrame, epoch: int, base: str, pois: DataFrame,
+                  clean: Callable[[DataFrame], DataFrame] = clean_reports,
+                  speed_factor: float = tk.MPH_TO_MS, drop_repeats: bool = False,
+                  kafka: dict | None = None, outputs: tuple[str, ...] = OUTPUTS) -> None:
+    """Write all outputs of one micro-batch under ``base`` (see the module's text)."""
+    spark = batch.sparkSession
+
+    def write(df: DataFrame, name: str) -> int:
+        path = f"{base}/{name}/epoch={epoch}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.schema(df.schema).parquet(path).count()
+
+    with scratch(spark):
+        cleaned = materialize(clean(batch), "stream-cleaned")
+        counts = {"n_input": cleaned.count(), "n_rejects": 0, "n_late": 0, "n_enriched": 0}
+        if "rejects" in outputs:
+            raw = [c for c in ("raw_value",) if c in cleaned.columns]
+            counts["n_rejects"] = write(tk.rejected_rows(cleaned, raw), "rejects")
+        if "enriched" in outputs:
+            last = _last_fixes(spark, base, epoch)
+            good = materialize(_sorted_out(tk.good_rows(cleaned), last, drop_repeats), "stream-good")
+            counts["n_late"] = write(good.filter("late_reason IS NOT NULL"), "late")
+            fixes = good.filter("late_reason IS NULL").drop("late_reason")
+            both = fixes.withColumn("_stored", F.lit(False))
+            if last is not None:
+                both = both.unionByName(last.withColumn("_stored", F.lit(True)), allowMissingColumns=True)
+            moving = tk.driving_harshness(tk.compute_acceleration(both, speed_factor))
+            enriched = tk.resolve_pois(moving.filter("NOT _stored"), pois).select(*tk.ENRICHED_COLUMNS)
+            counts["n_enriched"] = write(enriched, "enriched")
+            stored = spark.read.schema(enriched.schema).parquet(f"{base}/enriched/epoch={epoch}")
+            messages = poi_messages(stored)
+            if kafka:
+                messages.write.format("kafka").options(**kafka).save()
+            else:
+                write(messages, "pois")
+            newest = both.groupBy("vin").agg(F.max(F.struct(*FIX)).alias("f")).select("vin", "f.*")
+            write(newest, "state")
+        row = spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} long" for c in counts))
+        write(row, "counts")
+
+
+def start(stream: DataFrame, pois: DataFrame, base: str, checkpoint: str,
+          available_now: bool = False, **options):
+    """Start the enrichment of a stream of raw reports (or messages, ``clean=clean_messages``)."""
+    def each(batch: DataFrame, epoch: int) -> None:
+        process_batch(batch, epoch, base, pois, **options)
+
+    w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
 
 
-def run_available_now(spark: SparkSession, raw: DataFrame, pois: DataFrame,
-                      base: str | None = None,
-                      outputs: tuple[str, ...] = ("enriched", "rejects")) -> dict:
+def run_available_now(spark: SparkSession, stream: DataFrame, pois: DataFrame,
+                      base: str | None = None, **options) -> dict:
     """Run the enrichment over everything the source holds now; return output paths.
 
-    ``outputs`` picks the streaming queries to run: "enriched" (enriched rows
-    + POI messages) and/or "rejects". Output and checkpoints live under the
-    session's checkpoint folder (shared storage on a cluster), in a fresh
-    sub-folder per run.
+    Output and checkpoint live under the session's checkpoint folder (shared
+    storage on a cluster), in a fresh sub-folder per run.
     """
     base = base or os.path.join(ensure_checkpoint_dir(spark), f"telemetry-{uuid.uuid4().hex}")
-    paths = {k: os.path.join(base, k) for k in ("enriched", "pois", "rejects", "chk_e", "chk_r")}
-    enriched, rejects = enrich_stream(raw, pois)
-    running = []
-    if "enriched" in outputs:
-        running.append(start_enriched_sink(enriched, paths["enriched"], paths["pois"],
-                                           paths["chk_e"], True))
-    if "rejects" in outputs:
-        running.append(start_reject_sink(rejects, paths["rejects"], paths["chk_r"], True))
-    for q in running:
-        q.awaitTermination()
-    return paths
+    start(stream, pois, base, f"{base}/checkpoint", True, **options).awaitTermination()
+    return {k: f"{base}/{k}" for k in (*OUTPUTS, "state")}

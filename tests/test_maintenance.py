@@ -91,3 +91,41 @@ def test_identical_twin_counts_as_a_later_row(spark):
     assert mt.lifetime(hist, ORDER).filter("type_individu IS NOT NULL").count() == 0
     out = mt.next_state(hist, ORDER).collect()
     assert {(r.first_element, r.element_trouve, r.next_rc) for r in out} == {("NC", "NC", 0)}
+
+
+def test_two_operations_under_one_number(spark):
+    rows = [("1", "opA", "X", D(1), D(2), 0), ("1", "opB", "X", D(1), D(3), 0), ("2", "op", "X", D(11), D(12), 5)]
+    iv = spark.createDataFrame(rows, IV)
+    tr = spark.createDataFrame([("X", "RC", D(5))], TR)
+    got = sorted((r.numero_intervention, r.code_operation, r.etat_organe) for r in mt.assign_state(iv, tr).collect())
+    assert got == [("1", "opA", "TM"), ("1", "opB", "RC"), ("2", "op", "TM")]
+
+
+def test_null_number_is_matched_once(spark):
+    rows = [(None, "op", "X", D(1), D(2), 0), ("2", "op", "X", D(11), D(12), 5)]
+    tr = spark.createDataFrame([("X", "RC", D(5))], TR)
+    got = sorted((str(r.numero_intervention), r.etat_organe)
+                 for r in mt.assign_state(spark.createDataFrame(rows, IV), tr).collect())
+    assert got == [("2", "TM"), ("None", "RC")]
+
+
+def test_history_job_from_files(spark, tmp_path):
+    from kestrel.plans import jobs
+    (tmp_path / "m.csv").write_text(
+        "numero_intervention;code_operation;id_materiel;date_debut_intervention;date_fin_intervention;releve_km\n"
+        "1;A;X;01/01/2020 00:00:00;02/01/2020 00:00:00;100\n2;A;X;11/01/2020 00:00:00;12/01/2020 00:00:00;200\n"
+        "3;A;X;21/01/2020 00:00:00;22/01/2020 00:00:00;300\n4;A;X;2020-02-01;;400\n")
+    (tmp_path / "t.csv").write_text(
+        "id_materiel;etat_organe;date_echeance\nX; RC ;05/01/2020 00:00:00\nX;NC;15/01/2020 00:00:00\nX;C;soon\n")
+    out = jobs.maintenance_history(spark, str(tmp_path / "m.csv"), str(tmp_path / "t.csv"), str(tmp_path / "out"))
+
+    def rows(name):
+        return spark.read.options(header=True, sep=";").csv(out[name]).collect()
+
+    assert [(r.numero_intervention, r.reject_reason) for r in rows("rejects_maintenance")] == [
+        ("4", "bad_date_debut_intervention")]
+    assert [(r.date_echeance, r.reject_reason) for r in rows("rejects_traceability")] == [("soon", "bad_date_echeance")]
+    marked = [(r.numero_intervention, r.type_individu, r.duree_vie_jour, r.duree_vie_km)
+              for r in rows("lifetime") if r.type_individu]
+    assert marked == [("1", "defaillant", "9", "100")]
+    assert {(r.first_element, r.element_trouve) for r in rows("next_state")} == {("RC", "NC")}

@@ -85,3 +85,25 @@ def test_signature_candidates_are_exact(spark):
         want = {(bl, a, b) for bl, a in lrows for bl2, b in lrows
                 if bl == bl2 and 1 - _lev(a, b) / max(len(a), len(b)) >= t}
         assert sym == want, t
+
+
+def test_fields_match_in_any_order_of_names(spark):
+    from kestrel.operators import matching as mm
+    left = spark.createDataFrame([("1980", "Dupont", "Jean"), ("1980", "Dupont", "Jean"), ("1980", "Martin", "Zoe")],
+                                 "y string, nom_e string, prenom_e string")
+    right = spark.createDataFrame([("1980", "Dupond", "Jean"), ("1980", "Jean", "Dupont"), ("1980", "Marten", "Zoé")],
+                                  "y string, nom string, prenom string")
+    got = {(r.nom_e, r.prenom_e, r.nom, r.prenom): r for r in mm.field_match(
+        left, right, ["y"], [("nom_e", "nom"), ("prenom_e", "prenom")]).collect()}
+    assert set(got) == {("Dupont", "Jean", "Dupond", "Jean"), ("Martin", "Zoe", "Marten", "Zoé")}
+    r = got["Dupont", "Jean", "Dupond", "Jean"]
+    assert r.n_left == 2 and r.n_right == 1 and abs(r.score - (5 / 6 + 1) / 2) < 1e-12
+
+
+def test_name_pair_groups_do_not_expand_copies(spark):
+    from kestrel.operators import matching as mm
+    rows = [("B", "same name")] * 50 + [("B", "same nome")] * 30
+    a, b = (spark.createDataFrame(rows, f"blk string, {c} string") for c in ("a_name", "b_name"))
+    got = {(r.a_name, r.b_name): (r.n_left, r.n_right) for r in mm.name_pair_groups(
+        a, b, ["blk"], "a_name", "b_name", symmetric=True).collect()}
+    assert len(got) == 4 and got["same name", "same nome"] == (50, 30)

@@ -106,3 +106,22 @@ def test_driver_kpis_fuel_and_poi_count(spark):
     r = tk.driver_kpis(enriched, drivers, assign).collect()[0]
     assert (r.driverName, r.distance, r.fuelConsumption, r.visitedPOIsCount) == ("Ann", 9147.07, 3.567, 1)
     assert (r.maxAcceleration, r.maxBreaking, r.harshAccelerationsCount) == (1.0, -2.0, 0)
+
+
+def test_quarantine_keeps_the_row_as_read(spark):
+    df = spark.createDataFrame([raw_row(motion="maybe")], RAW_SCHEMA) if "RAW_SCHEMA" in globals() else \
+        spark.createDataFrame([raw_row(motion="maybe")], ", ".join(f"{c} string" for c in tk.GPS_COLUMNS))
+    r = tk.rejected_rows(tk.clean(tk.normalize(df))).collect()[0]
+    assert r.motion == "maybe" and r.power == "1,5" and r.reject_reason == "bad_motion"
+
+
+def test_poi_rows_path_equals_broadcast_path(spark):
+    from kestrel.sources import derived
+    from kestrel.sources.tables import Tables
+
+    from conftest import SMOKE
+    t = Tables(spark, SMOKE)
+    good = tk.good_rows(tk.clean(tk.normalize(derived.gps_raw(t.events))))
+    pois = derived.pois_from_nation(t.nation)
+    a, b = (sorted(map(tuple, tk.resolve_pois(good, pois, n).collect()), key=repr) for n in (100, 0))
+    assert a == b and len(a) == good.count()
