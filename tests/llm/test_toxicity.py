@@ -3,7 +3,7 @@ import numpy as np
 from helpers import DOCS, ODD, SMOKE, docs
 from kestrel.llm import toxicity as tx
 
-BIG = "/root/testdata/sf0.01"
+BIG = "/root/testdata/sf0.1"
 
 
 def test_held_out_accuracy(spark):
@@ -12,8 +12,8 @@ def test_held_out_accuracy(spark):
     assert model.thresholds == sorted(model.thresholds)
     got = {r.doc_id: r for r in tx.score(documents, model).collect()}
     truth = duckdb.connect().sql(f"SELECT doc_id, toxic FROM '{BIG}/labels.parquet' WHERE doc_id % 3 = 1").fetchall()
-    assert np.mean([got[d].toxic == bool(t) for d, t in truth]) > 0.95
-    assert np.mean([not got[d].toxic for d, t in truth if not t]) > 0.97
+    assert np.mean([got[d].toxic for d, t in truth if t]) > 0.85
+    assert np.mean([not got[d].toxic for d, t in truth if not t]) > 0.99
     for r in got.values():
         assert r.p_toxic >= r.p_severe and abs(r.expected_severity - r.p_toxic - r.p_severe) < 1e-12
 
