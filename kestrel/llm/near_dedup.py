@@ -8,11 +8,15 @@ sorted prefix trees: documents that share a prefix of a tree are neighbours.
 2. Regions (shared prefixes of depth 3, 5, 8) link their members to the
    region's most central member: one link per member and tree, however large
    the region is. The best link of each document is confirmed on full sets.
-3. Documents still in different components are compared inside their regions:
-   all pairs where the shallow region is small, else one level deeper, and at
-   the deepest level without limit. Regions that already are one component are
-   skipped, which is what keeps a huge group of near copies linear.
-4. Pairs pass a 128-bit sketch first and are confirmed on full sets.
+3. Documents still in different components are linked to other hubs and to
+   their neighbours in the sorted orders, and confirmed. What is open after
+   that is compared inside the regions: all pairs where the shallow region is
+   small, else one level deeper; in a large deepest region every component
+   meets the largest one, member by member inside a join. Regions that already
+   are one component are skipped, which keeps a huge group of near copies
+   linear.
+4. Pairs whose sizes and sketches (two bits of each min-hash) allow the
+   similarity are confirmed on full sets.
 
 Defined results: NULL or empty texts and texts without a word have no
 shingles, stay alone and are kept; a text shorter than a shingle is one
@@ -29,10 +33,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import Memo, id_and_raw, keep_ids
+from kestrel.llm.common import Memo, id_and_raw, keep_ids, only
 from kestrel.llm.components import components
 from kestrel.session import materialize
 
@@ -48,7 +52,7 @@ _K = TREES * DEPTH
 _RNG = np.random.Generator(np.random.PCG64(7))
 _MUL = _RNG.integers(1, 2**32, _K, np.uint32) | np.uint32(1)
 _XOR = _RNG.integers(0, 2**32, _K, np.uint32)
-_WORDS: Memo | None = None
+_WORDS = Memo(xxhash.xxh3_64_intdigest, 300_000)
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -60,9 +64,6 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 def shingle_set(raw: bytes, width: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the text's word shingles."""
-    global _WORDS
-    if _WORDS is None:
-        _WORDS = Memo(xxhash.xxh3_64_intdigest)
     words = raw.lower().split()
     if not words:
         return np.empty(0, np.uint64)
@@ -85,9 +86,9 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def _sketches(sig: np.ndarray) -> np.ndarray:
-    """One bit per min-hash, as two signed 64-bit numbers a row."""
-    bits = ((sig * np.uint32(0x9E3779B1)) >> np.uint32(31)).astype(np.uint8)
-    return np.packbits(bits, axis=1).view("<i8")
+    """Two bits per min-hash, in two planes of two signed 64-bit numbers a row each."""
+    planes = [((sig * np.uint32(m)) >> np.uint32(31)).astype(np.uint8) for m in (0x9E3779B1, 0x85EBCA77)]
+    return np.hstack([np.packbits(bits, axis=1).view("<i8") for bits in planes])
 
 
 def _prefix_keys(sig: np.ndarray) -> dict[int, np.ndarray]:
@@ -102,7 +103,8 @@ def _prefix_keys(sig: np.ndarray) -> dict[int, np.ndarray]:
     return keys
 
 
-_SIGNED = ("doc_id long, n_shingles long, set_hash binary, sk1 long, sk2 long, "
+SKETCH = ("sk1", "sk2", "sk3", "sk4")
+_SIGNED = ("doc_id long, n_shingles long, set_hash binary, " + "".join(f"{c} long, " for c in SKETCH)
            + ", ".join(f"k{d} array<long>" for d in LEVELS))
 
 
@@ -110,6 +112,7 @@ def signatures(docs: DataFrame, width: int, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
     """Per document: set size, a 128-bit hash of the set, sketch and the keys of all trees."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only(_WORDS)
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 b = batch.slice(lo, 512)
@@ -124,9 +127,9 @@ def signatures(docs: DataFrame, width: int, id_col: str = "doc_id",
                 offsets = pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * TREES)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(hashes, pa.binary()),
-                     pa.array(sk[:, 0].copy()), pa.array(sk[:, 1].copy()),
+                     *[pa.array(sk[:, j].copy()) for j in range(len(SKETCH))],
                      *[pa.ListArray.from_arrays(offsets, pa.array(keys[d].ravel())) for d in LEVELS]],
-                    names=["doc_id", "n_shingles", "set_hash", "sk1", "sk2", *[f"k{d}" for d in LEVELS]])
+                    names=["doc_id", "n_shingles", "set_hash", *SKETCH, *[f"k{d}" for d in LEVELS]])
 
     return id_and_raw(docs, id_col, text_col).mapInArrow(run, _SIGNED)
 
@@ -134,6 +137,7 @@ def signatures(docs: DataFrame, width: int, id_col: str = "doc_id",
 def shingle_sets(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
     """(id, set): the full set of every document as an array of longs."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only(_WORDS)
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 b = batch.slice(lo, 256)
@@ -148,24 +152,27 @@ def shingle_sets(docs: DataFrame, width: int, id_col: str, text_col: str) -> Dat
 
 
 def sketch_limit(percent: int) -> int:
-    """Differing sketch bits a pair at the similarity threshold stays below, but for rare chance."""
-    p = (1 - percent / 100) / 2
+    """Differing min-hashes a pair at the similarity threshold shows at most, but for rare chance.
+
+    Two different min-hashes have equal sketch bits once in four times.
+    """
+    p = (1 - percent / 100) * 3 / 4
     return math.ceil(_K * p + SKETCH_SIGMAS * math.sqrt(_K * p * (1 - p)))
 
 
 def _near(a: str, b: str, percent: int) -> Column:
-    """Whether two sketches differ by no more than the limit."""
-    bits = (F.bit_count(F.col(f"{a}.sk1").bitwiseXOR(F.col(f"{b}.sk1")))
-            + F.bit_count(F.col(f"{a}.sk2").bitwiseXOR(F.col(f"{b}.sk2"))))
-    return bits <= sketch_limit(percent)
-
-
-def confirm(docs: DataFrame, pairs: DataFrame, width: int, percent: int, id_col: str,
-            text_col: str) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the similarity."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b"))
-    sets = materialize(shingle_sets(keep_ids(docs, ids, id_col), width, id_col, text_col)
-                       .dropDuplicates(["id"]), "near-sets")
+    """Whether sizes allow the similarity (an exact bound) and sketches do not rule it out."""
+    def differ(low, high):
+        return (F.col(f"{a}.{low}").bitwiseXOR(F.col(f"{b}.{low}"))
+                .bitwiseOR(F.col(f"{a}.{high}").bitwiseXOR(F.col(f"{b}.{high}"))))
+
+    bits = F.bit_count(differ("sk1", "sk3")) + F.bit_count(differ("sk2", "sk4"))
+    na, nb = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
+    return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & (bits <= sketch_limit(percent))
+
+
+def confirm(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets (``sets``: id, set) reach the similarity."""
     both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")
             .join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b"))
     shared = F.size(F.array_intersect("sa", "sb"))
@@ -176,8 +183,8 @@ def confirm(docs: DataFrame, pairs: DataFrame, width: int, percent: int, id_col:
 def _tree_rows(reps: DataFrame) -> DataFrame:
     """A row per representative and tree, only of trees whose shallowest region has company."""
     keys = F.arrays_zip(*[F.col(f"k{d}") for d in LEVELS])
-    rows = (reps.select("id", "sk1", "sk2", F.explode(keys).alias("k"))
-            .select("id", "sk1", "sk2", *[F.col(f"k.k{d}").alias(f"k{d}") for d in LEVELS]))
+    rows = (reps.select("id", "n_shingles", *SKETCH, F.explode(keys).alias("k"))
+            .select("id", "n_shingles", *SKETCH, *[F.col(f"k.k{d}").alias(f"k{d}") for d in LEVELS]))
     top = f"k{LEVELS[0]}"
     shared = rows.groupBy(top).agg(F.count("*").alias("n")).filter("n > 1").select(top)
     return rows.join(shared, top)
@@ -197,9 +204,9 @@ def _star_links(trees: DataFrame, percent: int) -> DataFrame:
     for d in LEVELS:
         key = f"k{d}"
         hubs = (rows.groupBy(key).agg(F.max(F.struct(
-            "central", (-F.col("id")).alias("neg"), "sk1", "sk2")).alias("h"))
-            .select(key, F.col("h.central").alias("central"), (-F.col("h.neg")).alias("hub"),
-                    F.col("h.sk1").alias("sk1"), F.col("h.sk2").alias("sk2")))
+            "central", (-F.col("id")).alias("neg"), "n_shingles", *SKETCH)).alias("h"))
+            .select(key, (-F.col("h.neg")).alias("hub"), "h.central", "h.n_shingles",
+                    *[f"h.{c}" for c in SKETCH]))
         level = (trees.alias("x").join(hubs.alias("y"), (F.col(f"x.{key}") == F.col(f"y.{key}"))
                                        & (F.col("x.id") != F.col("y.hub")) & _near("x", "y", percent))
                  .select(F.col("x.id").alias("a"), F.col("y.hub").alias("b"), F.col("y.central").alias("central")))
@@ -207,8 +214,40 @@ def _star_links(trees: DataFrame, percent: int) -> DataFrame:
     return links.distinct()
 
 
-def _open_pairs(trees: DataFrame, percent: int, region: int) -> DataFrame:
-    """Pairs of documents of different components that share a region, by adaptive depth."""
+#: Rows of one region that are sorted together to find neighbours.
+SORTED_ROWS = 4096
+
+
+def _neighbour_links(trees: DataFrame, percent: int) -> DataFrame:
+    """(a, b): neighbours in the sorted order of a tree that are in different components.
+
+    Inside a shallow region, rows that share a longer prefix stand together.
+    A large region is dealt out by its next level, so no task sorts it whole.
+    """
+    top, mid, deep = (f"k{d}" for d in LEVELS)
+    size = trees.groupBy(top).agg(F.count("*").alias("n"), F.min("comp").alias("lo"),
+                                  F.max("comp").alias("hi")).filter("lo <> hi").select(top, "n")
+    deal = F.pmod(F.col(mid), F.ceil(F.col("n") / SORTED_ROWS))
+    order = Window.partitionBy(top, deal).orderBy(mid, deep, "id")
+    me = ("id", "comp", "n_shingles", *SKETCH)
+    links = None
+    for ahead in (1, 2):
+        near = (trees.join(size, top)
+                .select(F.struct(*me).alias("x"), F.lead(F.struct(*me), ahead).over(order).alias("y"))
+                .filter((F.col("x.comp") != F.col("y.comp")) & _near("x", "y", percent))
+                .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")))
+        links = near if links is None else links.union(near)
+    return links
+
+
+def _open_pairs(trees: DataFrame, percent: int, region: int) -> tuple[DataFrame, DataFrame]:
+    """What is open between documents of different components that share a region.
+
+    By adaptive depth: pairs (a, b) of a shallow region with at most ``region``
+    members; larger regions go one level deeper. In a large deepest region the
+    members outside its largest component give pairs among each other, and
+    meetings (ca, cb) of their components with the largest one.
+    """
     pairs, rows = None, trees
     for d in LEVELS:
         key, last = f"k{d}", d == LEVELS[-1]
@@ -216,38 +255,85 @@ def _open_pairs(trees: DataFrame, percent: int, region: int) -> DataFrame:
                                        F.max("comp").alias("hi"))
                  .filter("lo <> hi").select(key, "n"))
         rows = rows.join(mixed, key)
-        here = rows if last else rows.filter(F.col("n") <= region)
+        here = rows.filter(F.col("n") <= region)
+        if last:
+            parts = rows.filter(F.col("n") > region).groupBy(key, "comp").agg(F.count("*").alias("k"))
+            big = (parts.groupBy(key).agg(F.max(F.struct("k", (-F.col("comp")).alias("neg"))).alias("m"))
+                   .select(key, (-F.col("m.neg")).alias("big")))
+            others = rows.filter(F.col("n") > region).join(big, key).filter("comp <> big")
+            meetings = others.select(F.col("comp").alias("ca"), F.col("big").alias("cb")).distinct()
+            here = here.union(others.drop("big").select(here.columns))
         x, y = here.alias("x"), here.alias("y")
         level = (x.join(y, (F.col(f"x.{key}") == F.col(f"y.{key}"))
                         & (F.col("x.comp") < F.col("y.comp")) & _near("x", "y", percent))
                  .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")))
         pairs = level if pairs is None else pairs.union(level)
         rows = rows.filter(F.col("n") > region).drop("n")
-    return pairs.distinct()
+    return pairs, meetings
+
 
+def _confirm_meetings(meetings: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components that meet: every member of one against every member of the other.
 
-def near_links(docs: DataFrame, reps: DataFrame, width: int, percent: int, region: int = REGION,
+    Sketch and full sets are compared inside the join, so only links come out
+    of it. The smaller component is the side that is repeated per meeting.
+    """
+    size = members.groupBy("comp").agg(F.count("*").alias("k"))
+    sized = (meetings.join(size.select(F.col("comp").alias("ca"), F.col("k").alias("ka")), "ca")
+             .join(size.select(F.col("comp").alias("cb"), F.col("k").alias("kb")), "cb"))
+    small = F.when(F.col("ka") <= F.col("kb"), F.col("ca")).otherwise(F.col("cb"))
+    large = F.when(F.col("ka") <= F.col("kb"), F.col("cb")).otherwise(F.col("ca"))
+    asked = sized.select(small.alias("comp"), large.alias("other")).distinct()
+    full = members.join(sets, "id")
+    x = full.join(asked, "comp").alias("x")
+    y = full.join(asked.select(F.col("other").alias("comp")).distinct(), "comp", "left_semi").alias("y")
+    shared = F.size(F.array_intersect(F.col("x.set"), F.col("y.set")))
+    united = F.col("x.n_shingles") + F.col("y.n_shingles") - shared
+    return (x.join(y, (F.col("x.other") == F.col("y.comp")) & _near("x", "y", percent)
+                   & (100 * shared >= percent * united))
+            .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")))
+
+
+def near_components(docs: DataFrame, reps: DataFrame, width: int, percent: int, region: int = REGION,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Confirmed links between representatives that span every component."""
+    """(id, component) of every representative that has a confirmed link."""
     trees = materialize(_tree_rows(reps), "near-trees")
     stars = materialize(_star_links(trees, percent), "near-stars")
+    # whoever shares a region may have to be confirmed: their sets are made once
+    sets = materialize(shingle_sets(keep_ids(docs, trees.select(F.col("id").alias("doc_id")), id_col),
+                                    width, id_col, text_col).dropDuplicates(["id"]), "near-sets")
     first = (stars.groupBy("a").agg(F.max(F.struct("central", (-F.col("b")).alias("neg"))).alias("h"))
              .select("a", (-F.col("h.neg")).alias("b")))
-    links = materialize(confirm(docs, first, width, percent, id_col, text_col), "near-links")
+    links = materialize(confirm(sets, first, percent), "near-links")
     comp = materialize(components(links), "near-comp")
 
     def component(rows: DataFrame, col: str, out: str) -> DataFrame:
         known = comp.select(F.col("id").alias(col), F.col("component").alias("_c"))
         return rows.join(known, col, "left").withColumn(out, F.coalesce("_c", col)).drop("_c")
 
-    open_pairs = _open_pairs(component(trees, "id", "comp"), percent, region)
-    rest = component(component(stars.select("a", "b"), "a", "ca"), "b", "cb").filter("ca <> cb")
-    more = (open_pairs.union(rest.select("a", "b"))
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    more = materialize(more, "near-open")
-    if more.isEmpty():
-        return links
-    return links.union(confirm(docs, more, width, percent, id_col, text_col))
+    def ordered(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    # first what grows with the documents: other stars, neighbours in the sorted orders
+    other = component(component(stars.select("a", "b"), "a", "ca"), "b", "cb").filter("ca <> cb")
+    near = _neighbour_links(component(trees, "id", "comp"), percent)
+    near = materialize(ordered(near.union(other.select("a", "b"))), "near-neighbours")
+    if not near.isEmpty():
+        links = materialize(links.union(confirm(sets, near, percent)), "near-links")
+        comp = materialize(components(links), "near-comp")
+    # then everything that is still open inside a region
+    rows = component(trees, "id", "comp")
+    pairs, meetings = _open_pairs(rows, percent, region)
+    pairs = materialize(ordered(pairs).join(near, ["a", "b"], "left_anti"), "near-pairs")
+    meetings = materialize(meetings, "near-meetings")
+    more = None
+    if not pairs.isEmpty():
+        more = confirm(sets, pairs, percent)
+    if not meetings.isEmpty():
+        members = rows.select("id", "comp", "n_shingles", *SKETCH).distinct()
+        met = _confirm_meetings(meetings, members, sets, percent)
+        more = met if more is None else more.union(met)
+    return comp if more is None else components(links.union(more))
 
 
 def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80, region: int = REGION,
@@ -261,9 +347,8 @@ def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80, region: int =
     known = signed.filter("doc_id IS NOT NULL AND n_shingles > 0")
     groups = materialize(known.groupBy("set_hash", "n_shingles").agg(
         F.min("doc_id").alias("id"), *[F.any_value(c).alias(c) for c in
-                                       ("sk1", "sk2", *[f"k{d}" for d in LEVELS])]), "near-groups")
-    links = near_links(docs, groups, width, percent, region, id_col, text_col)
-    comp = components(links)
+                                       (*SKETCH, *[f"k{d}" for d in LEVELS])]), "near-groups")
+    comp = near_components(docs, groups, width, percent, region, id_col, text_col)
     member = (groups.select("set_hash", "n_shingles", "id").join(comp, "id", "left")
               .select("set_hash", "n_shingles", F.coalesce("component", "id").alias("component")))
     out = signed.select("doc_id", "n_shingles", "set_hash").join(member, ["set_hash", "n_shingles"], "left")
