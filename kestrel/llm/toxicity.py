@@ -1,12 +1,15 @@
 """Toxicity by cumulative-link ordinal regression on sparse word features.
 
 ``P(grade >= k) = sigmoid(w . x - threshold_k)`` with one weight vector for all
-ordered thresholds. ``x`` holds ``log(1 + count)`` of the words that tell toxic
-from clean labelled documents best (chi-square, ``max_features`` of them).
+ordered thresholds. ``x`` holds ``log(1 + count)`` of the words and word
+beginnings (four and five bytes, for inflected forms) that speak for toxicity:
+commoner in toxic labelled documents, by a chi-square beyond ``LEAST_CHI``, the
+strongest ``max_features`` of them. Words that merely fill clean documents are
+no features, so groups of copies cannot crowd them out.
 
 Grades: 0 not toxic, 1 toxic, 2 severe. Labels say toxic or not; a toxic
-document is severe when its share of clearly toxic words is at or above the
-median of the toxic documents. The fit uses a bounded sample of labelled
+document is severe when it has at least as many clearly toxic features as the
+median toxic document. The fit uses a bounded sample of labelled
 documents (``max_train``, by a hash of the id). Words are runs of letters and
 digits with A-Z lower-cased; ASCII punctuation separates them.
 
@@ -25,11 +28,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import raw_text
+from kestrel.llm.common import Memo, only, raw_text
 from kestrel.session import materialize
 
-MAX_TRAIN = 20_000
-MAX_FEATURES = 2_000
+MAX_TRAIN = 10_000
+MAX_FEATURES = 500
+LEAST_DOCUMENTS = 3
+#: The 0.1 % point of chi-square with one degree of freedom.
+LEAST_CHI = 10.83
 GRADES = 3
 REJECT_AT = 0.5
 
@@ -41,23 +47,33 @@ def text_words(raw: bytes) -> list[bytes]:
     return raw.translate(_TABLE).split()
 
 
+def features(word: bytes) -> tuple[bytes, ...]:
+    """A word and its beginnings; the star, which no word holds, marks a beginning."""
+    return (word, word[:4] + b"*", word[:5] + b"*") if len(word) > 5 else (word,)
+
+
 @dataclass
 class OrdinalModel:
     weights: dict[bytes, float]
     thresholds: list[float]
 
+    def __post_init__(self) -> None:
+        self.memo = Memo(lambda w: tuple(f for f in features(w) if f in self.weights), 200_000)
+
+    def __reduce__(self):
+        return OrdinalModel, (self.weights, self.thresholds)
+
     def eta(self, raw: bytes) -> float:
         """The linear predictor of one text."""
-        weights = self.weights
         found: dict[bytes, int] = {}
-        for w in text_words(raw):
-            if w in weights:
-                found[w] = found.get(w, 0) + 1
-        return float(sum(weights[w] * np.log1p(c) for w, c in found.items()))
+        for fs in map(self.memo.__getitem__, text_words(raw)):
+            for f in fs:
+                found[f] = found.get(f, 0) + 1
+        return float(sum(self.weights[f] * np.log1p(c) for f, c in found.items()))
 
 
 def fit_cumulative(rows: np.ndarray, cols: np.ndarray, vals: np.ndarray, y: np.ndarray, width: int,
-                   grades: int = GRADES, ridge: float = 0.02, steps: int = 400, rate: float = 0.1
+                   grades: int = GRADES, ridge: float = 1.0, steps: int = 500, rate: float = 0.1
                    ) -> tuple[np.ndarray, np.ndarray]:
     """Shared weights and ordered thresholds by Adam on the cumulative-link likelihood.
 
@@ -108,21 +124,21 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN,
 
     def counts(batches):
         schema = pa.schema([("_lid", pa.int64()), ("toxic", pa.int32()), ("word", pa.binary()),
-                            ("n", pa.int64()), ("total", pa.int64())])
+                            ("n", pa.int64())])
         for b in batches:
             for d, y, raw in zip(*(b.column(c).to_pylist() for c in ("_lid", "toxic", "raw"))):
                 found: dict[bytes, int] = {}
-                words = text_words(raw)
-                for w in words:
-                    found[w] = found.get(w, 0) + 1
+                for w in text_words(raw):
+                    for f in features(w):
+                        found[f] = found.get(f, 0) + 1
                 if found:
                     k = len(found)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([d] * k, pa.int64()), pa.array([y] * k, pa.int32()),
-                         pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64()),
-                         pa.array([len(words)] * k, pa.int64())], schema=schema)
+                         pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())],
+                        schema=schema)
 
-    bags = materialize(texts.mapInArrow(counts, "_lid long, toxic int, word binary, n long, total long"),
+    bags = materialize(texts.mapInArrow(counts, "_lid long, toxic int, word binary, n long"),
                        "tox-bags")
     sizes = {r["toxic"]: r["n"] for r in bags.select("_lid", "toxic").distinct()
              .groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -134,25 +150,27 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN,
     c, d = tox - a, clean - b
     chi = (a * d - b * c) ** 2 * (tox + clean) / ((a + b) * (c + d + 1e-9) * float(tox) * float(clean))
     odds = F.log((a + 0.5) / (tox + 1)) - F.log((b + 0.5) / (clean + 1))
-    words = (df.filter("df >= 3").select("word", chi.alias("chi"), odds.alias("odds"))
+    words = (df.filter(F.col("df") >= LEAST_DOCUMENTS).select("word", chi.alias("chi"), odds.alias("odds"))
+             .filter((F.col("odds") > 0) & (F.col("chi") > LEAST_CHI))
              .orderBy(F.desc("chi"), "word").limit(max_features).collect())
     index = {bytes(r["word"]): i for i, r in enumerate(words)}
     if not index:
         return OrdinalModel({}, [30.0, 31.0])
-    strong = {bytes(r["word"]) for r in words if r["odds"] > 2.0}
     picked = F.broadcast(docs.sparkSession.createDataFrame(  # max_features rows
-        [(bytearray(w), i) for w, i in index.items()], "word binary, col int"))
-    got = bags.join(picked, "word").select("_lid", "toxic", "col", "n", "total", "word").toPandas()
-    ids = {d: i for i, d in enumerate(sorted(got["_lid"].unique()))}
-    rows = got["_lid"].map(ids).to_numpy(np.int64)
+        [(bytearray(r["word"]), i, float(r["odds"] > 2.0)) for i, r in enumerate(words)],
+        "word binary, col int, strong double"))
+    got = bags.join(picked, "word").select(
+        F.col("_lid").alias("lid"), "toxic", "col", "n",
+        (F.col("strong") * F.col("n")).alias("hits")).toPandas()
+    _, rows = np.unique(got["lid"].to_numpy(np.int64), return_inverse=True)
+    size = int(rows.max()) + 1 if len(rows) else 0
     cols, vals = got["col"].to_numpy(np.int64), np.log1p(got["n"].to_numpy(float))
-    toxic = np.zeros(len(ids), np.int64)
+    toxic = np.zeros(size, np.int64)
     toxic[rows] = got["toxic"].to_numpy(np.int64)
-    hit = got["word"].map(bytes).isin(strong).to_numpy() * got["n"].to_numpy(float)
-    share = np.bincount(rows, hit / got["total"].to_numpy(float), len(ids))
+    hits = np.bincount(rows, got["hits"].to_numpy(float), size)
     grade = toxic.copy()
     if toxic.any():
-        grade[(toxic == 1) & (share >= np.median(share[toxic == 1]))] = 2
+        grade[(toxic == 1) & (hits >= np.median(hits[toxic == 1]))] = 2
     # labelled documents without any of the words are rows of zeros
     rest = np.concatenate([np.ones(max(0, tox - int(toxic.sum())), np.int64),
                            np.zeros(max(0, clean - int((toxic == 0).sum())), np.int64)])
@@ -163,6 +181,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN,
 def eta_column(model: OrdinalModel, text_col: str = "text") -> Column:
     @F.arrow_udf("double")
     def eta(raw: pa.Array) -> pa.Array:
+        only(model.memo)
         return pa.array([model.eta(r) for r in raw.to_pylist()], pa.float64())
 
     return eta(raw_text(text_col))
