@@ -25,7 +25,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from kestrel.llm.common import Memo, id_and_raw
+from kestrel.llm.common import Memo, id_and_raw, only
 from kestrel.llm.tokens import byte_chars
 
 #: Fixed value: how byte-level vocabularies split text before merging.
@@ -159,6 +159,7 @@ def coder(path: str) -> BytePairCoder:
     """The coder of this Python worker, kept between tasks."""
     if path not in _CODERS:
         _CODERS[path] = BytePairCoder(path)
+    only(_CODERS[path].pieces, _CODERS[path].fragments)
     return _CODERS[path]
 
 

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import Memo, id_and_raw
+from kestrel.llm.common import Memo, id_and_raw, only
 from kestrel.session import materialize
 
 MIN_SHARE = 1e-6
@@ -169,6 +169,7 @@ def encode(docs: DataFrame, types) -> DataFrame:
         t = types.value
         if _MEMO is None or _MEMO[0] != t.key:
             _MEMO = (t.key, Memo(t.of, 400_000))
+        only(_MEMO[1])
         of, first_family, base = _MEMO[1].__getitem__, 1 + t.frequent, t.base_log()
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import id_and_raw, keep_ids
+from kestrel.llm.common import id_and_raw, keep_ids, only
 from kestrel.session import materialize
 
 #: The largest prime below 2**128.
@@ -60,6 +60,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = id_and_raw(docs, id_col, text_col).withColumn("uid", F.monotonically_increasing_id())
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only()
         for b in batches:
             low = [r.lower() for r in b.column("raw").to_pylist()]
             yield pa.RecordBatch.from_arrays([

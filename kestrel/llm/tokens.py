@@ -12,7 +12,7 @@ import re
 
 import numpy as np
 
-from kestrel.llm.common import Memo
+from kestrel.llm.common import Memo, only
 
 # Chunks of these characters need no Unicode tables: lower-casing and the
 # split pattern are decided by the ranges below. Others go to the library.
@@ -71,4 +71,5 @@ def chunk_encoder(path: str) -> ChunkEncoder:
     """The encoder of this Python worker; it is built once and keeps its memo between tasks."""
     if path not in _ENCODERS:
         _ENCODERS[path] = ChunkEncoder(path)
+    only(_ENCODERS[path].memo)
     return _ENCODERS[path]
