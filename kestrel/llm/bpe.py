@@ -18,6 +18,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
+import struct
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -34,6 +35,11 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: version; texts that hold any are split by the library's own pre-tokenizer.
 _SETTLED = re.compile("[\x00-ɏͰ-ϿЀ-ҁ‐-‧‰-⁞"
                       "ぁ-ゖァ-ヺ一-龥가-힣]*")
+#: Texts of ASCII and Latin-1 letters alone need no Unicode tables: the same pattern with plain classes.
+_LATIN = re.compile("[\x00-\x7fÀ-ÖØ-öø-ÿ]*")
+_LATIN_PIECES = re.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^A-Za-zÀ-ÖØ-öø-ÿ0-9 \t-\r]+"
+    r"|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+")
 #: Longer pieces and fragments are not memoised.
 MEMO_BYTES = 48
 _LONG = 40
@@ -61,6 +67,7 @@ class BytePairCoder:
             if len(t) > 1:
                 b = np.frombuffer(t, np.uint8).astype(np.int64)
                 self.inside[b[:-1] * 256 + b[1:]] = True
+        self.inside_list = self.inside.tolist()
         self.pattern = regex.compile(PATTERN)
         self.cut_special = re.compile("|".join(map(re.escape, self.special))) if self.special else None
         self.pieces = Memo(self._piece, most)
@@ -69,8 +76,10 @@ class BytePairCoder:
 
     def cuts(self, raw: bytes) -> list[bytes]:
         """The fragments of ``raw`` between forced boundaries."""
-        if len(raw) < 2:
-            return [raw]
+        if len(raw) <= MEMO_BYTES:
+            inside = self.inside_list
+            at = [i for i in range(1, len(raw)) if not inside[raw[i - 1] << 8 | raw[i]]]
+            return [raw[i:j] for i, j in zip([0, *at], [*at, len(raw)])] if at else [raw]
         b = np.frombuffer(raw, np.uint8).astype(np.int64)
         at = (np.flatnonzero(~self.inside[b[:-1] * 256 + b[1:]]) + 1).tolist()
         return [raw[i:j] for i, j in zip([0, *at], [*at, len(raw)])]
@@ -81,7 +90,8 @@ class BytePairCoder:
 
     def _fragment(self, raw: bytes) -> bytes:
         ids = [self.byte_ids[b] for b in raw]
-        return np.array(self._merge_long(ids) if len(ids) > _LONG else self._merge(ids), "<u4").tobytes()
+        ids = self._merge_long(ids) if len(ids) > _LONG else self._merge(ids)
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _merge(self, ids: list[int]) -> list[int]:
         """Apply the lowest-ranked merge, leftmost first, until none applies."""
@@ -122,6 +132,8 @@ class BytePairCoder:
         return [x for x in ids if x >= 0]
 
     def _split(self, text: str) -> list[str]:
+        if _LATIN.fullmatch(text):
+            return _LATIN_PIECES.findall(text)
         if _SETTLED.fullmatch(text):
             return self.pattern.findall(text)
         if self._library is None:
