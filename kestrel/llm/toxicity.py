@@ -2,10 +2,10 @@
 
 ``P(grade >= k) = sigmoid(w . x - threshold_k)`` with one weight vector for all
 ordered thresholds. ``x`` holds ``log(1 + count)`` of the words and word
-beginnings (four and five bytes, for inflected forms) that speak for toxicity:
-commoner in toxic labelled documents, by a chi-square beyond ``LEAST_CHI``, the
-strongest ``max_features`` of them. Words that merely fill clean documents are
-no features, so groups of copies cannot crowd them out.
+beginnings (four and five bytes, for inflected forms) that speak for or against
+toxicity: all that occur in ``LEAST_DOCUMENTS`` labelled documents and differ
+between toxic and clean ones by a chi-square beyond ``LEAST_CHI``. The bounded
+sample bounds their number.
 
 Grades: 0 not toxic, 1 toxic, 2 severe. Labels say toxic or not; a toxic
 document is severe when it has at least as many clearly toxic features as the
@@ -21,6 +21,7 @@ every document has severity 0.
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,13 +32,16 @@ from pyspark.sql import functions as F
 from kestrel.llm.common import Memo, only, raw_text
 from kestrel.session import materialize
 
-MAX_TRAIN = 10_000
-MAX_FEATURES = 500
+MAX_TRAIN = 20_000
 LEAST_DOCUMENTS = 3
 #: The 0.1 % point of chi-square with one degree of freedom.
 LEAST_CHI = 10.83
 GRADES = 3
 REJECT_AT = 0.5
+#: Distinct features a task counts before it hands them on.
+FLUSH_FEATURES = 300_000
+#: Cells of the sparse matrix that a step of the fit takes at once.
+BLOCK = 1 << 20
 
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else 32 if b < 128 and not chr(b).isalnum() else b
                for b in range(256))
@@ -52,6 +56,15 @@ def features(word: bytes) -> tuple[bytes, ...]:
     return (word, word[:4] + b"*", word[:5] + b"*") if len(word) > 5 else (word,)
 
 
+def bag(raw: bytes) -> dict[bytes, int]:
+    """How often each feature occurs in one text."""
+    found: dict[bytes, int] = {}
+    for w, n in Counter(text_words(raw)).items():
+        for f in features(w):
+            found[f] = found.get(f, 0) + n
+    return found
+
+
 @dataclass
 class OrdinalModel:
     weights: dict[bytes, float]
@@ -73,14 +86,18 @@ class OrdinalModel:
 
 
 def fit_cumulative(rows: np.ndarray, cols: np.ndarray, vals: np.ndarray, y: np.ndarray, width: int,
-                   grades: int = GRADES, ridge: float = 1.0, steps: int = 500, rate: float = 0.1
-                   ) -> tuple[np.ndarray, np.ndarray]:
+                   grades: int = GRADES, ridge: float = 1.0, steps: int = 500, rate: float = 0.1,
+                   times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Shared weights and ordered thresholds by Adam on the cumulative-link likelihood.
 
-    ``rows, cols, vals`` are the sparse features, ``y`` the grades. Thresholds
-    are a first value plus positive steps, so they stay ordered.
+    ``rows, cols, vals`` are the sparse features, ``y`` the grades and ``times``
+    how many documents each row stands for. Thresholds are a first value plus
+    positive steps, so they stay ordered.
     """
-    n = len(y)
+    size = len(y)
+    times = np.ones(size) if times is None else times
+    n = times.sum()
+    blocks = [slice(at, at + BLOCK) for at in range(0, len(rows), BLOCK)]
     theta = np.zeros(width + grades - 1)
     theta[width] = 2.0
     m, v = np.zeros_like(theta), np.zeros_like(theta)
@@ -91,16 +108,18 @@ def fit_cumulative(rows: np.ndarray, cols: np.ndarray, vals: np.ndarray, y: np.n
 
     for step in range(1, steps + 1):
         cut = thresholds(theta[width:])
-        eta = np.bincount(rows, vals * theta[cols], n) if len(rows) else np.zeros(n)
+        eta = np.zeros(size)
+        for b in blocks:
+            eta += np.bincount(rows[b], vals[b] * theta[cols[b]], size)
         above = sig(eta[:, None] - cut[None, :])  # P(y >= k), k = 1..grades-1
-        full = np.hstack([np.ones((n, 1)), above, np.zeros((n, 1))])
-        p = np.maximum(full[np.arange(n), y] - full[np.arange(n), y + 1], 1e-9)
-        slope = np.hstack([np.zeros((n, 1)), above * (1 - above), np.zeros((n, 1))])
-        hi, lo = slope[np.arange(n), y], slope[np.arange(n), y + 1]
+        full = np.hstack([np.ones((size, 1)), above, np.zeros((size, 1))])
+        p = np.maximum(full[np.arange(size), y] - full[np.arange(size), y + 1], 1e-9)
+        slope = np.hstack([np.zeros((size, 1)), above * (1 - above), np.zeros((size, 1))])
+        hi, lo = times * slope[np.arange(size), y], times * slope[np.arange(size), y + 1]
         g_eta = -(hi - lo) / p / n
         grad = np.zeros_like(theta)
-        if len(rows):
-            grad[:width] = np.bincount(cols, vals * g_eta[rows], width)
+        for b in blocks:
+            grad[:width] += np.bincount(cols[b], vals[b] * g_eta[rows[b]], width)
         grad[:width] += ridge * theta[:width] / n
         g_cut = np.zeros(grades - 1)
         for k in range(1, grades):
@@ -113,68 +132,83 @@ def fit_cumulative(rows: np.ndarray, cols: np.ndarray, vals: np.ndarray, y: np.n
     return theta[:width], thresholds(theta[width:])
 
 
-def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN,
-          max_features: int = MAX_FEATURES, id_col: str = "doc_id",
+def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, id_col: str = "doc_id",
           text_col: str = "text") -> OrdinalModel:
     known = labels.select(F.col("doc_id").alias("_lid"), F.col("toxic").cast("int").alias("toxic"))
     sample = (known.filter("_lid IS NOT NULL AND toxic IS NOT NULL")
               .orderBy(F.xxhash64("_lid"), "_lid").limit(max_train))
-    texts = (docs.join(F.broadcast(sample), F.col(f"`{id_col}`") == F.col("_lid"))
-             .select(F.col("_lid"), "toxic", raw_text(text_col).alias("raw")))
+    texts = materialize(docs.join(F.broadcast(sample), F.col(f"`{id_col}`") == F.col("_lid"))
+                        .select("toxic", raw_text(text_col).alias("raw")), "tox-texts")
 
     def counts(batches):
-        schema = pa.schema([("_lid", pa.int64()), ("toxic", pa.int32()), ("word", pa.binary()),
-                            ("n", pa.int64())])
+        """(word, toxic documents, documents) of a task; the empty word counts documents with words."""
+        found: dict[bytes, list[int]] = {}
+
+        def rows():
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(found), pa.binary()), pa.array([x[0] for x in found.values()], pa.int64()),
+                 pa.array([x[1] for x in found.values()], pa.int64())], names=["word", "a", "df"])
+
         for b in batches:
-            for d, y, raw in zip(*(b.column(c).to_pylist() for c in ("_lid", "toxic", "raw"))):
-                found: dict[bytes, int] = {}
-                for w in text_words(raw):
-                    for f in features(w):
-                        found[f] = found.get(f, 0) + 1
-                if found:
-                    k = len(found)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([d] * k, pa.int64()), pa.array([y] * k, pa.int32()),
-                         pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())],
-                        schema=schema)
-
-    bags = materialize(texts.mapInArrow(counts, "_lid long, toxic int, word binary, n long"),
-                       "tox-bags")
-    sizes = {r["toxic"]: r["n"] for r in bags.select("_lid", "toxic").distinct()
-             .groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    tox, clean = sizes.get(1, 0), sizes.get(0, 0)
+            for y, raw in zip(b.column("toxic").to_pylist(), b.column("raw").to_pylist()):
+                words = bag(raw)
+                for w in (b"", *words) if words else ():
+                    x = found.setdefault(w, [0, 0])
+                    x[0] += y
+                    x[1] += 1
+                if len(found) > FLUSH_FEATURES:
+                    yield rows()
+                    found.clear()
+        if found:
+            yield rows()
+
+    df = materialize(texts.mapInArrow(counts, "word binary, a long, df long")
+                     .groupBy("word").agg(F.sum("a").alias("a"), F.sum("df").alias("df")), "tox-words")
+    total = df.filter(F.length("word") == 0).first()
+    tox, clean = (total["a"], total["df"] - total["a"]) if total else (0, 0)
     if not tox or not clean:
         return OrdinalModel({}, [30.0, 31.0])
-    df = bags.groupBy("word").agg(F.sum("toxic").alias("a"), F.count("*").alias("df"))
     a, b = F.col("a").cast("double"), (F.col("df") - F.col("a")).cast("double")
     c, d = tox - a, clean - b
     chi = (a * d - b * c) ** 2 * (tox + clean) / ((a + b) * (c + d + 1e-9) * float(tox) * float(clean))
     odds = F.log((a + 0.5) / (tox + 1)) - F.log((b + 0.5) / (clean + 1))
-    words = (df.filter(F.col("df") >= LEAST_DOCUMENTS).select("word", chi.alias("chi"), odds.alias("odds"))
-             .filter((F.col("odds") > 0) & (F.col("chi") > LEAST_CHI))
-             .orderBy(F.desc("chi"), "word").limit(max_features).collect())
+    words = (df.filter((F.length("word") > 0) & (F.col("df") >= LEAST_DOCUMENTS) & (chi > LEAST_CHI))
+             .select("word", odds.alias("odds")).orderBy("word").collect())  # bounded by max_train texts
     index = {bytes(r["word"]): i for i, r in enumerate(words)}
     if not index:
         return OrdinalModel({}, [30.0, 31.0])
-    picked = F.broadcast(docs.sparkSession.createDataFrame(  # max_features rows
-        [(bytearray(r["word"]), i, float(r["odds"] > 2.0)) for i, r in enumerate(words)],
-        "word binary, col int, strong double"))
-    got = bags.join(picked, "word").select(
-        F.col("_lid").alias("lid"), "toxic", "col", "n",
-        (F.col("strong") * F.col("n")).alias("hits")).toPandas()
-    _, rows = np.unique(got["lid"].to_numpy(np.int64), return_inverse=True)
-    size = int(rows.max()) + 1 if len(rows) else 0
-    cols, vals = got["col"].to_numpy(np.int64), np.log1p(got["n"].to_numpy(float))
-    toxic = np.zeros(size, np.int64)
-    toxic[rows] = got["toxic"].to_numpy(np.int64)
-    hits = np.bincount(rows, got["hits"].to_numpy(float), size)
+    strong = np.array([r["odds"] > 2.0 for r in words], float)
+    shared = docs.sparkSession.sparkContext.broadcast(index)
+
+    def cells(batches):
+        """(toxic, cells): the numbers and counts of each text's features, by number."""
+        for b in batches:
+            for lo in range(0, b.num_rows, 256):
+                part, kept, out = b.slice(lo, 256), [], []
+                for y, raw in zip(part.column("toxic").to_pylist(), part.column("raw").to_pylist()):
+                    words = bag(raw)
+                    if words:
+                        got = sorted((shared.value[w], n) for w, n in words.items() if w in shared.value)
+                        kept.append(y)
+                        out.append(np.array(got, "<u4").tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int32()), pa.array(out, pa.binary())],
+                                                 names=["toxic", "cells"])
+
+    # documents with equal features are one row that counts so many times
+    table = (texts.mapInArrow(cells, "toxic int, cells binary")
+             .groupBy("toxic", "cells").agg(F.count("*").alias("times")).toArrow())
+    held = [np.frombuffer(x, "<u4").reshape(-1, 2) for x in table.column("cells").to_pylist()]
+    toxic = table.column("toxic").to_numpy().astype(np.int64)
+    times = table.column("times").to_numpy().astype(np.int64)
+    rows = np.repeat(np.arange(len(held), dtype=np.int32), [len(x) for x in held])
+    flat = np.concatenate(held)
+    cols, n = flat[:, 0].astype(np.int32), flat[:, 1].astype(np.float32)
+    hits = np.bincount(rows, strong[cols] * n, len(held))
     grade = toxic.copy()
-    if toxic.any():
-        grade[(toxic == 1) & (hits >= np.median(hits[toxic == 1]))] = 2
-    # labelled documents without any of the words are rows of zeros
-    rest = np.concatenate([np.ones(max(0, tox - int(toxic.sum())), np.int64),
-                           np.zeros(max(0, clean - int((toxic == 0).sum())), np.int64)])
-    w, cut = fit_cumulative(rows, cols, vals, np.concatenate([grade, rest]), len(index))
+    some = (toxic == 1) & np.array([len(x) > 0 for x in held])
+    if some.any():
+        grade[some & (hits >= np.median(np.repeat(hits[some], times[some])))] = 2
+    w, cut = fit_cumulative(rows, cols, np.log1p(n), grade, len(index), times=times.astype(float))
     return OrdinalModel({word: float(w[i]) for word, i in index.items()}, [float(x) for x in cut])
 
 

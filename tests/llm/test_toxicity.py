@@ -41,3 +41,15 @@ def test_edge_cases(spark):
     model = tx.train(planted, marks)
     assert tx.score(planted, model).filter("toxic").count() == 20
     assert tx.score(df.limit(0), model).count() == 0
+
+
+def test_every_significant_feature_of_both_signs(spark):
+    bad = [f"b{i:03d}" for i in range(700)]
+    texts = [" ".join(bad[(i + k) % 700] for k in range(4)) for i in range(700)]
+    texts += [f"kind w{i % 300}" for i in range(2100)]
+    marks = spark.createDataFrame([(i, 1, int(i < 700)) for i in range(2800)],
+                                  "doc_id long, quality int, toxic int")
+    model = tx.train(docs(spark, texts), marks)
+    assert all(model.weights[w.encode()] > 0 for w in bad) and model.weights[b"kind"] < 0
+    assert tx.score(docs(spark, texts), model).filter("toxic").count() == 700
+    assert tx.MAX_TRAIN == 20_000
