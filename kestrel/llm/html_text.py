@@ -62,6 +62,7 @@ _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
 _ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.S)
+_CLOSE = {tag: re.compile("</" + tag, re.I | re.A) for tag in RAW - {"plaintext"}}
 _SPACE = re.compile(r"[ \t\n\f\r]+")
 _HIDE = re.compile(r"display\s*:\s*none", re.I)
 _UNSEEN = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
@@ -129,7 +130,7 @@ def build_tree(html: str) -> Node:
             if stack[i].tag in fences:
                 return
 
-    at, size, low = 0, len(html), None
+    at, size = 0, len(html)
     while at < size:
         lt = html.find("<", at)
         if lt != at:
@@ -152,10 +153,10 @@ def build_tree(html: str) -> Node:
         rest = m.group(3) if m.group(2) else m.group(6)
         start(tag, attributes(rest) if rest.strip(" /\t\n") else {})
         if tag in RAW and stack[-1].tag == tag:
-            low = html.lower() if low is None else low
-            close = low.find("</" + tag, at) if tag != "plaintext" else -1
-            stack[-1].children.append(html[at:close if close >= 0 else size])
-            at = close if close >= 0 else size
+            # searched in the page itself: lower-casing can change its length
+            close = _CLOSE[tag].search(html, at) if tag in _CLOSE else None
+            stack[-1].children.append(html[at:close.start() if close else size])
+            at = close.start() if close else size
     return root
 
 

@@ -33,6 +33,12 @@ def test_rendering(html, text):
     assert html_to_text(html) == text
 
 
+def test_letters_that_grow_in_lower_case_before_raw_elements():
+    assert html_to_text("<title>\u0130\u0130</title>a<script>x</SCRIPT>b") == "ab"
+    assert html_to_text("<body><p>\u0130stanbul</p><script>var x='<p>';</script><p>seen</p>") == "\u0130stanbul\n\nseen"
+    assert html_to_text("<script>a</\u017fcript>b</script>c") == "c"
+
+
 def test_deep_nesting_and_long_rows():
     assert html_to_text("<div>" * 20_000 + "x") == "x"
     rows = "".join(f"<tr><td>{i}<td>{'v' * (i % 90)}" for i in range(500))
