@@ -10,11 +10,12 @@ sorted prefix trees: documents that share a prefix of a tree are neighbours.
    the region is. The best link of each document is confirmed on full sets.
 3. Documents still in different components are linked to other hubs and to
    their neighbours in the sorted orders, and confirmed. What is open after
-   that is compared inside the regions: all pairs where the shallow region is
-   small, else one level deeper; in a large deepest region every component
-   meets the largest one, member by member inside a join. Regions that already
-   are one component are skipped, which keeps a huge group of near copies
-   linear.
+   that is compared: all pairs of a small shallow region; documents of large
+   ones by a prefix-filter join on their rarest shingles, which finds every
+   similar pair. Where many share such a shingle, every component meets its
+   largest one, member by member inside a join. Regions and shingles that
+   already are in one component are skipped, which keeps a huge group of near
+   copies linear.
 4. Pairs whose sizes and sketches (two bits of each min-hash) allow the
    similarity are confirmed on full sets.
 
@@ -43,7 +44,7 @@ from kestrel.session import materialize
 TREES, DEPTH = 16, 8
 #: Prefix depths at which regions are looked at, shallow to deep.
 LEVELS = (3, 5, 8)
-#: A region with at most so many members is compared in full; a larger one goes one level deeper.
+#: A region with at most so many members is compared in full; a larger one through rare shingles.
 REGION = 64
 #: Sketches may differ by so many standard deviations more than the threshold implies.
 SKETCH_SIGMAS = 4.5
@@ -241,34 +242,113 @@ def _neighbour_links(trees: DataFrame, percent: int) -> DataFrame:
 
 
 def _open_pairs(trees: DataFrame, percent: int, region: int) -> tuple[DataFrame, DataFrame]:
-    """What is open between documents of different components that share a region.
+    """What is open between documents of different components that share a shallow region.
 
-    By adaptive depth: pairs (a, b) of a shallow region with at most ``region``
-    members; larger regions go one level deeper. In a large deepest region the
-    members outside its largest component give pairs among each other, and
-    meetings (ca, cb) of their components with the largest one.
+    Pairs (a, b) of the regions with at most ``region`` members, and the
+    documents (id, comp, size, sketch) that stand in a larger one.
     """
-    pairs, rows = None, trees
-    for d in LEVELS:
-        key, last = f"k{d}", d == LEVELS[-1]
-        mixed = (rows.groupBy(key).agg(F.count("*").alias("n"), F.min("comp").alias("lo"),
-                                       F.max("comp").alias("hi"))
-                 .filter("lo <> hi").select(key, "n"))
-        rows = rows.join(mixed, key)
-        here = rows.filter(F.col("n") <= region)
-        if last:
-            parts = rows.filter(F.col("n") > region).groupBy(key, "comp").agg(F.count("*").alias("k"))
-            big = (parts.groupBy(key).agg(F.max(F.struct("k", (-F.col("comp")).alias("neg"))).alias("m"))
-                   .select(key, (-F.col("m.neg")).alias("big")))
-            others = rows.filter(F.col("n") > region).join(big, key).filter("comp <> big")
-            meetings = others.select(F.col("comp").alias("ca"), F.col("big").alias("cb")).distinct()
-            here = here.union(others.drop("big").select(here.columns))
-        x, y = here.alias("x"), here.alias("y")
-        level = (x.join(y, (F.col(f"x.{key}") == F.col(f"y.{key}"))
-                        & (F.col("x.comp") < F.col("y.comp")) & _near("x", "y", percent))
-                 .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")))
-        pairs = level if pairs is None else pairs.union(level)
-        rows = rows.filter(F.col("n") > region).drop("n")
+    key = f"k{LEVELS[0]}"
+    mixed = (trees.groupBy(key).agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+             .filter("lo <> hi").select(key, "n"))
+    rows = trees.join(mixed, key)
+    here = rows.filter(F.col("n") <= region)
+    x, y = here.alias("x"), here.alias("y")
+    pairs = (x.join(y, (F.col(f"x.{key}") == F.col(f"y.{key}"))
+                    & (F.col("x.comp") < F.col("y.comp")) & _near("x", "y", percent))
+             .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")))
+    wide = rows.filter(F.col("n") > region).select("id", "comp", "n_shingles", *SKETCH).distinct()
+    return pairs, wide
+
+
+#: Counters that order shingles by rarity; shingles that share one are ordered by their hash.
+RARITY_SLOTS = 1 << 20
+
+
+def _rarity(sets: DataFrame) -> np.ndarray:
+    """How many sets hold the shingles of each slot: RARITY_SLOTS numbers at any input size."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        acc = np.zeros(RARITY_SLOTS, np.int64)
+        for b in batches:
+            flat = b.column("set").flatten().to_numpy()
+            acc += np.bincount(flat & (RARITY_SLOTS - 1), minlength=RARITY_SLOTS)
+        slots = np.flatnonzero(acc)
+        yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(acc[slots])], names=["slot", "n"])
+
+    got = (sets.select("set").mapInArrow(run, "slot long, n long")
+           .groupBy("slot").agg(F.sum("n").alias("n")).toArrow())
+    counts = np.zeros(RARITY_SLOTS, np.uint32)
+    counts[got.column("slot").to_numpy()] = np.minimum(got.column("n").to_numpy(), 2**32 - 1)
+    return counts
+
+
+def _prefixes(sets: DataFrame, rarity, percent: int) -> DataFrame:
+    """(id, token, left): the rarest shingles of each set, and how many it holds from there on.
+
+    Sets that reach the similarity share a shingle among these, in any one
+    order of all shingles (prefix filter).
+    """
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = rarity.value
+        for b in batches:
+            offsets = b.column("set").offsets.to_numpy()
+            flat = b.column("set").values.to_numpy()
+            tokens, left = [], []
+            for lo, hi in zip(offsets[:-1], offsets[1:]):
+                s, n = flat[lo:hi], int(hi - lo)
+                most = n - -(-percent * n // 100) + 1
+                tokens.append(s[np.lexsort((s, counts[s & (RARITY_SLOTS - 1)]))[:most]])
+                left.append(n - np.arange(len(tokens[-1]), dtype=np.int64))
+            if tokens:
+                ids = np.repeat(b.column("id").to_numpy(), [len(t) for t in tokens])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids), pa.array(np.concatenate(tokens)), pa.array(np.concatenate(left))],
+                    names=["id", "token", "left"])
+
+    return sets.select("id", "set").mapInArrow(run, "id long, token long, left long")
+
+
+def _reach(left: Column, na: Column, nb: Column, percent: int) -> Column:
+    """Whether sets that share at most ``left`` shingles can be similar (positional filter)."""
+    return left * (100 + percent) >= percent * (na + nb)
+
+
+def _wide_pairs(wide: DataFrame, sets: DataFrame, percent: int, region: int) -> tuple[DataFrame, DataFrame]:
+    """All that is open between the documents of large regions, by a prefix-filter join.
+
+    Pairs (a, b) that share a rare shingle. Where more than ``region``
+    documents share it, those outside its largest component give pairs among
+    each other, and meetings (ca, cb) of their components with the largest one.
+    """
+    mine = sets.join(wide.select("id"), "id", "left_semi")
+    rarity = sets.sparkSession.sparkContext.broadcast(_rarity(mine))
+    rows = (_prefixes(mine, rarity, percent)
+            .join(wide.select("id", "comp", "n_shingles"), "id"))
+    rows = materialize(rows, "near-prefixes")
+    mixed = (rows.groupBy("token").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+             .filter("lo <> hi").select("token", "n"))
+    rows = rows.join(mixed, "token")
+    hot = rows.filter(F.col("n") > region)
+    parts = hot.groupBy("token", "comp").agg(
+        F.count("*").alias("k"), F.max("left").alias("far"), F.min("n_shingles").alias("least"),
+        F.max("n_shingles").alias("most"))
+    big = (parts.groupBy("token").agg(F.max(F.struct("k", (-F.col("comp")).alias("neg"), "far", "least", "most")).alias("m"))
+           .select("token", (-F.col("m.neg")).alias("big"), "m.far", "m.least", "m.most"))
+    others = hot.join(big, "token").filter("comp <> big")
+    n = F.col("n_shingles")
+    meetings = (others.filter(_reach(F.least("left", "far"), n, F.col("least"), percent)
+                              & (100 * n >= percent * F.col("least")) & (100 * F.col("most") >= percent * n))
+                .select(F.col("comp").alias("ca"), F.col("big").alias("cb")).distinct())
+    here = rows.filter(F.col("n") <= region).union(others.select(rows.columns))
+    here = here.join(wide.select("id", *SKETCH), "id").withColumn(
+        "salts", F.ceil(F.col("n") / SORTED_ROWS).cast("int"))
+    # a very common shingle is dealt over several tasks
+    x = here.withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int")).alias("x")
+    y = here.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).alias("y")
+    pairs = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.salt") == F.col("y.salt"))
+                    & (F.col("x.comp") < F.col("y.comp"))
+                    & _reach(F.least("x.left", "y.left"), F.col("x.n_shingles"), F.col("y.n_shingles"), percent)
+                    & _near("x", "y", percent))
+             .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")))
     return pairs, meetings
 
 
@@ -323,15 +403,18 @@ def near_components(docs: DataFrame, reps: DataFrame, width: int, percent: int,
         comp = materialize(components(links), "near-comp")
     # then everything that is still open inside a region
     rows = component(trees, "id", "comp")
-    pairs, meetings = _open_pairs(rows, percent, region)
+    pairs, wide = _open_pairs(rows, percent, region)
+    wide = materialize(wide, "near-wide")
+    meetings = None
+    if not wide.isEmpty():
+        among, meetings = _wide_pairs(wide, sets, percent, region)
+        pairs, meetings = pairs.union(among), materialize(meetings, "near-meetings")
     pairs = materialize(ordered(pairs).join(near, ["a", "b"], "left_anti"), "near-pairs")
-    meetings = materialize(meetings, "near-meetings")
     more = None
     if not pairs.isEmpty():
         more = confirm(sets, pairs, percent)
-    if not meetings.isEmpty():
-        members = rows.select("id", "comp", "n_shingles", *SKETCH).distinct()
-        met = _confirm_meetings(meetings, members, sets, percent)
+    if meetings is not None and not meetings.isEmpty():
+        met = _confirm_meetings(meetings, wide, sets, percent)
         more = met if more is None else more.union(met)
     return comp if more is None else components(links.union(more))
 

@@ -4,6 +4,7 @@ import pytest
 from helpers import DOCS, ODD, docs, near_components, smoke_rows
 from kestrel.llm import components as cc
 from kestrel.llm import near_dedup as nd
+from pyspark.sql import functions as F
 
 
 def check(spark, rows, width, percent, **options):
@@ -44,6 +45,26 @@ def test_star_of_near_copies_and_chain(spark):
     check(spark, rows, 3, 85, region=4)
 
 
+def test_pairs_in_large_regions_without_a_deeper_prefix(spark):
+    # pairs among texts that share half of their words; by bad luck no pair shares a deeper prefix
+    rnd = random.Random(9)
+    half = [f"h{i}" for i in range(60)]
+    rows = []
+    for p in range(120):
+        own = [f"o{p}_{j}" for j in range(40)]
+        rows.append((2 * p, " ".join(half + own)))
+        for at in rnd.sample(range(2, 38), 3):
+            own[at] = f"e{p}_{at}"
+        rows.append((2 * p + 1, " ".join(half + own)))
+    df = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], DOCS)
+    reps = nd.signatures(df, 3).withColumnRenamed("doc_id", "id")
+    for k in ("k5", "k8"):
+        reps = reps.withColumn(k, F.transform("k3", lambda x, k=k: F.xxhash64(F.lit(k), "id", x)))
+    reps = reps.withColumn("k3", F.transform("k3", lambda x, i: i.cast("long")))
+    got = {r.id: r.component for r in nd.near_components(df, reps, 3, 80).collect()}
+    assert {d: got.get(d, d) for d, _ in rows} == near_components(rows, 3, 80)[1]
+
+
 def test_nulls_repeats_clashing_columns_empty(spark):
     df = spark.createDataFrame([(None, "a b c d e f", 1), (7, "a b c d e f", 2), (7, "a b c d e f", 3),
                                 (3, "A b c d e f", 4)], "doc_id long, text string, component_id int")
