@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import (bpe, class_lm, exact_dedup, html_text, near_dedup, packing,
-                         quality_classifier, quality_rules, sharding, toxicity)
+from kestrel.llm import (bpe, class_lm, exact_dedup, filter_audit, fingerprints, html_text, near_dedup,
+                         packing, quality_classifier, quality_rules, resampling, sharding, toxicity)
+from kestrel.llm.oracles import filter_audit_sql, resampling_sql
 from kestrel.session import materialize
 from kestrel.sources.tables import read_table
 
@@ -74,6 +75,19 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(read_table(spark, sf_dir, "pages"))
 
 
+def op11_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(read_table(spark, sf_dir, "documents"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (resampling.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+            .select("doc_id", "n_features", "weight", "score", "rank"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_near_dedup": op2_near_dedup,
@@ -85,6 +99,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_class_lm": op9_class_lm,
     "op10_html_extraction": op10_html_extraction,
+    "op11_document_fingerprints": op11_document_fingerprints,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLES: dict[str, str] = {
@@ -94,4 +111,6 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
         FROM d WINDOW w AS (PARTITION BY t)""",
+    "op12_importance_resampling": resampling_sql(),
+    "op13_filter_audit": filter_audit_sql(),
 }
