@@ -83,7 +83,7 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, label: str = "stage", codec: str | None = None) -> DataFrame:
     """Cut lineage for a frame read more than once: write it, read it back.
 
     The table goes to a fresh folder under the session's
@@ -92,11 +92,12 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     consumer reads the stored columns instead of recomputing them. A
     parquet write computes the frame once (an eager RDD checkpoint computes
     it twice: once to count, once to write). The folder is removed when the
-    application ends, or earlier by ``scratch``.
+    application ends, or earlier by ``scratch``. ``codec`` names a parquet
+    compression other than the session's.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kestrel-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     fs, p = hadoop_path(spark, path)
     fs.deleteOnExit(p)
     for paths in _SCRATCH:
