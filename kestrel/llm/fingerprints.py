@@ -76,8 +76,9 @@ _LAST = CLASSES + 1
 _OUTSIDE = CLASSES + 2
 _POS_BITS = 20
 
-_RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
-           "edited_fingerprint string, near_edited double, near_next double")
+# Results are stored as bytes; text is made of them at the end.
+_RESULT = ("doc_id long, n_chars long, sha binary, n long, bits binary, edited_n long, "
+           "edited_bits binary, near_edited double, near_next double")
 
 
 # ------------------------------------------------------------------ windows
@@ -220,10 +221,14 @@ def digests(raws: list[bytes], ranks: np.ndarray) -> list[tuple[int, np.ndarray]
     return [(len(h), filters(h)) for h in feature_hashes(raws, ranks)]
 
 
+def packed(print_: tuple[int, np.ndarray]) -> bytes:
+    """The chain's bits, filter after filter."""
+    return np.packbits(print_[1], axis=1).tobytes()
+
+
 def as_text(print_: tuple[int, np.ndarray]) -> str:
     """``<features>:<base64 of the chain>``; empty for an empty text."""
-    n, chain = print_
-    return f"{n}:{base64.b64encode(np.packbits(chain, axis=1).tobytes()).decode()}" if n else ""
+    return f"{print_[0]}:{base64.b64encode(packed(print_)).decode()}" if print_[0] else ""
 
 
 def from_text(text: str) -> tuple[int, np.ndarray]:
@@ -283,8 +288,8 @@ def _results(rows: list[tuple], ranks: np.ndarray) -> list[dict]:
     texts = [raw.decode() for _, raw, *_ in rows]
     new = [edited(t, row[3].decode()).encode() for t, row in zip(texts, rows)]
     prints = digests(new, ranks)
-    return [{"doc_id": doc_id, "n_chars": len(text), "edited_sha256": hashlib.sha256(raw).hexdigest(),
-             "fingerprint": as_text(own), "edited_fingerprint": as_text(changed),
+    return [{"doc_id": doc_id, "n_chars": len(text), "sha": hashlib.sha256(raw).digest(),
+             "n": own[0], "bits": packed(own), "edited_n": changed[0], "edited_bits": packed(changed),
              "near_edited": likeness(own, changed), "near_next": likeness(own, following)}
             for (doc_id, _, own, _, following), text, raw, changed in zip(rows, texts, new, prints)]
 
@@ -298,9 +303,10 @@ def fingerprints(docs: DataFrame, ranks: np.ndarray | None = None, id_col: str =
     rows = (id_and_raw(docs, id_col, text_col)
             .withColumns({"_hash": F.xxhash64("raw"), "_row": F.monotonically_increasing_id()})
             .repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "raw"))
-    schema = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
-                        ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()),
-                        ("near_edited", pa.float64()), ("near_next", pa.float64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("sha", pa.binary()),
+                        ("n", pa.int64()), ("bits", pa.binary()), ("edited_n", pa.int64()),
+                        ("edited_bits", pa.binary()), ("near_edited", pa.float64()),
+                        ("near_next", pa.float64())])
     edge_schema = pa.schema([*schema, ("part", pa.int32()), ("edge", pa.string()), ("raw", pa.binary())])
 
     def pass_over(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -329,7 +335,7 @@ def fingerprints(docs: DataFrame, ranks: np.ndarray | None = None, id_col: str =
                 yield pa.RecordBatch.from_pylist(_results([(doc_id, raw, own, head, following)], ranks),
                                                  schema=schema)
 
-    done = materialize(rows.mapInArrow(pass_over, _RESULT + ", part int, edge string, raw binary"), "prints")
+    done = materialize(rows.mapInArrow(pass_over, _RESULT + ", part int, edge string, raw binary"), "prints", "zstd")
     heads = done.filter("edge = 'head'")
     # the partition after each one, around the end: one number per partition
     along = Window.orderBy("part")
@@ -339,5 +345,13 @@ def fingerprints(docs: DataFrame, ranks: np.ndarray | None = None, id_col: str =
     tails = (done.filter("edge = 'tail'").select("part", "doc_id", "raw").join(after, "part")
              .join(heads.select(F.col("part").alias("_next"), F.col("raw").alias("head")), "_next")
              .select("doc_id", "raw", "head"))
-    return (done.filter("edge IS NULL").drop("part", "edge", "raw")
-            .unionByName(tails.mapInArrow(over_edges, _RESULT)))
+    whole = (done.filter("edge IS NULL").drop("part", "edge", "raw")
+             .unionByName(tails.mapInArrow(over_edges, _RESULT)))
+
+    def text(n: str, bits: str):
+        line = F.translate(F.base64(bits), "\r\n", "")  # some releases break base64 into lines
+        return F.when(F.col(n) > 0, F.concat_ws(":", F.col(n), line)).otherwise("")
+
+    return whole.select("doc_id", "n_chars", F.lower(F.hex("sha")).alias("edited_sha256"),
+                        text("n", "bits").alias("fingerprint"),
+                        text("edited_n", "edited_bits").alias("edited_fingerprint"), "near_edited", "near_next")
