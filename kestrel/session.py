@@ -105,6 +105,23 @@ def materialize(df: DataFrame, label: str = "stage", codec: str | None = None) -
     return spark.read.parquet(path)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, most: int = 1000):
+    """Inside the block Python workers get at most ``most`` rows at a time.
+
+    Batches live outside the heap, in the JVM and in the worker: with whole
+    texts, the session's usual 10,000 rows hold tens of megabytes in each of
+    them per task. Holds for what is executed inside the block.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(most, int(before)) if int(before) > 0 else most))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 _SCRATCH: list[list[str]] = []
 
 
