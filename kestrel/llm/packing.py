@@ -6,8 +6,9 @@ per partition) give every document its place in the global stream. Pass 2
 cuts documents at window borders; nothing but the totals is shuffled.
 
 Defined results: NULL and empty texts are the end id alone; repeated rows are
-packed as often as they occur; a document longer than a window has a piece in
-each window it crosses. Only the last window can be short. Other columns are
+packed as often as they occur, in the order of the scan (ties keep it too); a
+document longer than a window has a piece in each window it crosses, and each
+piece takes its own ids only, so the cut is linear in the longest text. Only the last window can be short. Other columns are
 ignored; an empty table gives no pieces.
 """
 
@@ -23,7 +24,8 @@ from pyspark.sql import functions as F
 
 from kestrel.llm.common import id_and_raw
 from kestrel.llm.tokens import chunk_encoder
-from kestrel.session import materialize
+from kestrel.operators.joins import broadcast_if_bounded
+from kestrel.session import arrow_rows, materialize
 
 WINDOW = 2048
 END_ID = 1
@@ -61,25 +63,29 @@ def partition_bases(tokens: DataFrame) -> DataFrame:
 
 def cut(tokens: DataFrame, window: int = WINDOW) -> DataFrame:
     """Pieces: doc_id, start, length, doc_tokens, sequence_id, offset, ids (binary)."""
-    # the broadcast side has one row of two numbers per partition of the stored tokens
-    placed = (tokens.join(F.broadcast(partition_bases(tokens)), "part")
+    # the smaller side has one row of two numbers per partition of the stored tokens
+    placed = (tokens.join(broadcast_if_bounded(partition_bases(tokens)), "part")
               .withColumn("at", F.col("base") + F.col("start_in_part")))
     first, last = F.expr(f"at div {window}"), F.expr(f"(at + doc_tokens - 1) div {window}")
-    pieces = placed.select("doc_id", "doc_tokens", "ids", "at",
-                           F.explode(F.sequence(first, last)).alias("sequence_id"))
-    start = F.greatest(F.lit(0), F.col("sequence_id") * window - F.col("at"))
-    stop = F.least(F.col("doc_tokens"), (F.col("sequence_id") + 1) * window - F.col("at"))
-    return (pieces.withColumns({"start": start, "length": stop - start})
-            .select("doc_id", "start", "length", "doc_tokens", "sequence_id",
-                    (F.col("at") + F.col("start") - F.col("sequence_id") * window).alias("offset"),
-                    F.substring(F.col("ids"), (F.col("start") * 4 + 1).cast("int"),
-                                (F.col("length") * 4).cast("int")).alias("ids")))
+
+    def piece(number):
+        start = F.greatest(F.lit(0), number * window - F.col("at"))
+        length = F.least(F.col("doc_tokens"), (number + 1) * window - F.col("at")) - start
+        return F.struct(start.alias("start"), length.alias("length"), number.alias("sequence_id"),
+                        (F.col("at") + start - number * window).alias("offset"),
+                        F.substring(F.col("ids"), (start * 4 + 1).cast("int"),
+                                    (length * 4).cast("int")).alias("ids"))
+
+    # the pieces are cut before the rows multiply: ids are copied once, not once per piece
+    return (placed.select("doc_id", "doc_tokens", F.inline(F.transform(F.sequence(first, last), piece)))
+            .select("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"))
 
 
 def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int = END_ID,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All documents as pieces of gapless sequences of ``window`` tokens (see ``cut``)."""
-    tokens = materialize(tokenize(docs, tokenizer_path, end_id, id_col, text_col), "pack-tokens")
+    with arrow_rows(docs.sparkSession):
+        tokens = materialize(tokenize(docs, tokenizer_path, end_id, id_col, text_col), "pack-tokens")
     return cut(tokens, window)
 
 

@@ -30,10 +30,14 @@ def byte_chars() -> list[str]:
     return [table[b] for b in range(256)]
 
 
+#: A longer chunk is encoded each time, so the memo's entries are small and their number bounds its bytes.
+LONGEST_KEPT = 64
+
+
 class ChunkEncoder:
     """``encode(raw)``: ids of a text's UTF-8 bytes, as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 200_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -61,7 +65,7 @@ class ChunkEncoder:
     def encode(self, raw: bytes) -> bytes:
         if any(s in raw for s in self.special):  # special tokens are cut before anything else
             return self._library(raw)
-        return b"".join(map(self.memo.__getitem__, raw.split()))
+        return b"".join([self.memo[c] if len(c) <= LONGEST_KEPT else self._chunk(c) for c in raw.split()])
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}

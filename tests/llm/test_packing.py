@@ -1,9 +1,8 @@
-import zlib
-
 import numpy as np
 import public_tokenizers
 from helpers import DOCS, ODD, docs, smoke_rows
 from kestrel.llm import packing as pk
+from kestrel.llm import tokens
 from tokenizers import Tokenizer
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -30,7 +29,7 @@ def test_pieces_are_the_documents(spark):
         own.sort(key=lambda p: p.start)
         assert b"".join(bytes(p.ids) for p in own) == np.array(ids[d], "<u4").tobytes()
         assert [p.start for p in own] == np.cumsum([0] + [p.length for p in own])[:-1].tolist()
-        assert all(p.doc_tokens == len(ids[d]) and zlib.crc32(p.ids) is not None for p in own)
+        assert all(p.doc_tokens == len(ids[d]) and len(p.ids) == 4 * p.length for p in own)
     assert sorted(by_seq) == list(range(len(by_seq)))
     for s, own in by_seq.items():
         own.sort(key=lambda p: p.offset)
@@ -42,8 +41,23 @@ def test_pieces_are_the_documents(spark):
 def test_sequences_put_windows_together(spark):
     pieces = pk.pack(docs(spark, ODD), PATH, window=64)
     stream = b"".join(bytes(r.ids) for r in pk.sequences(pieces).orderBy("sequence_id").collect())
-    want = b"".join(np.array(x, "<u4").tobytes() for x in library_ids(ODD))
-    assert len(stream) == len(want) and sorted(stream) == sorted(want)
+    assert stream == b"".join(np.array(x, "<u4").tobytes() for x in library_ids(ODD))
+
+
+def test_a_long_document_is_cut_once(spark):
+    text = " ".join(f"w{i % 977}" for i in range(300_000))
+    pieces = pk.pack(docs(spark, ["a", text, "b"]), PATH, window=16).orderBy("sequence_id", "offset").collect()
+    want = library_ids(["a", text, "b"])
+    assert b"".join(bytes(p.ids) for p in pieces) == b"".join(np.array(x, "<u4").tobytes() for x in want)
+    assert len(pieces) == 2 + -(-sum(map(len, want)) // 16)
+
+
+def test_long_chunks_stay_out_of_the_memo():
+    encoder = tokens.ChunkEncoder(PATH, most=10)
+    texts = ["x" * 5000, " ".join(f"w{i}" for i in range(50)), "é" * 40]
+    for t, want in zip(texts, library_ids(texts)):
+        assert encoder.encode(t.encode()) == np.array(want[:-1], "<u4").tobytes()
+        assert len(encoder.memo) <= 10 and max(map(len, encoder.memo), default=0) <= tokens.LONGEST_KEPT
 
 
 def test_empty_table_null_id_and_clashing_columns(spark):
