@@ -68,16 +68,19 @@ def cut(tokens: DataFrame, window: int = WINDOW) -> DataFrame:
               .withColumn("at", F.col("base") + F.col("start_in_part")))
     first, last = F.expr(f"at div {window}"), F.expr(f"(at + doc_tokens - 1) div {window}")
 
-    def piece(number):
+    def piece(ids, number):
         start = F.greatest(F.lit(0), number * window - F.col("at"))
         length = F.least(F.col("doc_tokens"), (number + 1) * window - F.col("at")) - start
         return F.struct(start.alias("start"), length.alias("length"), number.alias("sequence_id"),
                         (F.col("at") + start - number * window).alias("offset"),
-                        F.substring(F.col("ids"), (start * 4 + 1).cast("int"),
+                        F.substring(ids, (start * 4 + 1).cast("int"),
                                     (length * 4).cast("int")).alias("ids"))
 
-    # the pieces are cut before the rows multiply: ids are copied once, not once per piece
-    return (placed.select("doc_id", "doc_tokens", F.inline(F.transform(F.sequence(first, last), piece)))
+    # cut before the rows multiply, from ids bound to a lambda variable: reading the column
+    # itself would copy all ids of the document once for every piece
+    pieces = F.flatten(F.transform(F.array("ids"), lambda ids: F.transform(
+        F.sequence(first, last), lambda number: piece(ids, number))))
+    return (placed.select("doc_id", "doc_tokens", F.inline(pieces))
             .select("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"))
 
 
