@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from kestrel.llm import exact_dedup, near_dedup, packing, quality_classifier, toxicity
 from kestrel.llm.catalog import WORD_BPE
 from kestrel.llm.common import keep_ids
-from kestrel.session import materialize
+from kestrel.session import arrow_rows, materialize
 from kestrel.sources.tables import read_table
 
 
@@ -40,19 +40,22 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents that are toxic (grade 1 or more) more likely than not."""
-    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
+    with arrow_rows(spark):
+        model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
     return toxicity.score(_whole(docs, "text"), model).filter(~F.col("toxic")).select("_doc.*")
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest id stays."""
-    return exact_dedup.drop_copies(docs)
+    with arrow_rows(spark):
+        return exact_dedup.drop_copies(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (five-word shingles, 0.8) the smallest id stays."""
-    groups = near_dedup.near_dedup(docs, width=5, percent=80)
-    return keep_ids(docs, groups.filter("kept"))
+    with arrow_rows(spark):
+        groups = near_dedup.near_dedup(docs, width=5, percent=80)
+        return keep_ids(docs, groups.filter("kept"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
