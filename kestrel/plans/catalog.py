@@ -11,12 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kestrel.operators import journeys as jn
 from kestrel.operators import logs as lg
 from kestrel.operators import maintenance as mt
 from kestrel.operators import matching as mm
 from kestrel.operators import tracking as tk
 from kestrel.operators import traffic as tr
 from kestrel.plans import params as P
+from kestrel.session import materialize
 from kestrel.sources import derived
 from kestrel.sources.tables import Tables
 
@@ -228,39 +230,29 @@ def q_stream_rejects(spark, sf_dir):
     return spark.read.parquet(paths["rejects"]).drop("epoch")
 
 
-def _in_time_order(spark, df, parts: int) -> str:
-    """``df`` written as ``parts`` files of consecutive time ranges of ``ts``, oldest first."""
-    import uuid
-
-    from kestrel.session import ensure_checkpoint_dir
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kestrel-feed-{uuid.uuid4().hex}"
-    cuts = df.select(F.unix_micros(F.col("ts").cast("timestamp")).cast("double").alias("t")) \
-        .approxQuantile("t", [i / parts for i in range(1, parts)], 0.01)
-    at = F.unix_micros(F.col("ts").cast("timestamp"))
-    for lo, hi in zip([None, *cuts], [*cuts, None]):
-        piece = df
-        if lo is not None:
-            piece = piece.filter(at >= lo)
-        if hi is not None:
-            piece = piece.filter(at < hi)
-        piece.coalesce(1).write.mode("append").parquet(path)
-    return path
+def _fed(spark, events, parts, run, **options):
+    """``run(stream, base)`` after each piece of ``events`` in time order; what the last one returned."""
+    from kestrel.streaming import feed, keyed
+    from kestrel.streaming import telemetry as st
+    base, out = keyed.fresh_base(spark, "kestrel-fed"), None
+    for path in feed.deliveries(events, "ts", parts, **options):
+        out = run(st.read_file_stream(spark, path), base)
+    return out
 
 
 def q_stream_enriched_batches(spark, sf_dir):
     """``events`` fed as several micro-batches: the stored fixes must carry over."""
     from kestrel.streaming import telemetry as st
-    path = _in_time_order(spark, Tables(spark, sf_dir).events, 3)
-    feed = st.read_file_stream(spark, path, max_files_per_trigger=1)
-    paths = st.run_available_now(spark, derived.gps_raw(feed), _pois(spark, sf_dir))
+    paths = _fed(spark, Tables(spark, sf_dir).events, 3, lambda feed, base: st.run_available_now(
+        spark, derived.gps_raw(feed), _pois(spark, sf_dir), base=base))
     return spark.read.parquet(paths["enriched"]).select(*tk.ENRICHED_COLUMNS)
 
 
 def _message_run(spark, sf_dir):
     from kestrel.streaming import telemetry as st
-    path = _in_time_order(spark, derived.telemetry_messages(Tables(spark, sf_dir).events), 2)
-    feed = st.read_file_stream(spark, path, max_files_per_trigger=1).select("value")
-    return st.run_available_now(spark, feed, _pois(spark, sf_dir), clean=st.clean_messages)
+    messages = derived.telemetry_messages(Tables(spark, sf_dir).events)
+    return _fed(spark, messages, 2, lambda feed, base: st.run_available_now(
+        spark, feed.select("value"), _pois(spark, sf_dir), base=base, clean=st.clean_messages))
 
 
 def q_stream_messages(spark, sf_dir):
@@ -269,6 +261,78 @@ def q_stream_messages(spark, sf_dir):
         "vin", "dt", "lat", "lng", "speed", "acceleration", "poi")
 
 
+def _keyed_run(spark, sf_dir, **options):
+    from kestrel.streaming import keyed
+    horizon = options.pop("horizon_seconds", keyed.HORIZON_SECONDS)
+    return _fed(spark, Tables(spark, sf_dir).events, P.FEED_PIECES, lambda feed, base: keyed.run(
+        derived.gps_raw(feed), _pois(spark, sf_dir), base, horizon_seconds=horizon,
+        drop_repeats="again" in options), **options)
+
+
+def q_stream_keyed_enriched(spark, sf_dir):
+    """Five micro-batches with one keyed state per vehicle."""
+    return spark.read.parquet(_keyed_run(spark, sf_dir)["enriched"]).select(*tk.ENRICHED_COLUMNS)
+
+
+def q_stream_repeated_fixes(spark, sf_dir):
+    """Every twentieth event comes again two micro-batches later: the ``duplicate`` output."""
+    paths = _keyed_run(spark, sf_dir, again=F.col("event_id") % P.REPEATED_EVENT == 0,
+                       horizon_seconds=P.REPEAT_HORIZON_DAYS * 86400)
+    return spark.read.parquet(paths["duplicate"]).select(*tk.GPS_COLUMNS)
+
+
+def q_stream_component_metrics(spark, sf_dir):
+    """Per-minute metrics of a stream: windows close by watermark."""
+    from kestrel.streaming import windows
+    events = Tables(spark, sf_dir).events
+    return _fed(spark, events, P.FEED_PIECES, lambda feed, base: windows.run(
+        windows.component_metrics(derived.component_metrics_input(feed)), base),
+        closing=derived.heartbeat(events))
+
+
+def q_stream_activity_30min(spark, sf_dir):
+    """Activity of a stream of log lines; repeated lines are counted once."""
+    from kestrel.streaming import windows
+    events = Tables(spark, sf_dir).events
+    return _fed(spark, events, P.FEED_PIECES, lambda feed, base: windows.run(windows.activity(
+        lg.parse_logs(derived.log_lines(feed)), delay=f"{P.REPEAT_HORIZON_DAYS} days"), base),
+        again=F.col("event_id") % P.REPEATED_EVENT == 0, closing=derived.heartbeat(events))
+
+
+def q_stream_trips(spark, sf_dir):
+    """Trips of a stream: sessions that merge in the state store."""
+    from kestrel.streaming import windows
+    events = Tables(spark, sf_dir).events
+    return _fed(spark, events, P.FEED_PIECES, lambda feed, base: windows.run(windows.trips(
+        tk.good_rows(tk.clean(tk.normalize(derived.gps_raw(feed))))), base), closing=derived.heartbeat(events))
+
+
+def _good(spark, sf_dir):
+    return materialize(tk.good_rows(_gps_cleaned(spark, sf_dir)), "good-fixes")
+
+
+def q_gps_trips(spark, sf_dir):
+    return jn.trips(_good(spark, sf_dir))
+
+
+def q_gps_odometer(spark, sf_dir):
+    return jn.odometer(_good(spark, sf_dir)).select("vin", "dt", "speed", "distance", "fix_number", "odometer")
+
+
+def q_gps_moving_speed(spark, sf_dir):
+    return jn.moving_speed(_good(spark, sf_dir), P.FRAME_SECONDS).select(
+        "vin", "dt", "speed", "mean_speed", "max_speed", "fixes_in_frame")
+
+
+def q_driver_at_fix(spark, sf_dir):
+    return jn.driver_at_fix(_good(spark, sf_dir), derived.sign_ons(Tables(spark, sf_dir).events)).select(
+        "vin", "dt", "speed", "driverId")
+
+
+def q_speed_rank(spark, sf_dir):
+    return jn.speed_rank(_good(spark, sf_dir))
+
+
 def q_stream_poi_messages(spark, sf_dir):
     """The POI messages the stream wrote, read back."""
     from kestrel.streaming import telemetry as st
@@ -341,4 +405,14 @@ QUERIES: dict[str, Query] = {
     "stream_messages": q_stream_messages,
     "stream_poi_messages": q_stream_poi_messages,
     "assign_state_operations": q_assign_state_operations,
+    "stream_keyed_enriched": q_stream_keyed_enriched,
+    "stream_repeated_fixes": q_stream_repeated_fixes,
+    "stream_component_metrics": q_stream_component_metrics,
+    "stream_activity_30min": q_stream_activity_30min,
+    "stream_trips": q_stream_trips,
+    "gps_trips": q_gps_trips,
+    "gps_odometer": q_gps_odometer,
+    "gps_moving_speed": q_gps_moving_speed,
+    "driver_at_fix": q_driver_at_fix,
+    "speed_rank": q_speed_rank,
 }

@@ -237,6 +237,47 @@ def spark_round(expr: str, n: int) -> str:
     return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38, 18)), {n}) AS DOUBLE)"
 
 
+FIX_ORDER = "dt NULLS FIRST, speed NULLS FIRST, lat NULLS FIRST, lng NULLS FIRST"
+
+
+def _trips() -> str:
+    return f"""WITH {_gps_cte()},
+begun AS (SELECT *, CASE WHEN dt - lag(dt) OVER w <= INTERVAL 6 HOURS THEN 0 ELSE 1 END AS begins FROM good
+          WINDOW w AS (PARTITION BY vin ORDER BY {FIX_ORDER})),
+numbered AS (SELECT *, sum(begins) OVER (PARTITION BY vin ORDER BY {FIX_ORDER} ROWS UNBOUNDED PRECEDING) AS trip FROM begun)
+SELECT vin, min(dt) AS trip_start, max(dt) AS trip_end, count(*) AS fixes, sum(distance) AS distance
+FROM numbered GROUP BY vin, trip"""
+
+
+def _journeys() -> dict[str, str]:
+    cte = f"WITH {_gps_cte()}"
+    pieces = P.FEED_PIECES
+    return {
+        "gps_trips": _trips(),
+        "stream_trips": _trips(),
+        "gps_odometer": f"""{cte}
+SELECT vin, dt, speed, distance, row_number() OVER w AS fix_number, sum(distance) OVER w AS odometer FROM good
+WINDOW w AS (PARTITION BY vin ORDER BY {FIX_ORDER}, distance NULLS FIRST ROWS UNBOUNDED PRECEDING)""",
+        "gps_moving_speed": f"""{cte}
+SELECT vin, dt, speed, avg(speed) OVER w AS mean_speed, max(speed) OVER w AS max_speed, count(*) OVER w AS fixes_in_frame
+FROM good WINDOW w AS (PARTITION BY vin ORDER BY dt RANGE BETWEEN INTERVAL {P.FRAME_SECONDS} SECONDS PRECEDING
+                       AND CURRENT ROW)""",
+        "driver_at_fix": f"""{cte},
+signed AS (SELECT CAST(user_id AS VARCHAR) AS vehicle, ts AS valid_from, max(CAST(event_id % 97 AS VARCHAR)) AS driverId
+           FROM events WHERE event_type = 'signup' GROUP BY 1, 2)
+SELECT g.vin, g.dt, g.speed, s.driverId FROM good g ASOF LEFT JOIN signed s ON g.vin = s.vehicle AND g.dt >= s.valid_from""",
+        "speed_rank": f"""{cte}
+SELECT vin, dt, speed, lat, lng, row_number() OVER (ORDER BY speed DESC NULLS LAST, vin, dt, lat, lng) AS speed_rank
+FROM good""",
+        "stream_repeated_fixes": f"""{cte},
+span AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM events),
+placed AS (SELECT good.*, (epoch_us(dt) - lo) * {pieces} // (hi - lo + 1) AS piece FROM good, span),
+delivered AS (SELECT {GPS_COLS} FROM placed
+              UNION ALL SELECT {GPS_COLS} FROM placed WHERE event_id % {P.REPEATED_EVENT} = 0 AND piece + 2 < {pieces})
+SELECT {GPS_COLS} FROM delivered QUALIFY row_number() OVER (PARTITION BY {GPS_COLS}) > 1""",
+    }
+
+
 def _kpis() -> str:
     return f"""WITH {_gps_cte()}
 SELECT time_bucket(INTERVAL '1 hour', e.dt) AS hour, c.c_name AS driverName,
@@ -486,4 +527,8 @@ FROM h JOIN facts2 f USING (id_materiel)""",
     out["stream_poi_messages"] = f"WITH {messages} SELECT vin, dt, poi FROM enriched WHERE poi IS NOT NULL"
     out["assign_state_operations"] = _operations()
     out["driver_kpis_from_files"] = out["driver_kpis"]
+    out |= _journeys()
+    out["stream_keyed_enriched"] = out["gps_enriched"]
+    out["stream_component_metrics"] = out["component_metrics"]
+    out["stream_activity_30min"] = out["activity_30min"]
     return out

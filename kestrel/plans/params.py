@@ -12,3 +12,10 @@ INCOMPLETE_COMPONENT = "B"
 MATCH_BLOCK = ("p_brand", "p_type")
 MATCH_THRESHOLD = 0.7
 MATCH_BLOCK_COARSE = ("p_brand",)
+# Streams: events arrive in so many pieces; every twentieth one comes again two pieces later. The horizon
+# must cover the time between the two.
+FEED_PIECES = 5
+REPEATED_EVENT = 20
+REPEAT_HORIZON_DAYS = 30
+# Moving averages of a vehicle's speed.
+FRAME_SECONDS = 6 * 3600

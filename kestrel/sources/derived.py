@@ -155,6 +155,20 @@ def assignments_from_customer(customer: DataFrame) -> DataFrame:
                            F.col("c_custkey").cast("string").alias("vehicle"))
 
 
+def sign_ons(events: DataFrame) -> DataFrame:
+    """Assignments with a beginning: a sign-up puts driver ``event_id mod 97`` on the user's vehicle."""
+    return events.filter(F.col("event_type") == "signup").select(
+        F.col("user_id").cast("string").alias("vehicle"),
+        (F.col("event_id") % 97).cast("string").alias("driverId"), F.col("ts").alias("valid_from"))
+
+
+def heartbeat(events: DataFrame, days: int = 90) -> DataFrame:
+    """One event of a new user, ``days`` after the last one: it closes the windows of a feed that ends."""
+    return events.agg((F.max("ts") + F.expr(f"INTERVAL {days} DAYS")).alias("ts"),
+                      (F.max("event_id") + 1).alias("event_id"), (F.max("user_id") + 1).alias("user_id")).select(
+        "event_id", "ts", "user_id", F.lit("click").alias("event_type"), F.lit(0.0).alias("value"), F.lit('{"k": 50}').alias("props"))
+
+
 # ------------------------------------------------------------ maintenance (D)
 # Fixed mapping of line-item return flags to organ states.
 STATE_OF_RETURNFLAG = {"R": "RC", "N": "NC", "A": "C"}
