@@ -8,12 +8,17 @@ table cells in aligned columns.
 
 Defined results: NULL and empty pages give the empty text; markup that is cut
 off or nested wrongly is closed where it ends; repeated rows are rendered
-alike; an empty table gives an empty result.
+alike; an empty table gives an empty result. A very long page is handled whole,
+in time linear in its length: open elements are found by tag, however deep they
+lie. Columns are aligned up to 60 letters; a longer cell stands whole and moves
+the rest of its row. Spans count up to 100.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from html import unescape
 
@@ -58,10 +63,13 @@ FENCES = frozenset(["table", "td", "th", "caption", "html"])
 WIDEST_COLUMN = 60
 MOST_SPAN = 100
 
+# A quote opens a value right after "=" only; elsewhere it is a letter like any other.
+_NAME = r"(?:=[^\s/>=]*|[^\s/>=]+)"
+_ATTRS = r"(?:[\s/]++|" + _NAME + r"(?:\s*+=\s*+(?:\"[^\"]*\"|'[^']*'|(?![\"'])[^\s>]*))?)*+"
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
+    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)(" + _ATTRS + r")>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
-_ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.S)
+_ATTR = re.compile("(" + _NAME + r")(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?", re.S)
 _CLOSE = {tag: re.compile("</" + tag, re.I | re.A) for tag in RAW - {"plaintext"}}
 _SPACE = re.compile(r"[ \t\n\f\r]+")
 _HIDE = re.compile(r"display\s*:\s*none", re.I)
@@ -87,23 +95,32 @@ def build_tree(html: str) -> Node:
     """The document tree, with implied tags supplied."""
     root = Node("#root", {})
     stack = [root]
+    where: dict[str, list[int]] = defaultdict(list)  # places of the open elements of each tag
 
     def push(tag: str, attrs: dict[str, str]) -> None:
         node = Node(tag, attrs)
         stack[-1].children.append(node)
         if tag not in VOID:
+            where[tag].append(len(stack))
             stack.append(node)
 
+    def close(place: int) -> None:
+        """Close the element at ``place`` and all inside it."""
+        for node in stack[place:]:
+            where[node.tag].pop()
+        del stack[place:]
+
+    def nearest(tags: frozenset[str]) -> int:
+        return max((where[t][-1] for t in tags if where.get(t)), default=0)
+
     def close_through(tags: frozenset[str], stop: frozenset[str]) -> None:
         """Close the outermost open element of ``tags`` above the nearest one of ``stop``."""
-        found = 0
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in tags:
-                found = i
-            elif stack[i].tag in stop:
-                break
-        if found:
-            del stack[found:]
+        inner = [w for w in map(where.get, tags) if w]
+        if inner:
+            limit = nearest(stop)
+            found = [w[bisect_right(w, limit)] for w in inner if w[-1] > limit]
+            if found:
+                close(min(found))
 
     def start(tag: str, attrs: dict[str, str]) -> None:
         if tag in CLOSE_P:
@@ -118,17 +135,13 @@ def build_tree(html: str) -> Node:
         if tag == "br":
             push("br", {})
             return
-        if tag == "p" and not any(n.tag == "p" for n in stack):
+        if tag == "p" and not where.get("p"):
             start("p", {})
         fences = FENCES - {tag} if tag in FENCES | SECTIONS | {"tr"} else FENCES
         if tag in ("table", "tr", *SECTIONS):
             fences = frozenset(["table"]) - {tag}
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag == tag:
-                del stack[i:]
-                return
-            if stack[i].tag in fences:
-                return
+        if where.get(tag) and where[tag][-1] > nearest(fences - {tag}):
+            close(where[tag][-1])
 
     at, size = 0, len(html)
     while at < size:
@@ -154,9 +167,9 @@ def build_tree(html: str) -> Node:
         start(tag, attributes(rest) if rest.strip(" /\t\n") else {})
         if tag in RAW and stack[-1].tag == tag:
             # searched in the page itself: lower-casing can change its length
-            close = _CLOSE[tag].search(html, at) if tag in _CLOSE else None
-            stack[-1].children.append(html[at:close.start() if close else size])
-            at = close.start() if close else size
+            ending = _CLOSE[tag].search(html, at) if tag in _CLOSE else None
+            stack[-1].children.append(html[at:ending.start() if ending else size])
+            at = ending.start() if ending else size
     return root
 
 

@@ -3,7 +3,7 @@ import re
 import duckdb
 import pytest
 from helpers import SMOKE
-from kestrel.llm.html_text import extract, html_to_text
+from kestrel.llm.html_text import attributes, extract, html_to_text
 
 CASES = [
     (None, ""), ("", ""), ("plain  text\n here", "plain text here"),
@@ -61,3 +61,20 @@ def test_edge_cases(spark):
     assert sorted((str(r.page_id), r.text, r.n_chars) for r in extract(df).collect()) == [
         ("1", "a", 1), ("1", "a", 1), ("None", "", 0)]
     assert extract(df.limit(0)).count() == 0
+
+
+def test_quotes_count_only_after_an_equals_sign():
+    assert html_to_text("<p title=don't>Hello</p> <p>it's</p><p>end</p>") == "Hello\n\nit's\n\nend"
+    assert html_to_text('<p a"b>one</p><p x= "a > b" y=\'>\'>two "quoted"</p>') == 'one\n\ntwo "quoted"'
+    assert html_to_text("<p =x = y==z / hidden=no>gone</p><p title=>seen</p>") == "seen"
+    assert attributes(""" a=1 B='x "y"' c="d'e" f g=h'i A=2 """) == {
+        "a": "1", "b": 'x "y"', "c": "d'e", "f": "", "g": "h'i"}
+
+
+def test_deep_nesting_is_linear():
+    import time
+    for tag in ("div", "ul", "p", "span"):
+        t = time.time()
+        assert html_to_text(f"<{tag}>" * 50_000 + "deep") == "deep"
+        assert html_to_text("<p>open<table><tr><td>" + f"<{tag}>" * 50_000 + "deep").endswith("deep")
+        assert time.time() - t < 10
