@@ -50,7 +50,7 @@ def with_features(docs: DataFrame, text_col: str = "text") -> DataFrame:
          F.regexp_count("_t", F.lit(r"[#*$%&|<>]")) / n,
          F.regexp_count("_t", F.lit(r"\p{Lu}{2,}")) / n,
          F.size(F.array_distinct("_w")) / n,
-         F.regexp_count("_t", F.lit(r"(\S{2,}) \1(?!\S)")) / n,
+         F.regexp_count("_t", F.lit(r"(?<!\S)(\S{2,}+) \1(?!\S)")) / n,
          F.length(F.array_join("_w", "")) / n,
          F.regexp_count("_t", F.lit(r"[.!?][\x20\x09-\x0D]|[.!?]$")) / n,
          (F.size("_l") - F.size(F.array_distinct("_l"))) / F.size("_l"),

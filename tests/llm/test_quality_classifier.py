@@ -42,3 +42,14 @@ def test_edge_cases(spark):
     assert out.count() == len(ODD) + 2 and out.filter("NOT quality_kept").count() == 0
     assert qc.score(df.limit(0), labels).count() == 0
     assert qc.score(df, labels).filter("quality_prob IS NULL").count() == 0
+
+
+def test_long_texts_without_spaces_end(spark):
+    """Words that repeat are whole words beside each other; a run without spaces is read once."""
+    import time
+    texts = ["x" * 5_000_000, "the the cat cat at a a", " ".join(["same"] * 100_000)]
+    t = time.time()
+    rows = qc.with_features(docs(spark, texts)).select("doc_id", "_x").collect()
+    doubled = {r.doc_id: r["_x"][qc.FEATURES.index("doubled")] for r in rows}
+    assert time.time() - t < 60
+    assert doubled[0] == 0 and doubled[1] == 2 / 7 and doubled[2] == 0.5
