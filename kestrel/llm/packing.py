@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.llm.common import id_and_raw
-from kestrel.llm.tokens import chunk_encoder
+from kestrel.llm.tokens import MEMO_ENTRIES, chunk_encoder
 from kestrel.operators.joins import broadcast_if_bounded
 from kestrel.session import arrow_rows, materialize
 
@@ -34,10 +34,10 @@ _TOKENS = "part int, start_in_part long, doc_id long, doc_tokens long, ids binar
 
 
 def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID,
-             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+             id_col: str = "doc_id", text_col: str = "text", memo: int = MEMO_ENTRIES) -> DataFrame:
     """One row per document: its ids (little-endian unsigned 32 bit) and its offset in the partition."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = chunk_encoder(tokenizer_path), np.array([end_id], "<u4").tobytes()
+        encoder, end = chunk_encoder(tokenizer_path, memo), np.array([end_id], "<u4").tobytes()
         part, at = TaskContext.get().partitionId(), 0
         for b in batches:
             for lo in range(0, b.num_rows, 256):
@@ -85,10 +85,13 @@ def cut(tokens: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int = END_ID,
-         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All documents as pieces of gapless sequences of ``window`` tokens (see ``cut``)."""
+         id_col: str = "doc_id", text_col: str = "text", memo: int = MEMO_ENTRIES) -> DataFrame:
+    """All documents as pieces of gapless sequences of ``window`` tokens (see ``cut``).
+
+    ``memo`` bounds the chunks a Python worker keeps; it changes no result.
+    """
     with arrow_rows(docs.sparkSession):
-        tokens = materialize(tokenize(docs, tokenizer_path, end_id, id_col, text_col), "pack-tokens")
+        tokens = materialize(tokenize(docs, tokenizer_path, end_id, id_col, text_col, memo), "pack-tokens")
     return cut(tokens, window)
 
 

@@ -32,12 +32,38 @@ def byte_chars() -> list[str]:
 
 #: A longer chunk is encoded each time, so the memo's entries are small and their number bounds its bytes.
 LONGEST_KEPT = 64
+#: Chunks in each of a memo's two generations; about 200 bytes a chunk in every Python worker.
+MEMO_ENTRIES = 250_000
+
+
+class ChunkMemo(Memo):
+    """A memo of two generations: when the young one is full it becomes the old one; what is asked for again returns."""
+
+    def __init__(self, compute, most: int):
+        super().__init__(compute, most)
+        self.old: dict = {}
+
+    def clear(self) -> None:
+        super().clear()
+        self.old = {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+            if len(key) > LONGEST_KEPT:
+                return value
+        if len(self) >= self.most:
+            self.old = dict(self)
+            super().clear()
+        self[key] = value
+        return value
 
 
 class ChunkEncoder:
     """``encode(raw)``: ids of a text's UTF-8 bytes, as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, most: int = 200_000):
+    def __init__(self, path: str, most: int = MEMO_ENTRIES):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -48,7 +74,7 @@ class ChunkEncoder:
             added = json.load(f)["added_tokens"]
         self.special = [t["content"].encode() for t in added]
         self.shown = {i: c for i, c in enumerate(byte_chars())}
-        self.memo = Memo(self._chunk, most)
+        self.memo = ChunkMemo(self._chunk, most)
 
     def _library(self, raw: bytes) -> bytes:
         ids = self.tokenizer.encode(raw.decode(), add_special_tokens=False).ids
@@ -65,15 +91,15 @@ class ChunkEncoder:
     def encode(self, raw: bytes) -> bytes:
         if any(s in raw for s in self.special):  # special tokens are cut before anything else
             return self._library(raw)
-        return b"".join([self.memo[c] if len(c) <= LONGEST_KEPT else self._chunk(c) for c in raw.split()])
+        return b"".join(map(self.memo.__getitem__, raw.split()))
 
 
-_ENCODERS: dict[str, ChunkEncoder] = {}
+_ENCODERS: dict[tuple[str, int], ChunkEncoder] = {}
 
 
-def chunk_encoder(path: str) -> ChunkEncoder:
+def chunk_encoder(path: str, most: int = MEMO_ENTRIES) -> ChunkEncoder:
     """The encoder of this Python worker; it is built once and keeps its memo between tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = ChunkEncoder(path)
-    only(_ENCODERS[path].memo)
-    return _ENCODERS[path]
+    if (path, most) not in _ENCODERS:
+        _ENCODERS[path, most] = ChunkEncoder(path, most)
+    only(_ENCODERS[path, most].memo)
+    return _ENCODERS[path, most]
