@@ -60,7 +60,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 2048 tokens, with their ids."""
-    return packing.pack(docs, WORD_BPE)
+    # executors still hold what the stages before took, so the memo is small here
+    return packing.pack(docs, WORD_BPE, memo=100_000)
 
 
 STAGES = [("quality_classifier", quality), ("toxicity", toxic), ("exact_dedup", exact),
