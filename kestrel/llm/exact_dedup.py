@@ -5,7 +5,8 @@ modulo a 128-bit prime is its fingerprint. Values of neighbouring chunks
 combine by length-shifted arithmetic, ``H(ab) = H(a) * 256**len(b) + H(b)``,
 so chunks of a huge text are hashed one by one, in any grouping. Texts with
 equal length and fingerprint are then compared chunk by chunk with the text
-that would stay, so a collision never merges different texts.
+that would stay, so a collision never merges different texts. Rows are told
+apart by id and SHA-256 of the text, so different texts may stand under one id.
 
 Defined results: NULL text counts as empty; all empty texts are one group.
 Of equal texts the row with the largest id stays (a NULL id is below every
@@ -20,7 +21,7 @@ from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.llm.common import id_and_raw, keep_ids, only
@@ -31,7 +32,7 @@ PRIME = 2**128 - 159
 CHUNK_BYTES = 1 << 20
 
 _PRINTS = "doc_id long, uid long, n_bytes long, fp binary, text_sha256 string"
-_CHUNKS = "n_bytes long, fp binary, doc_id long, k int, chunk binary"
+_CHUNKS = "n_bytes long, fp binary, doc_id long, text_sha256 string, k int, chunk binary"
 
 
 def chunks(raw: bytes, size: int) -> list[bytes]:
@@ -78,13 +79,13 @@ def _chunk_rows(docs: DataFrame, id_col: str, text_col: str, prime: int,
     """Chunks of every text, each with the fingerprint of its whole text."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("n_bytes", pa.int64()), ("fp", pa.binary()), ("doc_id", pa.int64()),
-                            ("k", pa.int32()), ("chunk", pa.binary())])
+                            ("text_sha256", pa.string()), ("k", pa.int32()), ("chunk", pa.binary())])
         for b in batches:
             out = []
             for doc_id, raw in zip(b.column("doc_id").to_pylist(), b.column("raw").to_pylist()):
                 low = raw.lower()
-                fp = fingerprint(low, prime, chunk_bytes)
-                out += [{"n_bytes": len(low), "fp": fp, "doc_id": doc_id, "k": k, "chunk": c}
+                fp, sha = fingerprint(low, prime, chunk_bytes), hashlib.sha256(low).hexdigest()
+                out += [{"n_bytes": len(low), "fp": fp, "doc_id": doc_id, "text_sha256": sha, "k": k, "chunk": c}
                         for k, c in enumerate(chunks(low, chunk_bytes))]
             yield pa.RecordBatch.from_pylist(out, schema=schema)
 
@@ -94,7 +95,7 @@ def _chunk_rows(docs: DataFrame, id_col: str, text_col: str, prime: int,
 def _groups(prints: DataFrame) -> DataFrame:
     """Per (length, fingerprint, class): the row that stays and the number of rows."""
     return (prints.groupBy("n_bytes", "fp", "cls")
-            .agg(F.max(F.struct("doc_id", "uid")).alias("top"), F.count("*").alias("group_size")))
+            .agg(F.max(F.struct("doc_id", "uid", "text_sha256")).alias("top"), F.count("*").alias("group_size")))
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -110,34 +111,36 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     prints = materialize(fingerprints(docs, id_col, text_col, prime, chunk_bytes)
                          .withColumn("cls", F.lit(0)), "exact-prints")
     key = ["n_bytes", "fp"]
-    open_ = prints
+    row = [*key, "doc_id", "text_sha256"]
+
+    def same(a: str, b: str, cols: list[str]) -> Column:
+        return reduce(Column.__and__, [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in cols])
+
+    open_, again = prints, False
     while True:
         multi = (_groups(open_).filter("group_size > 1")
-                 .select(*key, F.col("top.doc_id").alias("top_id")))
+                 .select(*key, F.col("top.doc_id").alias("top_id"), F.col("top.text_sha256").alias("top_sha")))
         members = open_.join(multi, key, "left_semi")
         texts = keep_ids(docs, members, id_col)
         rows = _chunk_rows(texts, id_col, text_col, prime, chunk_bytes)
-        # a class holds the rows still open: those ids, and of those ids these fingerprints
-        mine = rows.join(multi.withColumnRenamed("top_id", "_t"), key)
-        top = (rows.join(multi.select(*key, "top_id"), key)
-               .filter(F.col("doc_id").eqNullSafe(F.col("top_id")))
+        if again:
+            # other texts of these ids may already stand in an earlier class
+            rows = rows.alias("r").join(members.select(*row).distinct().alias("m"), same("r", "m", row), "left_semi")
+        mine = rows.join(multi, key)
+        top = (mine.filter(F.col("doc_id").eqNullSafe(F.col("top_id")) & (F.col("text_sha256") == F.col("top_sha")))
                .select(*key, "k", F.col("chunk").alias("top_chunk")).dropDuplicates([*key, "k"]))
-        differ = (mine.select(*key, "doc_id", "k", "chunk").join(top, [*key, "k"])
-                  .filter(F.col("chunk") != F.col("top_chunk"))
-                  .select(*key, "doc_id").distinct()
-                  .withColumnRenamed("doc_id", "_d"))
+        differ = (mine.select(*row, "k", "chunk").join(top, [*key, "k"])
+                  .filter(F.col("chunk") != F.col("top_chunk")).select(*row).distinct())
         differ = materialize(differ, "exact-differ")
         if differ.isEmpty():
             break
-        same_row = ((F.col("p.n_bytes") == F.col("d.n_bytes")) & (F.col("p.fp") == F.col("d.fp"))
-                    & F.col("p.doc_id").eqNullSafe(F.col("d._d")))
-        moved = prints.alias("p").join(differ.alias("d"), same_row, "left")
+        moved = prints.alias("p").join(differ.alias("d"), same("p", "d", row), "left")
         prints = materialize(
             moved.select("p.doc_id", "p.uid", "p.n_bytes", "p.fp", "p.text_sha256",
                          F.when(F.col("d.fp").isNull(), F.col("p.cls"))
                          .otherwise(F.col("p.cls") + 1).alias("cls")), "exact-prints")
-        open_ = prints.join(differ.withColumnRenamed("_d", "_x").select(*key).distinct(), key, "left_semi")
-        open_ = open_.filter(F.col("cls") == open_.agg(F.max("cls")).first()[0])
+        open_ = prints.join(differ.select(*key).distinct(), key, "left_semi")
+        open_, again = open_.filter(F.col("cls") == open_.agg(F.max("cls")).first()[0]), True
     out = prints.join(_groups(prints), [*key, "cls"])
     return out.select(
         "doc_id", F.col("top.doc_id").alias("keep_id"), "group_size",

@@ -48,6 +48,22 @@ def test_collisions_never_merge(spark):
     assert answer(df, prime=7, chunk_bytes=1) == brute(rows)
 
 
+def test_colliding_texts_under_one_id(spark):
+    # different texts of one id share every fingerprint; the classes must still come to an end
+    rows = [(1, "ab"), (1, "ba"), (1, "ab"), (2, "BA"), (3, "cd"), (3, "dc"), (None, "ab"), (None, "dc")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((str(r.doc_id), r.text_sha256, str(r.keep_id), r.group_size, r.kept)
+                 for r in ed.exact_dedup(df, prime=1, chunk_bytes=1).collect())
+    want, seen = [], set()
+    for d, t in rows:
+        group = [e for e, u in rows if lower(u) == lower(t)]
+        keep = max((e for e in group if e is not None), default=None)
+        first = d == keep and (d, lower(t)) not in seen
+        seen |= {(d, lower(t))} if first else set()
+        want.append((str(d), hashlib.sha256(lower(t).encode()).hexdigest(), str(keep), len(group), first))
+    assert got == sorted(want)
+
+
 def test_null_ids_repeated_rows_extra_columns_empty(spark):
     df = spark.createDataFrame([(None, "t", 1), (5, "T", 2), (5, "t", 3), (None, "u", 4)],
                                "doc_id long, text string, kept int")
