@@ -4,7 +4,8 @@ Each text (A-Z lower-cased) is the set of its distinct word shingles, held as
 64-bit hashes. ``TREES`` signature orders of ``DEPTH`` min-hashes each act as
 sorted prefix trees: documents that share a prefix of a tree are neighbours.
 
-1. Equal sets are collapsed to one representative.
+1. Equal sets are collapsed to one representative, which gets a number of its
+   own: different texts under one id are different representatives.
 2. Regions (shared prefixes of depth 3, 5, 8) link their members to the
    region's most central member: one link per member and tree, however large
    the region is. The best link of each document is confirmed on full sets.
@@ -22,7 +23,9 @@ sorted prefix trees: documents that share a prefix of a tree are neighbours.
 Defined results: NULL or empty texts and texts without a word have no
 shingles, stay alone and are kept; a text shorter than a shingle is one
 shingle; rows with a NULL id are returned with a NULL component and kept;
-repeated rows are alike. Other columns are ignored; an empty table gives an
+repeated rows are alike; rows of one id with different texts each get the
+component of their own text. A text of any length is one set, held by one task
+at a time; of regions' members that tie, any may become the hub. Other columns are ignored; an empty table gives an
 empty result.
 """
 
@@ -136,20 +139,22 @@ def signatures(docs: DataFrame, width: int, id_col: str = "doc_id",
 
 
 def shingle_sets(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, set): the full set of every document as an array of longs."""
+    """(doc_id, set_hash, set): the full set of every document as an array of longs."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only(_WORDS)
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 b = batch.slice(lo, 256)
                 sets = [shingle_set(r, width).view(np.int64) for r in b.column("raw").to_pylist()]
+                hashes = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
                 offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                 flat = np.concatenate(sets) if sets else np.empty(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                    names=["id", "set"])
+                    [b.column("doc_id"), pa.array(hashes, pa.binary()),
+                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
+                    names=["doc_id", "set_hash", "set"])
 
-    return id_and_raw(docs, id_col, text_col).mapInArrow(run, "id long, set array<long>")
+    return id_and_raw(docs, id_col, text_col).mapInArrow(run, "doc_id long, set_hash binary, set array<long>")
 
 
 def sketch_limit(percent: int) -> int:
@@ -376,12 +381,20 @@ def _confirm_meetings(meetings: DataFrame, members: DataFrame, sets: DataFrame,
 
 def near_components(docs: DataFrame, reps: DataFrame, width: int, percent: int, region: int = REGION,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, component) of every representative that has a confirmed link."""
+    """(id, component) of every representative that has a confirmed link.
+
+    ``reps``: id, set_hash, signature columns and doc_id, a document that has the set (the id, if left out).
+    """
+    if "doc_id" not in reps.columns:
+        reps = reps.withColumn("doc_id", F.col("id"))
     trees = materialize(_tree_rows(reps), "near-trees")
     stars = materialize(_star_links(trees, percent), "near-stars")
     # whoever shares a region may have to be confirmed: their sets are made once
-    sets = materialize(shingle_sets(keep_ids(docs, trees.select(F.col("id").alias("doc_id")), id_col),
-                                    width, id_col, text_col).dropDuplicates(["id"]), "near-sets")
+    asked = materialize(reps.select("id", "doc_id", "set_hash").join(trees.select("id").distinct(), "id", "left_semi"),
+                        "near-asked")
+    sets = shingle_sets(keep_ids(docs, asked, id_col), width, id_col, text_col)
+    sets = materialize(sets.join(asked, ["doc_id", "set_hash"]).dropDuplicates(["doc_id", "set_hash"])
+                       .select("id", "set"), "near-sets")
     first = (stars.groupBy("a").agg(F.max(F.struct("central", (-F.col("b")).alias("neg"))).alias("h"))
              .select("a", (-F.col("h.neg")).alias("b")))
     links = materialize(confirm(sets, first, percent), "near-links")
@@ -426,15 +439,59 @@ def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80, region: int =
     Documents are linked when 100 * intersection >= percent * union of their
     sets of ``width``-word shingles; component_id is the smallest id reachable.
     """
+    return (near_verdicts(docs, width, percent, region, id_col, text_col)
+            .select("doc_id", "n_shingles", "component_id", "kept"))
+
+
+def near_verdicts(docs: DataFrame, width: int, percent: int, region: int = REGION,
+                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``near_dedup`` with set_hash and ``group``, a number of the component (NULL: no set or id)."""
     signed = materialize(signatures(docs, width, id_col, text_col), "near-signed")
     known = signed.filter("doc_id IS NOT NULL AND n_shingles > 0")
     groups = materialize(known.groupBy("set_hash", "n_shingles").agg(
-        F.min("doc_id").alias("id"), *[F.any_value(c).alias(c) for c in
-                                       (*SKETCH, *[f"k{d}" for d in LEVELS])]), "near-groups")
+        F.min("doc_id").alias("doc_id"), *[F.any_value(c).alias(c) for c in
+                                           (*SKETCH, *[f"k{d}" for d in LEVELS])])
+        .withColumn("id", F.monotonically_increasing_id()), "near-groups")
     comp = near_components(docs, groups, width, percent, region, id_col, text_col)
-    member = (groups.select("set_hash", "n_shingles", "id").join(comp, "id", "left")
-              .select("set_hash", "n_shingles", F.coalesce("component", "id").alias("component")))
+    own_ids = groups.select("id", "doc_id", "set_hash", "n_shingles")
+    linked = materialize(own_ids.join(comp, "id"), "near-linked")
+    least = linked.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    member = (linked.join(least, "component").select("id", "component", "component_id"))
+    member = (own_ids.join(member, "id", "left")
+              .select("set_hash", "n_shingles", F.coalesce("component", "id").alias("group"),
+                      F.coalesce("component_id", "doc_id").alias("component_id")))
     out = signed.select("doc_id", "n_shingles", "set_hash").join(member, ["set_hash", "n_shingles"], "left")
-    own = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component", "doc_id"))
+    named = F.col("doc_id").isNotNull()
+    own = F.when(named, F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", own.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"))
+                      F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"),
+                      "set_hash", F.when(named, F.col("group")).alias("group"))
+
+
+def drop_near(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
+              text_col: str = "text") -> DataFrame:
+    """``docs`` without near copies: all columns of one row per component.
+
+    Ids that occur once are joined back by id. Rows of an id that occurs
+    several times are told apart by their sets, and of rows with the same id
+    and set one stays. Rows without a word and rows with a NULL id all stay.
+    """
+    verdict = materialize(near_verdicts(docs, width, percent, id_col=id_col, text_col=text_col), "near-verdict")
+    repeated = materialize(verdict.filter("doc_id IS NOT NULL").groupBy("doc_id").count()
+                           .filter("count > 1").select("doc_id"), "near-repeated")
+    if repeated.isEmpty():
+        return keep_ids(docs, verdict.filter("kept"), id_col)
+    once = keep_ids(docs, verdict.filter("kept").join(repeated, "doc_id", "left_anti"), id_col)
+    # the row that stays of a component whose smallest id occurs several times
+    chosen = (verdict.filter("kept AND group IS NOT NULL").join(repeated, "doc_id", "left_semi")
+              .groupBy("group", "doc_id").agg(F.min("set_hash").alias("set_hash")).drop("group"))
+    several = keep_ids(docs, repeated, id_col).select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"),
+        F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("_text"),
+        F.xxhash64(f"`{text_col}`").alias("_key"))
+    hashed = signatures(several.select("_key", "_text"), width, "_key", "_text").select(
+        F.col("doc_id").alias("_key"), "set_hash", "n_shingles").distinct()
+    several = several.join(hashed, "_key")
+    few = several.filter("n_shingles > 0").join(chosen, ["doc_id", "set_hash"], "left_semi").dropDuplicates(
+        ["doc_id", "set_hash"])
+    return once.unionByName(several.filter("n_shingles = 0").unionByName(few).select("_doc.*"))

@@ -73,6 +73,17 @@ def test_nulls_repeats_clashing_columns_empty(spark):
     assert nd.near_dedup(docs(spark, ["x"]).limit(0)).count() == 0
 
 
+def test_different_texts_under_one_id(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a), (1, b), (2, b + " more"), (3, a + " more"), (5, a), (5, c), (5, c), (7, c + " more"), (8, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in nd.near_dedup(df, 3, 85).collect())
+    assert got == [(1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (5, 1, False),
+                   (5, 5, True), (5, 5, True), (7, 5, False), (8, 8, True)]
+    left = sorted((r.doc_id, r.text) for r in nd.drop_near(df, 3, 85).collect())
+    assert left == [(1, a), (1, b), (5, c), (8, None)]
+
+
 def test_components_of_a_long_path(spark):
     ids = list(range(200))
     random.Random(2).shuffle(ids)
