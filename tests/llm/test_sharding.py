@@ -3,6 +3,7 @@ from collections import Counter
 
 from helpers import ODD, docs, smoke_rows
 from kestrel.llm import sharding as sh
+from pyspark.sql import functions as F
 
 
 def test_fisher_yates_is_a_seeded_permutation():
@@ -30,6 +31,17 @@ def test_every_record_has_one_place(spark):
     assert again == {(r.doc_id, r.shard, r.slot) for r in rows}
 
 
+def test_a_row_repeated_very_often_is_spread(spark):
+    rows = [(None, "x" * 84)] * 4000 + [(7, "y" * 84)] * 2000 + [(i, f"text {i}") for i in range(100, 600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(9)
+    sizes = {r.bucket: r.b for r in sh.scatter(df, bucket_bytes=20_000).groupBy("bucket").agg(F.sum("size").alias("b")).collect()}
+    assert sum(sizes.values()) == sum(len(t) + 16 for _, t in rows) and max(sizes.values()) <= 5 * 20_000
+    out = sh.shard(df, shards=40, bucket_bytes=20_000).select("doc_id", "shard", "slot").collect()
+    again = sh.shard(df.repartition(4), shards=40, bucket_bytes=20_000).select("doc_id", "shard", "slot").collect()
+    assert sorted((r.slot, r.shard) for r in out) == [(i // 40, i % 40) for i in range(len(rows))]
+    assert Counter(map(tuple, out)) == Counter(map(tuple, again))
+
+
 def test_written_shards_and_edge_cases(spark, tmp_path):
     df = spark.createDataFrame([(None, None, "p"), (1, "a", "q"), (1, "a", "q"), (1, "b", "r")],
                                "doc_id long, text string, Slot string")
