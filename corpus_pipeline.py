@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from kestrel.llm import exact_dedup, near_dedup, packing, quality_classifier, toxicity
 from kestrel.llm.catalog import WORD_BPE
-from kestrel.llm.common import keep_ids
 from kestrel.session import arrow_rows, materialize
 from kestrel.sources.tables import read_table
 
@@ -54,8 +53,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (five-word shingles, 0.8) the smallest id stays."""
     with arrow_rows(spark):
-        groups = near_dedup.near_dedup(docs, width=5, percent=80)
-        return keep_ids(docs, groups.filter("kept"))
+        return near_dedup.drop_near(docs, width=5, percent=80)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
