@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.operators.intervals import points_in_intervals
 from kestrel.operators.joins import has_at_most
 from kestrel.operators.sequence import with_next
 from kestrel.session import materialize
@@ -49,7 +50,7 @@ def _bucket(ts: Column | str, width_s: int) -> Column:
 def assign_state(interventions: DataFrame, traceability: DataFrame, tolerance: float = 0.2,
                  fill: str = TM, bucket_days: int = 30,
                  order: Sequence[str] = (START, "numero_intervention"),
-                 censor_last: bool = False) -> DataFrame:
+                 censor_last: bool = False, cover: str = "buckets") -> DataFrame:
     """Attach each traceability row to the interventions whose tolerance window holds it.
 
     window of an intervention = (start - d, next_start - d], d = tolerance x
@@ -64,7 +65,11 @@ def assign_state(interventions: DataFrame, traceability: DataFrame, tolerance: f
     the ``bucket_days`` time buckets it covers and inner-joined to the
     traceability rows on (id, bucket) with the range as a residual, so a
     busy id is spread over its buckets and AQE may split a hot (id, bucket)
-    on either side. Every intervention row gets an id of its own, stored with
+    on either side. With ``cover="dyadic"`` a window is covered by blocks of
+    days of doubling size (``intervals.points_in_intervals``): rows per window
+    grow with the logarithm of its length, and a dense month is no bucket, for
+    one look-up of each traceability row per block size. It suits long
+    windows; short ones cost less with buckets. Every intervention row gets an id of its own, stored with
     its neighbour: it ends the order (several operations may share a number
     and a start, and numbers may be NULL) and tells which rows had a match.
     The matches (the answer's size) are materialized once, because rows with
@@ -78,13 +83,20 @@ def assign_state(interventions: DataFrame, traceability: DataFrame, tolerance: f
     delta = (nxt - F.col(START)) * F.lit(tolerance)
     win = (iv.filter(nxt.isNotNull())
            .withColumns({"_lo": F.col(START) - delta, "_hi": nxt - delta}))
-    win = win.withColumn("_b", F.explode(F.sequence(_bucket("_lo", width), _bucket("_hi", width))))
-    tr = traceability.withColumnRenamed(ID, "_tid").withColumn("_tb", _bucket(DUE, width))
+    tr = traceability.withColumnRenamed(ID, "_tid")
     trace_cols = [c for c in traceability.columns if c != ID]
+    inside = (F.col(DUE) > F.col("_lo")) & (F.col(DUE) <= F.col("_hi"))
+    if cover == "dyadic":
+        pairs = points_in_intervals(win, tr, ID, "_tid", _bucket("_lo", 86400), _bucket("_hi", 86400),
+                                    _bucket(DUE, 86400), inside)
+    elif cover == "buckets":
+        win = win.withColumn("_b", F.explode(F.sequence(_bucket("_lo", width), _bucket("_hi", width))))
+        tr = tr.withColumn("_tb", _bucket(DUE, width))
+        pairs = win.join(tr, (F.col(ID) == F.col("_tid")) & (F.col("_b") == F.col("_tb")) & inside)
+    else:
+        raise ValueError("cover must be 'buckets' or 'dyadic'")
     matched = materialize(
-        win.join(tr, (F.col(ID) == F.col("_tid")) & (F.col("_b") == F.col("_tb"))
-                 & (F.col(DUE) > F.col("_lo")) & (F.col(DUE) <= F.col("_hi")))
-        .select("_rid", *interventions.columns, *trace_cols), "interval-matches")
+        pairs.select("_rid", *interventions.columns, *trace_cols), "interval-matches")
     pool = iv.filter(nxt.isNotNull()) if censor_last else iv
     unmatched = (pool.join(matched.select("_rid").distinct(), "_rid", "left_anti")
                  .select("_rid", *interventions.columns,

@@ -15,6 +15,7 @@ from kestrel.operators import journeys as jn
 from kestrel.operators import logs as lg
 from kestrel.operators import maintenance as mt
 from kestrel.operators import matching as mm
+from kestrel.operators import sketches as sk
 from kestrel.operators import tracking as tk
 from kestrel.operators import traffic as tr
 from kestrel.plans import params as P
@@ -339,6 +340,41 @@ def q_stream_poi_messages(spark, sf_dir):
     return st.decode_poi_messages(spark.read.parquet(_message_run(spark, sf_dir)["pois"]))
 
 
+def q_assign_state_dyadic(spark, sf_dir):
+    """The same answer as assign_state, windows covered by blocks of doubling size."""
+    t = Tables(spark, sf_dir)
+    return mt.assign_state(derived.interventions(t.orders), derived.traceability(t.lineitem, t.orders),
+                           cover="dyadic").select(*mt.STATE_COLUMNS)
+
+
+def _sketched_days(spark, sf_dir):
+    """Exact columns and sketch estimates per day and component, merged from stored minutes."""
+    samples = derived.component_metrics_input(Tables(spark, sf_dir).events)
+    keys, metrics = ["component"], ["ram_usage", "cpu_usage"]
+    minutes = materialize(sk.minute_sketches(samples, "timestamp", keys, metrics, "ram_usage"), "minute-sketches")
+    hours = sk.merge(minutes, keys, metrics, "ram_usage", 3600)
+    return sk.estimates(sk.merge(hours, keys, metrics, "ram_usage", 86400), keys, metrics, "ram_usage")
+
+
+def q_metrics_by_day_sketched(spark, sf_dir):
+    """With quantiles and distinct counts, which are estimates."""
+    return _sketched_days(spark, sf_dir)
+
+
+def q_metrics_by_day(spark, sf_dir):
+    """The columns that merge exactly."""
+    return _sketched_days(spark, sf_dir).drop("q70_ram_usage", "q70_cpu_usage", "distinct_ram_usage")
+
+
+def q_compound_names(spark, sf_dir):
+    """Part names against the same names with accents and hyphens, by the codes of their parts."""
+    part = Tables(spark, sf_dir).part
+    plain = part.select("p_brand", F.col("p_name").alias("a_name"))
+    other = part.select("p_brand", F.replace(F.translate("p_name", "aeiou", "àéîôü"), F.lit(" "), F.lit("-"))
+                        .alias("b_name"))
+    return mm.compound_match(plain, other, ["p_brand"], "a_name", "b_name")
+
+
 def q_assign_state_operations(spark, sf_dir):
     """Several operations per intervention number at one start."""
     t = Tables(spark, sf_dir)
@@ -415,4 +451,8 @@ QUERIES: dict[str, Query] = {
     "gps_moving_speed": q_gps_moving_speed,
     "driver_at_fix": q_driver_at_fix,
     "speed_rank": q_speed_rank,
+    "assign_state_dyadic": q_assign_state_dyadic,
+    "metrics_by_day": q_metrics_by_day,
+    "metrics_by_day_sketched": q_metrics_by_day_sketched,
+    "compound_names": q_compound_names,
 }

@@ -156,6 +156,16 @@ SELECT time_bucket(INTERVAL '1 minute', ts_) AS datetime_timestamp, component,
 FROM m WHERE ts_ IS NOT NULL GROUP BY 1, 2"""
 
 
+def _metrics_by_day() -> str:
+    cols = ", ".join(f"COUNT({m}) AS n_{m}, min({m}) AS min_{m}, max({m}) AS max_{m}, avg({m}) AS avg_{m}"
+                     for m in ("ram_usage", "cpu_usage"))
+    return f"""WITH {_events_cte()},
+m AS (SELECT ts AS ts_, comp AS component, 10 + CAST(floor(value) AS INTEGER) % 80 AS ram_usage,
+             20 + k % 60 AS cpu_usage FROM ev)
+SELECT date_trunc('day', ts_) AS period, component, COUNT(*) AS samples, {cols}
+FROM m WHERE ts_ IS NOT NULL GROUP BY 1, 2"""
+
+
 def _gps_cte() -> str:
     """Normalized GPS text (dots), typed good rows, acceleration, nearest POI."""
     deg = "0.017453292519943295"
@@ -446,6 +456,20 @@ s AS (SELECT {", ".join("a." + c for c in P.MATCH_BLOCK_COARSE)}, a.p_name AS a_
 SELECT * FROM s WHERE score >= {P.MATCH_THRESHOLD}"""
 
 
+def _compound_names() -> str:
+    def side(name, prefix):
+        return f"""(SELECT p_brand, codes, COUNT(*) AS {prefix}_names, SUM(k) AS n_{prefix} FROM (
+  SELECT p_brand, k, (SELECT string_agg({soundex_sql("w")}, ' ' ORDER BY i) FROM (
+           SELECT unnest(words) AS w, generate_subscripts(words, 1) AS i)) AS codes
+  FROM (SELECT p_brand, COUNT(*) AS k, regexp_extract_all(strip_accents({name}), '[A-Za-z]+') AS words
+        FROM part GROUP BY p_brand, {name})) WHERE codes IS NOT NULL GROUP BY 1, 2)"""
+
+    other = "replace(translate(p_name, 'aeiou', 'àéîôü'), ' ', '-')"
+    return f"""SELECT p_brand, codes, left_names, CAST(n_left AS BIGINT) AS n_left, right_names,
+       CAST(n_right AS BIGINT) AS n_right
+FROM {side("p_name", "left")} JOIN {side(other, "right")} USING (p_brand, codes)"""
+
+
 def _field_match() -> str:
     def sim(c):
         return (f"COALESCE(1 - CAST(levenshtein(a.{c}, b.{c}) AS DOUBLE) / "
@@ -528,6 +552,9 @@ FROM h JOIN facts2 f USING (id_materiel)""",
     out["assign_state_operations"] = _operations()
     out["driver_kpis_from_files"] = out["driver_kpis"]
     out |= _journeys()
+    out["assign_state_dyadic"] = out["assign_state"]
+    out["metrics_by_day"] = _metrics_by_day()
+    out["compound_names"] = _compound_names()
     out["stream_keyed_enriched"] = out["gps_enriched"]
     out["stream_component_metrics"] = out["component_metrics"]
     out["stream_activity_30min"] = out["activity_30min"]

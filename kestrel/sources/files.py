@@ -4,7 +4,10 @@ All schemas are explicit: no inference pass over the data, and typed parsing
 is done afterwards with ``try_*`` functions. A row with a value that is there
 but cannot be parsed is rejected with a reason (``bad_<column>``): readers
 return the good rows, or with ``rejects=True`` the rejected ones as they were
-read, with ``reject_reason``. Good and rejected rows together are the input.
+read, with ``reject_reason``. A line that is no record of the schema (no JSON,
+CSV fields missing or surplus) is rejected as ``bad_record``, its text in
+``corrupt_record``. Good and rejected rows together are the lines of the input;
+blank lines are none.
 """
 
 from __future__ import annotations
@@ -37,25 +40,30 @@ def _string_schema(columns: Iterable[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
+#: Column that holds a line which does not fit the schema.
+CORRUPT = "corrupt_record"
+
+
 def read_semicolon_csv(spark: SparkSession, path: str | list[str],
                        columns: Iterable[str]) -> DataFrame:
-    """`;`-separated CSV with a header, every column as STRING."""
-    return (spark.read.options(header=True, sep=";", mode="PERMISSIVE")
-            .schema(_string_schema(columns)).csv(path))
+    """`;`-separated CSV with a header, every column as STRING, and ``corrupt_record``."""
+    return (spark.read.options(header=True, sep=";", mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+            .schema(_string_schema([*columns, CORRUPT])).csv(path))
 
 
 def _parsed(raw: DataFrame, typed: dict[str, Column], rejects: bool) -> DataFrame:
-    """Rows of ``raw`` with ``typed`` columns, split by whether all values could be parsed."""
+    """Rows of ``raw`` with ``typed`` columns, split by whether the line and all its values could be parsed."""
     reason = F.lit(None).cast("string")
     for c, expr in reversed(typed.items()):
         present = F.col(c).isNotNull() & (F.trim(c) != "")
         reason = F.when(present & expr.isNull(), F.lit(f"bad_{c}")).otherwise(reason)
+    reason = F.when(F.col(CORRUPT).isNotNull(), F.lit("bad_record")).otherwise(reason)
     verdict = F.struct(*[typed.get(c, F.col(c)).alias(c) for c in raw.columns],
                        reason.alias("reject_reason"))
     rows = raw.select(F.struct(*raw.columns).alias("_raw"), F.inline(F.array(verdict)))
     if rejects:
         return rows.filter("reject_reason IS NOT NULL").select("_raw.*", "reject_reason")
-    return rows.filter("reject_reason IS NULL").drop("_raw", "reject_reason")
+    return rows.filter("reject_reason IS NULL").drop("_raw", "reject_reason", CORRUPT)
 
 
 def _try(c: str, kind: str) -> Column:
@@ -66,7 +74,7 @@ def _export_time(c: str) -> Column:
     return F.try_to_timestamp(c, F.lit(MAINTENANCE_TS_FORMAT)).cast("timestamp_ntz")
 
 
-def read_traffic_json(spark: SparkSession, base: str, years: Iterable[int]) -> DataFrame:
+def read_traffic_json(spark: SparkSession, base: str, years: Iterable[int], rejects: bool = False) -> DataFrame:
     """Yearly flight summaries ``{base}/{year}.json`` as one multi-path scan.
 
     The year is taken from the file name through ``_metadata.file_path``,
@@ -74,15 +82,16 @@ def read_traffic_json(spark: SparkSession, base: str, years: Iterable[int]) -> D
     a union of six scans.
     """
     paths = [f"{base.rstrip('/')}/{y}.json" for y in years]
-    df = spark.read.schema(TRAFFIC_JSON_SCHEMA).json(paths)
+    df = (spark.read.option("columnNameOfCorruptRecord", CORRUPT)
+          .schema(T.StructType([*TRAFFIC_JSON_SCHEMA, T.StructField(CORRUPT, T.StringType())])).json(paths))
     year = F.regexp_extract(F.col("_metadata.file_path"), r"(\d{4})\.json$", 1).cast("int")
-    return df.select("ORIGIN_COUNTRY_NAME", "DEST_COUNTRY_NAME",
-                     F.col("count").cast("long").alias("COUNT"), year.alias("YEAR"))
+    return _parsed(df.select("ORIGIN_COUNTRY_NAME", "DEST_COUNTRY_NAME",
+                             F.col("count").cast("long").alias("COUNT"), year.alias("YEAR"), CORRUPT), {}, rejects)
 
 
-def read_gps_day(spark: SparkSession, base: str, day: str) -> DataFrame:
+def read_gps_day(spark: SparkSession, base: str, day: str, rejects: bool = False) -> DataFrame:
     """One day folder of GPS reports (``{base}/{day}/``), raw text columns."""
-    return read_semicolon_csv(spark, f"{base.rstrip('/')}/{day}/", GPS_COLUMNS)
+    return _parsed(read_semicolon_csv(spark, f"{base.rstrip('/')}/{day}/", GPS_COLUMNS), {}, rejects)
 
 
 def read_pois(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
@@ -126,9 +135,9 @@ def read_client_register(spark: SparkSession, path: str, rejects: bool = False)
                          "numero_telephone": french_phone("numero_telephone")}, rejects)
 
 
-def read_drivers(spark: SparkSession, path: str) -> DataFrame:
-    return read_semicolon_csv(spark, path, ("id", "name"))
+def read_drivers(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
+    return _parsed(read_semicolon_csv(spark, path, ("id", "name")), {}, rejects)
 
 
-def read_assignments(spark: SparkSession, path: str) -> DataFrame:
-    return read_semicolon_csv(spark, path, ("driverId", "vehicle"))
+def read_assignments(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
+    return _parsed(read_semicolon_csv(spark, path, ("driverId", "vehicle")), {}, rejects)
