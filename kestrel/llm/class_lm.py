@@ -5,49 +5,66 @@ exchange algorithm: every word type moves to the class that raises the
 likelihood of the class bigrams most.
 
 * Counts cover every training token (distributed, partially aggregated).
-* Words that make up at least ``MIN_SHARE`` of all training tokens are types of
-  their own: there are at most ``1 / MIN_SHARE`` of them at any corpus size, so
-  their table may be broadcast. Rarer words belong to one of ``FAMILIES``
-  families by their ending; a family is a type, and a word's probability inside
-  its family comes from its exact count, joined by shuffle.
-* The corpus is encoded once as type numbers. An exchange step scans it,
-  gathers for a slice of the types how often each class stands before and
-  after them, and moves the slice's types; a few rounds go through all slices.
+* Words that make up at least ``MIN_SHARE`` of all training tokens are exchanged
+  with a broadcast class table: there are at most ``1 / MIN_SHARE`` of them at
+  any corpus size. The corpus is encoded once as type numbers. An exchange step
+  scans it, gathers for a slice of the types how often each class stands before
+  and after them, and moves the slice's types together. The likelihood of the
+  next scan says whether that move helped; a move that lowered it is undone.
+  Rounds over all slices go on until one adds little to what was gained so far.
+* All rarer words that occur at least twice get a class of their own too, by the
+  same gain, from the classes around their occurrences. Their number is not
+  bounded, so occurrences, classes and counts stay in Spark: they meet by
+  shuffles on the word's hash. During the exchange such a word stands in one of
+  ``FAMILIES`` families by its ending.
+* Words seen once and unseen words stay in their family, which is a member of a
+  class; a word's probability inside its family comes from its count.
 
 Words are told apart by 64-bit hashes. Every text ends with an end token, which
 is also the context of its first word and keeps a class of its own.
 
 Defined results: NULL and empty texts are the end token alone; a NULL id
 counts as training; repeated rows count and are scored as often as they occur;
-without training texts every token has the smoothing mass alone. Other columns
-are ignored; an empty table gives an empty result.
+without training texts every token has the smoothing mass alone. Very long texts
+are taken whole (a text is one row); of classes with equal gain a word keeps its
+own, else the lowest number wins. Other columns are ignored; an empty table gives
+an empty result.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import Memo, id_and_raw, only
+from kestrel.llm.common import id_and_raw
 from kestrel.session import materialize
 
 MIN_SHARE = 1e-6
+#: A word needs this many occurrences for a class of its own.
+LEAST_COUNT = 2
 FAMILIES = 4096
 CLASSES = 64
-ROUNDS = 2
-LEAST_SLICES = 4
-#: Context counts of one slice that a task may hold.
-SLICE_BYTES = 64 << 20
+#: Parts of the types that move together; fixed, so that classes do not depend on the corpus size.
+SLICES = 4
+#: Rounds end when one adds less than this share of what all rounds gained.
+LEAST_GAIN = 0.1
+#: Count table a task adds to as a whole; larger ones are added to cell by cell.
+DENSE_CELLS = 8_000_000
+#: Context entries weighed at once (each against all classes).
+WEIGHED = 20_000
 #: Distinct words a task counts before it hands them on, and tokens it takes at once.
 FLUSH_WORDS, FLUSH_TOKENS = 300_000, 2_000_000
+#: Bytes of texts encoded together (or one text).
+PORTION_BYTES = 1 << 20
 #: The end token; no word holds a space.
 END = b" "
 END_HASH = xxhash.xxh3_64_intdigest(END) - 2**64 * (xxhash.xxh3_64_intdigest(END) >> 63)
@@ -105,32 +122,33 @@ class Types:
     """Word types: 0 the end, then frequent words in hash order, then families."""
 
     hashes: np.ndarray
-    counts: np.ndarray  # of all types
-    family_words: np.ndarray  # distinct rare words of each family
+    counts: np.ndarray  # of all types; a family's: tokens of all its rarer words
+    single: np.ndarray  # words of each family seen once
     total: int
     distinct: int
-    key: str  # tells tables apart in a worker that serves several runs
 
     @property
-    def frequent(self) -> int:
-        return len(self.hashes)
+    def first_family(self) -> int:
+        return 1 + len(self.hashes)
 
     def __len__(self) -> int:
         return len(self.counts)
 
-    def of(self, word: bytes) -> int:
-        if word == END:
-            return 0
-        h = word_hash(word)
-        i = int(np.searchsorted(self.hashes, h))
-        if i < len(self.hashes) and self.hashes[i] == h:
-            return i + 1
-        return 1 + len(self.hashes) + family(word)
+    def of(self, words: list[bytes], hashes: np.ndarray) -> np.ndarray:
+        """Type numbers of distinct words, given their hashes."""
+        at = np.searchsorted(self.hashes, hashes)
+        known = np.zeros(len(words), bool)
+        inside = at < len(self.hashes)
+        known[inside] = self.hashes[at[inside]] == hashes[inside]
+        out = (at + 1).astype(np.int32)
+        for i in np.flatnonzero(~known).tolist():
+            out[i] = 0 if words[i] == END else self.first_family + family(words[i])
+        return out
 
     def base_log(self) -> np.ndarray:
         """log10 of the base probability of each type; families have none."""
         p = np.log10((self.counts + 0.5) / (self.total + 0.5 * (self.distinct + 1)))
-        p[1 + self.frequent:] = 0.0
+        p[self.first_family:] = 0.0
         return p
 
 
@@ -139,58 +157,77 @@ def word_types(vocab: DataFrame, min_share: float = MIN_SHARE) -> Types:
     total, distinct = row["n"] or 0, row["v"]
     end = vocab.filter(F.col("hash") == END_HASH).agg(F.sum("n")).first()[0] or 0
     words = vocab.filter(F.col("hash") != END_HASH)
-    limit = max(1.0, min_share * total)
+    limit = max(float(LEAST_COUNT), min_share * total)
     # at most 1 / min_share rows, and FAMILIES rows
     top = words.filter(F.col("n") >= limit).select("hash", "n").toPandas().sort_values("hash")
     rare = words.filter(F.col("n") < limit).groupBy("family").agg(
-        F.sum("n").alias("n"), F.count("*").alias("v")).toPandas()
+        F.sum("n").alias("n"), F.count_if(F.col("n") < LEAST_COUNT).alias("v")).toPandas()
     counts = np.zeros(1 + len(top) + FAMILIES, np.int64)
     counts[0] = end
     counts[1:1 + len(top)] = top["n"]
-    counts[1 + len(top) + rare["family"].to_numpy(np.int64)] = rare["n"]
-    spread = np.zeros(FAMILIES, np.int64)
-    spread[rare["family"].to_numpy(np.int64)] = rare["v"]
-    return Types(top["hash"].to_numpy(np.int64), counts, spread, int(total), int(distinct),
-                 uuid.uuid4().hex)
+    of_family = rare["family"].to_numpy(np.int64)
+    counts[1 + len(top) + of_family] = rare["n"]
+    single = np.zeros(FAMILIES, np.int64)
+    single[of_family] = rare["v"]
+    return Types(top["hash"].to_numpy(np.int64), counts, single, int(total), int(distinct))
 
 
-_MEMO: tuple[str, Memo] | None = None
-
 _CODED = ("uid long, doc_id long, held_out boolean, n_tokens long, known long, base double, "
-          "ids binary, rare array<struct<hash: long, family: int, n: int>>")
+          "ids binary, rare array<long>, at binary")
+
+
+def _portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with at most PORTION_BYTES of text, or one row."""
+    ends = np.cumsum(pc.binary_length(batch.column("raw")).to_numpy(zero_copy_only=False))
+    lo = 0
+    while lo < batch.num_rows:
+        before = ends[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, before + PORTION_BYTES, "right")))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
+def _cut(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """One binary cell for each run of ``values`` that ends at ``ends``."""
+    offsets = np.concatenate([[0], ends]).astype(np.int64) * values.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(ends), [
+        None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(values.tobytes())])
 
 
 def encode(docs: DataFrame, types) -> DataFrame:
-    """Every text as type numbers, with the base score of its frequent tokens and its rare words."""
-    rare_type = pa.list_(pa.struct([("hash", pa.int64()), ("family", pa.int32()), ("n", pa.int32())]))
+    """Every text as type numbers, with the base score of its frequent tokens.
 
+    ``rare``: hashes of the text's distinct words that stand in a family;
+    ``at``: for each token of a family, its word's place in ``rare``.
+    """
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        global _MEMO
         t = types.value
-        if _MEMO is None or _MEMO[0] != t.key:
-            _MEMO = (t.key, Memo(t.of, 400_000))
-        only(_MEMO[1])
-        of, first_family, base = _MEMO[1].__getitem__, 1 + t.frequent, t.base_log()
+        base = t.base_log()
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                b = batch.slice(lo, 256)
-                n, known, score, ids, rare = [], [], [], [], []
-                for raw in b.column("raw").to_pylist():
-                    words = tokens(raw)
-                    x = np.fromiter(map(of, words), np.int32, len(words))
-                    odd = np.flatnonzero(x >= first_family).tolist()
-                    seen = Counter([words[i] for i in odd])
-                    n.append(len(words))
-                    known.append(int((t.counts[x] > 0).sum()) - int((t.counts[x[odd]] > 0).sum()))
-                    score.append(float(base[x].sum()))
-                    ids.append(x.tobytes())
-                    rare.append([{"hash": word_hash(w), "family": family(w), "n": c}
-                                 for w, c in seen.items()])
+            for b in _portions(batch):
+                texts = [tokens(raw) for raw in b.column("raw").to_pylist()]
+                lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+                flat = list(chain.from_iterable(texts))
+                words = list(dict.fromkeys(flat))
+                number = dict(zip(words, range(len(words))))
+                spot = np.fromiter(map(number.__getitem__, flat), np.int64, len(flat))
+                hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)).view(np.int64)
+                x = t.of(words, hashes)[spot]
+                ends = np.cumsum(lengths)
+                starts = ends - lengths
+                m = np.flatnonzero(x >= t.first_family)
+                text = np.repeat(np.arange(len(texts)), lengths)[m]
+                pair, place = np.unique(text * len(words) + spot[m], return_inverse=True)
+                first = np.searchsorted(pair, np.arange(len(texts) + 1) * len(words))
+                seen = (t.counts[x] > 0) & (x < t.first_family)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("uid"), b.column("doc_id"), b.column("held_out"), pa.array(n, pa.int64()),
-                     pa.array(known, pa.int64()), pa.array(score, pa.float64()),
-                     pa.array(ids, pa.binary()), pa.array(rare, rare_type)],
-                    names=["uid", "doc_id", "held_out", "n_tokens", "known", "base", "ids", "rare"])
+                    [b.column("uid"), b.column("doc_id"), b.column("held_out"), pa.array(lengths),
+                     pa.array(np.add.reduceat(seen.astype(np.int64), starts)),
+                     pa.array(np.add.reduceat(base[x], starts)), _cut(x, ends),
+                     pa.ListArray.from_arrays(pa.array(first.astype(np.int32)),
+                                              pa.array(hashes[pair % len(words)])),
+                     _cut((place - first[text]).astype(np.int32), np.cumsum(np.bincount(text, minlength=len(texts))))],
+                    names=["uid", "doc_id", "held_out", "n_tokens", "known", "base", "ids", "rare", "at"])
 
     return docs.mapInArrow(run, _CODED)
 
@@ -221,8 +258,17 @@ def _packed(acc: np.ndarray, width: int) -> tuple[np.ndarray, pa.Array]:
         None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(body.tobytes())])
 
 
+def _add(acc: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    if len(acc) <= DENSE_CELLS:
+        acc += np.bincount(cells, minlength=len(acc))
+    else:
+        cell, n = np.unique(cells, return_counts=True)
+        acc[cell] += n
+    return acc
+
+
 def context_counts(coded: DataFrame, classes, n_types: int, n_classes: int, piece: int,
-                   slices: int) -> DataFrame:
+                   slices: int = SLICES) -> DataFrame:
     """One scan: rows (type, cells) for one slice of types, and (-1 - class, cells) of class bigrams.
 
     ``cells`` of a type count the classes before (0..C-1) and after it (C..2C-1).
@@ -238,8 +284,7 @@ def context_counts(coded: DataFrame, classes, n_types: int, n_classes: int, piec
             mat += np.bincount(before * n_classes + c, minlength=len(mat))
             m = np.flatnonzero((x % slices == piece) & (x != 0))
             row = (x[m] // slices).astype(np.int64) * width
-            acc += np.bincount(np.concatenate([row + before[m], row + n_classes + c[m + 1]]),
-                               minlength=len(acc))
+            _add(acc, np.concatenate([row + before[m], row + n_classes + c[m + 1]]))
         for table, w, number in ((acc, width, lambda r: r * slices + piece),
                                  (mat, n_classes, lambda r: -1 - r)):
             rows, cells = _packed(table, w)
@@ -250,48 +295,78 @@ def context_counts(coded: DataFrame, classes, n_types: int, n_classes: int, piec
     return coded.filter("NOT held_out").select("ids").mapInArrow(run, "type long, cells binary")
 
 
-def _unpack(batches: Iterable[pa.RecordBatch], width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(types, dense counts) of all packed rows of a partition."""
-    kinds, places, counts = [], [], []
+def _unpack(batches: Iterable[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Entries of a partition's packed rows: types, then per entry the type's index, cell and count."""
+    kinds, body = [], []
     for b in batches:
         for t, cells in zip(b.column("type").to_pylist(), b.column("cells").to_pylist()):
             got = np.frombuffer(cells, np.dtype([("i", "<u2"), ("n", "<u4")]))
             kinds.append(np.full(len(got), t, np.int64))
-            places.append(got["i"].astype(np.int64))
-            counts.append(got["n"].astype(np.float64))
+            body.append(got)
     if not kinds:
-        return np.empty(0, np.int64), np.empty((0, width))
+        none = np.empty(0, np.int64)
+        return none, none, none, none.astype(np.float64)
     types, at = np.unique(np.concatenate(kinds), return_inverse=True)
-    flat = np.bincount(at * width + np.concatenate(places), np.concatenate(counts), len(types) * width)
-    return types, flat.reshape(-1, width)
+    body = np.concatenate(body)
+    return types, *_summed(at, body["i"].astype(np.int64), body["n"].astype(np.float64))
+
+
+def _summed(at: np.ndarray, cell: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Entries in (at, cell) order, one for each pair."""
+    width = 2**16
+    key, same = np.unique(at * width + cell, return_inverse=True)
+    return key // width, key % width, np.bincount(same, n, len(key))
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
 
-def best_class(ctx: np.ndarray, now: int, mat: np.ndarray) -> int:
-    """The class for a type with context counts ``ctx`` (before, after), given class bigrams.
+def likelihood(mat: np.ndarray) -> float:
+    """Log-likelihood of the class bigrams (without the part that no exchange changes)."""
+    return float(_xlogx(mat).sum() - _xlogx(mat.sum(axis=0)).sum() - _xlogx(mat.sum(axis=1)).sum())
+
+
+def best_classes(at: np.ndarray, cell: np.ndarray, n: np.ndarray, now: np.ndarray,
+                 mat: np.ndarray) -> np.ndarray:
+    """The class for each type, given class bigrams and the types' contexts.
 
-    The change of the class-bigram likelihood when the type is taken out of its
-    class and put into each other class; class 0 (the end) is never chosen.
+    Entry ``i`` says that type ``at[i]`` (ascending) has ``n[i]`` neighbours of
+    class ``cell[i]`` before it, or ``cell[i] - classes`` after it. The gain of a
+    class is the change of the class-bigram likelihood when the type is taken out
+    of its class ``now`` and put there; class 0 (the end) is never chosen.
     """
-    k = len(mat)
-    left, right = ctx[:k], ctx[k:]
-    n = left.sum()
-    m = mat.copy()
-    m[:, now] = np.maximum(m[:, now] - left, 0)
-    m[now, :] = np.maximum(m[now, :] - right, 0)
-    size = m.sum(axis=0)
-    a, b = np.flatnonzero(left), np.flatnonzero(right)
-    into = m[a, :]
-    gain = (_xlogx(into + left[a, None]) - _xlogx(into)).sum(axis=0)
-    out = m[:, b]
-    gain += (_xlogx(out + right[None, b]) - _xlogx(out)).sum(axis=1)
-    gain -= 2 * (_xlogx(size + n) - _xlogx(size))
-    gain[0] = -np.inf
-    best = int(gain.argmax())
-    return best if gain[best] > gain[now] + 1e-9 else now
+    out = now.copy()
+    own, start = np.unique(at, return_index=True)
+    stop = np.append(start[1:], len(at))
+    size = mat.sum(axis=0)
+    lo = 0
+    while lo < len(own):
+        hi = max(lo + 1, int(np.searchsorted(stop, start[lo] + WEIGHED, "right")))
+        part = slice(start[lo], stop[hi - 1])
+        place = np.repeat(np.arange(hi - lo), stop[lo:hi] - start[lo:hi])
+        out[own[lo:hi]] = _weigh(place, cell[part], n[part], now[own[lo:hi]], mat, size)
+        lo = hi
+    return out
+
+
+def _weigh(place: np.ndarray, cell: np.ndarray, n: np.ndarray, now: np.ndarray, mat: np.ndarray,
+           size: np.ndarray) -> np.ndarray:
+    k, rows, entries = len(mat), np.arange(len(now)), np.arange(len(cell))
+    before = cell < k
+    m = np.empty((len(cell), k))
+    m[before] = mat[cell[before]]
+    m[~before] = mat.T[cell[~before] - k]
+    m[entries, now[place]] = np.maximum(m[entries, now[place]] - n, 0)
+    first = np.searchsorted(place, rows)
+    gain = np.add.reduceat(_xlogx(m + n[:, None]) - _xlogx(m), first, axis=0)
+    tokens_of = np.bincount(place, n * before, len(now))[:, None]
+    rest = np.tile(size, (len(now), 1))
+    rest[rows, now] = np.maximum(rest[rows, now] - tokens_of[:, 0], 0)
+    gain -= 2 * (_xlogx(rest + tokens_of) - _xlogx(rest))
+    gain[:, 0] = -np.inf
+    best = gain.argmax(axis=1)
+    return np.where(gain[rows, best] > gain[rows, now] + 1e-9, best, now)
 
 
 def class_bigrams(contexts: DataFrame, n_classes: int) -> np.ndarray:
@@ -299,11 +374,9 @@ def class_bigrams(contexts: DataFrame, n_classes: int) -> np.ndarray:
     rows = contexts.filter("type < 0")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types, dense = _unpack(batches, n_classes)
-        i, j = np.nonzero(dense)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(-1 - types[i], pa.int64()), pa.array(j, pa.int64()), pa.array(dense[i, j])],
-            names=["a", "b", "n"])
+        types, at, cell, n = _unpack(batches)
+        yield pa.RecordBatch.from_arrays([pa.array(-1 - types[at], pa.int64()), pa.array(cell), pa.array(n)],
+                                         names=["a", "b", "n"])
 
     sums = (rows.mapInArrow(run, "a long, b long, n double").groupBy("a", "b").agg(F.sum("n").alias("n")))
     mat = np.zeros((n_classes, n_classes))
@@ -314,13 +387,10 @@ def class_bigrams(contexts: DataFrame, n_classes: int) -> np.ndarray:
 
 def exchange(contexts: DataFrame, classes, mat: np.ndarray) -> DataFrame:
     """(type, class): where the scanned slice's types belong best."""
-    width = 2 * len(mat)
-
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cls = classes.value
-        types, dense = _unpack(batches, width)
-        new = [best_class(ctx, int(cls[t]), mat) for t, ctx in zip(types.tolist(), dense)]
-        yield pa.RecordBatch.from_arrays([pa.array(types, pa.int64()), pa.array(new, pa.int32())],
+        types, at, cell, n = _unpack(batches)
+        new = best_classes(at, cell, n, classes.value[types].astype(np.int64), mat)
+        yield pa.RecordBatch.from_arrays([pa.array(types), pa.array(new.astype(np.int32))],
                                          names=["type", "class"])
 
     return (contexts.filter("type >= 0").repartition("type")
@@ -335,94 +405,266 @@ def first_classes(types: Types, n_classes: int) -> np.ndarray:
     return cls
 
 
+def learn(coded: DataFrame, types: Types, n_classes: int = CLASSES,
+          least_gain: float = LEAST_GAIN) -> tuple[np.ndarray, np.ndarray, list[float]]:
+    """Classes of all types by exchange, their bigram counts and the likelihood after each kept step."""
+    sc = coded.sparkSession.sparkContext
+    cls = kept = first_classes(types, n_classes)
+    kept_mat, steps, piece = None, [], 0
+    round_start = None
+    while True:
+        shared = sc.broadcast(cls)  # one small number per type
+        scan = materialize(context_counts(coded, shared, len(types), n_classes, piece), "lm-contexts")
+        mat = class_bigrams(scan, n_classes)
+        now = likelihood(mat)
+        if steps and now < steps[-1] - 1e-9 * abs(steps[-1]):
+            cls = kept  # the last slice lost by moving together: undo it, scan the next one again
+            shared.destroy()
+            continue
+        kept, kept_mat = cls, mat
+        steps.append(now)
+        if piece == 0:
+            if round_start is not None and now - round_start <= least_gain * (now - steps[0]):
+                shared.destroy()
+                return kept, kept_mat, steps
+            round_start = now
+        moved = exchange(scan, shared, mat).toPandas()  # a slice's types
+        shared.destroy()
+        cls = cls.copy()
+        cls[moved["type"].to_numpy(np.int64)] = moved["class"].to_numpy(np.int16)
+        piece = (piece + 1) % SLICES
+
+
+def rare_occurrences(coded: DataFrame, classes, n_classes: int, first_family: int) -> DataFrame:
+    """(hash, around) for every training token of a family.
+
+    ``around`` packs the classes of the family, the token before and the token after.
+    """
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cls = classes.value.astype(np.int64)
+        for b in batches:
+            hashes, around = [], []
+            rare = b.column("rare")
+            values, offsets = rare.values.to_numpy(), rare.offsets.to_numpy()
+            for i, (ids, at) in enumerate(zip(b.column("ids").to_pylist(), b.column("at").to_pylist())):
+                if not at:
+                    continue
+                x = np.frombuffer(ids, np.int32)
+                m = np.flatnonzero(x >= first_family)
+                c = cls[x]
+                left = np.where(m > 0, c[m - 1], cls[0])
+                hashes.append(values[offsets[i] + np.frombuffer(at, np.int32)])
+                around.append((c[m] * n_classes + left) * n_classes + c[m + 1])
+            if hashes:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(hashes)), pa.array(np.concatenate(around).astype(np.int32))],
+                    names=["hash", "around"])
+
+    return (coded.filter("NOT held_out").select("ids", "rare", "at")
+            .mapInArrow(run, "hash long, around int"))
+
+
+def settle(occurrences: DataFrame, mat: np.ndarray) -> DataFrame:
+    """hash, class, n of every rarer training word; class NULL for words seen less than LEAST_COUNT times.
+
+    A partition is read in hash order; of a word that goes on in the next batch
+    only counts (at most classes * classes) are held.
+    """
+    k = len(mat)
+
+    def choose(h: np.ndarray, around: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        words, first = np.unique(h, return_index=True)
+        count = np.add.reduceat(n, first)
+        at = np.searchsorted(words, h)
+        now, often = around[first] // (k * k), count >= LEAST_COUNT
+        e = often[at]
+        where = _summed(np.concatenate([at[e], at[e]]),
+                        np.concatenate([around[e] // k % k, k + around[e] % k]), np.concatenate([n[e], n[e]]))
+        best = best_classes(*where, now, mat)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(words), pa.array(best.astype(np.int32), mask=~often), pa.array(count.astype(np.int64))],
+            names=["hash", "class", "n"])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        h, around, n = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            h = np.concatenate([h, b.column("hash").to_numpy()])
+            around = np.concatenate([around, b.column("around").to_numpy().astype(np.int64)])
+            n = np.concatenate([n, np.ones(b.num_rows)])
+            split = int(np.searchsorted(h, h[-1]))  # the last word may go on
+            if split:
+                yield choose(h[:split], around[:split], n[:split])
+            cells, same = np.unique(around[split:], return_inverse=True)
+            h, around, n = np.full(len(cells), h[-1]), cells, np.bincount(same, n[split:], len(cells))
+        if len(h):
+            yield choose(h, around, n)
+
+    return (occurrences.repartition("hash").sortWithinPartitions("hash")
+            .mapInArrow(run, "hash long, class int, n long"))
+
+
 @dataclass
-class ClassModel:
+class Emissions:
+    """log10 word probabilities: of types in their class, and what rarer words need."""
+
     classes: np.ndarray
-    transition: np.ndarray  # log10 P(class | class before)
-    emission: np.ndarray  # log10 P(type | class)
+    of_type: np.ndarray  # log10 P(type | class); families: of all words that stay in them
+    class_mass: np.ndarray  # log10 of a class's tokens with smoothing
+    family_mass: np.ndarray  # the same of a family
+    first_family: int
+    base_mass: float
 
+    def rare(self, n: np.ndarray, own: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Of rarer words with count ``n``, class ``own`` (-1: none) and family type ``ids``."""
+        inside = self.of_type[ids] - self.family_mass[ids - self.first_family]
+        return np.log10(n + 0.5) + np.where(own >= 0, -self.class_mass[own], inside)
 
-def class_model(types: Types, cls: np.ndarray, mat: np.ndarray, add: float = 0.5) -> ClassModel:
-    """Smoothed transition and emission probabilities."""
-    k = len(mat)
-    trans = np.log10((mat + add) / (mat.sum(axis=1, keepdims=True) + add * k))
-    size = np.bincount(cls, types.counts, k)
-    members = np.bincount(cls, minlength=k)
-    emit = np.log10((types.counts + 0.5) / (size[cls] + 0.5 * members[cls]))
-    emit[0] = 0.0
-    return ClassModel(cls, trans, emit)
 
+def emissions(types: Types, cls: np.ndarray, tokens_of: np.ndarray, words_of: np.ndarray,
+              add: float = 0.5) -> Emissions:
+    """``tokens_of``, ``words_of``: what the rarer words add to each class."""
+    counts, k = types.counts.astype(float), len(tokens_of)
+    counts[types.first_family:] = types.single  # their other words have classes of their own
+    mass = (np.bincount(cls, counts, k) + tokens_of) + add * (np.bincount(cls, minlength=k) + words_of)
+    mass = np.log10(np.maximum(mass, 1e-300))
+    of_type = np.log10(counts + add) - mass[cls]
+    of_type[0] = 0.0
+    family_mass = np.log10(types.single + add * (types.single + 1))
+    return Emissions(cls, of_type, mass, family_mass, types.first_family,
+                     float(np.log10(types.total + add * (types.distinct + 1))))
 
-def learn(coded: DataFrame, types: Types, n_classes: int = CLASSES, rounds: int = ROUNDS) -> ClassModel:
-    """Classes by ``rounds`` of exchange over all types, then the smoothed model."""
-    sc = coded.sparkSession.sparkContext
-    slices = max(LEAST_SLICES, -(-len(types) * 2 * n_classes * 8 // SLICE_BYTES))
-    cls = first_classes(types, n_classes)
-    for _ in range(rounds):
-        for piece in range(slices):
-            shared = sc.broadcast(cls)  # one small number per type
-            scan = materialize(context_counts(coded, shared, len(types), n_classes, piece, slices),
-                               "lm-contexts")
-            moved = exchange(scan, shared, class_bigrams(scan, n_classes)).toPandas()  # a slice's types
-            cls = cls.copy()
-            cls[moved["type"].to_numpy(np.int64)] = moved["class"].to_numpy(np.int16)
-    shared = sc.broadcast(cls)
-    scan = context_counts(coded, shared, len(types), n_classes, 0, slices)
-    return class_model(types, cls, class_bigrams(scan, n_classes))
+
+def transitions(mat: np.ndarray, add: float = 0.5) -> np.ndarray:
+    """log10 P(class | class before), smoothed."""
+    return np.log10((mat + add) / (mat.sum(axis=1, keepdims=True) + add * len(mat)))
+
+
+_SPELLED = ("doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, "
+            "emission double, classes binary")
 
 
-def text_scores(coded: DataFrame, model) -> DataFrame:
-    """uid, doc_id, ..., class_score: log10 probability of each text's types."""
+def spell(coded: DataFrame, words: DataFrame, emission) -> DataFrame:
+    """Every text as classes, with its base score, n_known and the sum of its emissions.
+
+    A text's rarer words meet their class and count by a shuffle on the hash (no
+    word has more than a small share of the tokens) and come back to their text.
+    """
+    found = (coded.select("uid", F.posexplode("rare").alias("slot", "hash"))
+             .join(words, "hash", "left")
+             .groupBy("uid").agg(F.collect_list(F.struct(  # a text's own distinct words
+                 "slot", F.coalesce("class", F.lit(-1)).alias("class"),
+                 F.coalesce("n", F.lit(0)).alias("n"))).alias("found")))
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model.value
+        e = emission.value
         for b in batches:
-            out = []
-            for raw in b.column("ids").to_pylist():
-                x = np.frombuffer(raw, np.int32)
-                c = m.classes[x]
-                before = np.concatenate([m.classes[:1], c[:-1]])
-                out.append(float(m.transition[before, c].sum() + m.emission[x].sum()))
-            keep = ["uid", "doc_id", "held_out", "n_tokens", "known", "base"]
-            yield pa.RecordBatch.from_arrays([*[b.column(k) for k in keep], pa.array(out, pa.float64())],
-                                             names=[*keep, "class_score"])
-
-    return coded.select("uid", "doc_id", "held_out", "n_tokens", "known", "base", "ids").mapInArrow(
-        run, "uid long, doc_id long, held_out boolean, n_tokens long, known long, base double, "
-             "class_score double")
-
-
-def rare_scores(coded: DataFrame, vocab: DataFrame, types: Types) -> DataFrame:
-    """Per text (uid): what its rare words add to the base score, the score and n_known."""
-    family_total = types.counts[1 + types.frequent:] + 0.5 * (types.family_words + 1)
-    per_family = F.lit([float(x) for x in np.log10(family_total)])
-    all_words = float(np.log10(types.total + 0.5 * (types.distinct + 1)))
-    rows = (coded.select("uid", F.explode("rare").alias("r"))
-            .select("uid", F.col("r.hash").alias("hash"), F.col("r.family").alias("family"),
-                    F.col("r.n").alias("tf")))
-    counts = vocab.select("hash", F.col("n").alias("c"))
-    rows = rows.join(counts, "hash", "left").withColumn("c", F.coalesce("c", F.lit(0)))
-    mass = F.log10(F.col("c") + 0.5)
-    return rows.groupBy("uid").agg(
-        F.sum(F.col("tf") * (mass - all_words)).alias("rare_base"),
-        F.sum(F.col("tf") * (mass - F.get(per_family, F.col("family")))).alias("rare_score"),
-        F.sum(F.when(F.col("c") > 0, F.col("tf")).otherwise(0)).alias("rare_known"))
-
-
-def score(docs: DataFrame, n_classes: int = CLASSES, rounds: int = ROUNDS,
-          min_share: float = MIN_SHARE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity."""
+            offsets, body = b.column("found").offsets.to_numpy(), b.column("found").values
+            slot, own, n = (body.field(i).to_numpy() for i in range(3))
+            known, base = b.column("known").to_numpy().copy(), b.column("base").to_numpy().copy()
+            total, spelled = np.zeros(b.num_rows), []
+            for i, (ids, at) in enumerate(zip(b.column("ids").to_pylist(), b.column("at").to_pylist())):
+                x = np.frombuffer(ids, np.int32)
+                c, log = e.classes[x], e.of_type[x]
+                if at:
+                    m = np.flatnonzero(x >= e.first_family)
+                    here = slice(offsets[i], offsets[i + 1])
+                    order = offsets[i] + np.argsort(slot[here])[np.frombuffer(at, np.int32)]
+                    count, mine = n[order], own[order]
+                    log[m] = e.rare(count, mine, x[m])
+                    c[m] = np.where(mine >= 0, mine, c[m])
+                    known[i] += np.count_nonzero(count)
+                    base[i] += (np.log10(count + 0.5) - e.base_mass).sum()
+                total[i] = log.sum()
+                spelled.append(c.astype(np.uint16).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), b.column("held_out"), b.column("n_tokens"), pa.array(known),
+                 pa.array(base), pa.array(total), pa.array(spelled, pa.binary())],
+                names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "emission", "classes"])
+
+    return coded.drop("rare").join(found, "uid", "left").mapInArrow(run, _SPELLED)
+
+
+def spelled_bigrams(spelled: DataFrame, n_classes: int) -> np.ndarray:
+    """Class-by-class counts over the training texts."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mat = np.zeros(n_classes * n_classes, np.int64)
+        for b in batches:
+            c = np.frombuffer(b"".join(b.column("classes").to_pylist()), np.uint16).astype(np.int64)
+            if len(c):  # every text ends with class 0, the next one's context
+                mat += np.bincount(np.concatenate([[0], c[:-1]]) * n_classes + c, minlength=len(mat))
+        cell = np.flatnonzero(mat)
+        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(mat[cell])], names=["cell", "n"])
+
+    sums = (spelled.filter("NOT held_out").select("classes").mapInArrow(run, "cell long, n long")
+            .groupBy("cell").agg(F.sum("n").alias("n")))
+    mat = np.zeros(n_classes * n_classes)
+    for r in sums.collect():  # at most classes * classes
+        mat[r["cell"]] = r["n"]
+    return mat.reshape(n_classes, n_classes)
+
+
+def transition_scores(spelled: DataFrame, transition: np.ndarray) -> DataFrame:
+    """doc_id, ..., score: emissions plus the class transitions of each text."""
+    keep = ["doc_id", "held_out", "n_tokens", "n_known", "base_score"]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lengths = b.column("n_tokens").to_numpy()
+            c = np.frombuffer(b"".join(b.column("classes").to_pylist()), np.uint16)
+            score = b.column("emission").to_numpy()
+            if len(c):
+                step = transition[np.concatenate([[0], c[:-1]]), c]
+                score = score + np.add.reduceat(step, np.cumsum(lengths) - lengths)
+            yield pa.RecordBatch.from_arrays([*[b.column(k) for k in keep], pa.array(score)],
+                                             names=[*keep, "score"])
+
+    return spelled.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, "
+                                   "base_score double, score double")
+
+
+@dataclass
+class Fitted:
+    """The corpus as types, the types and their classes, and the rarer words (hash, class, n)."""
+
+    coded: DataFrame
+    types: Types
+    classes: np.ndarray
+    words: DataFrame
+    steps: list[float]
+
+
+def fit(docs: DataFrame, n_classes: int = CLASSES, min_share: float = MIN_SHARE,
+        id_col: str = "doc_id", text_col: str = "text") -> Fitted:
+    """Counts, exchange over the frequent words, classes of the rarer ones."""
     sc = docs.sparkSession.sparkContext
     rows = id_and_raw(docs, id_col, text_col)
-    vocab = materialize(count_words(rows), "lm-vocab")
-    types = word_types(vocab, min_share)
+    types = word_types(materialize(count_words(rows), "lm-vocab"), min_share)
     table = sc.broadcast(types)  # at most 1 / min_share words and FAMILIES families
     numbered = rows.withColumns({"uid": F.monotonically_increasing_id(), "held_out": is_held_out()})
     coded = materialize(encode(numbered, table), "lm-coded")
-    model = sc.broadcast(learn(coded, types, n_classes, rounds))
-    out = text_scores(coded, model).join(rare_scores(coded, vocab, types), "uid", "left")
-    add = lambda a, b: F.col(a) + F.coalesce(F.col(b), F.lit(0))
-    return (out.select("doc_id", "held_out", "n_tokens", add("known", "rare_known").alias("n_known"),
-                       F.lit(types.total).cast("long").alias("train_tokens"),
-                       add("base", "rare_base").alias("base_score"),
-                       add("class_score", "rare_score").alias("score"))
+    table.destroy()
+    cls, mat, steps = learn(coded, types, n_classes)
+    shared = sc.broadcast(cls)
+    words = materialize(settle(rare_occurrences(coded, shared, n_classes, types.first_family), mat), "lm-words")
+    shared.destroy()
+    return Fitted(coded, types, cls, words, steps)
+
+
+def score(docs: DataFrame, n_classes: int = CLASSES, min_share: float = MIN_SHARE,
+          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity."""
+    model = fit(docs, n_classes, min_share, id_col, text_col)
+    tokens_of, words_of = np.zeros(n_classes), np.zeros(n_classes)
+    for r in (model.words.filter("class IS NOT NULL").groupBy("class")
+              .agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()):  # one row per class
+        tokens_of[r["class"]], words_of[r["class"]] = r["n"], r["v"]
+    emission = docs.sparkSession.sparkContext.broadcast(
+        emissions(model.types, model.classes, tokens_of, words_of))  # a few numbers per type
+    spelled = materialize(spell(model.coded, model.words, emission), "lm-classes")
+    emission.destroy()
+    out = transition_scores(spelled, transitions(spelled_bigrams(spelled, n_classes)))
+    return (out.withColumn("train_tokens", F.lit(model.types.total).cast("long"))
+            .select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
             .withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens"))))
