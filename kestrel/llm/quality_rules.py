@@ -178,8 +178,9 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     scored = materialize(measures(docs, id_col, text_col)
                          .withColumns({f"v_{r}": v for r, v in rules.items()}), "quality-measures")
     scored = scored.withColumn("codes", vote_codes(list(rules)))
-    patterns = materialize(scored.groupBy("codes").agg(F.count("*").alias("n")).coalesce(1),
-                           "quality-patterns")
+    counted = materialize(scored.groupBy("codes").agg(F.count("*").alias("n")), "quality-counts")
+    # at most 3 ** rules rows, put into one file after they were counted: every EM step reads them
+    patterns = materialize(counted.coalesce(1), "quality-patterns")
     model = fit(patterns, list(rules))
     out = scored.withColumns({"quality_prob": model.posterior(), "base_failed": base_failed()})
     return (out.withColumn("kept", ~F.col("base_failed") & (F.col("quality_prob") >= keep_at))
