@@ -232,30 +232,51 @@ def encode(docs: DataFrame, types) -> DataFrame:
     return docs.mapInArrow(run, _CODED)
 
 
+def _flat(column: pa.Array, kind) -> tuple[np.ndarray, np.ndarray]:
+    """All values of a binary column in a row, and where each cell of it starts and ends."""
+    kind = np.dtype(kind)
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    if not len(column) or offsets[-1] == offsets[0]:
+        return np.empty(0, kind), np.zeros(len(column) + 1, np.int64)
+    values = np.frombuffer(column.buffers()[2], kind, (offsets[-1] - offsets[0]) // kind.itemsize, offsets[0])
+    return values, (offsets.astype(np.int64) - offsets[0]) // kind.itemsize
+
+
 def _streams(batches: Iterable[pa.RecordBatch]) -> Iterator[np.ndarray]:
     """Type numbers of many texts in a row; each text ends with the end type, the next one's context."""
     held, size = [], 0
     for b in batches:
-        for x in b.column("ids").to_pylist():
-            held.append(x)
-            size += len(x) // 4
-            if size >= FLUSH_TOKENS:
-                yield np.frombuffer(b"".join(held), np.int32)
-                held, size = [], 0
-    if held:
-        yield np.frombuffer(b"".join(held), np.int32)
-
-
-def _packed(acc: np.ndarray, width: int) -> tuple[np.ndarray, pa.Array]:
-    """Rows of a count table that have counts, each as packed (place, count) cells."""
+        x = _flat(b.column("ids"), np.int32)[0]
+        held.append(x)
+        size += len(x)
+        if size >= FLUSH_TOKENS:
+            yield np.concatenate(held)
+            held, size = [], 0
+    if size:
+        yield np.concatenate(held)
+
+
+def _slices(batches: Iterable[pa.RecordBatch], most: int = 128) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for lo in range(0, b.num_rows, most):
+            yield b.slice(lo, most)
+
+
+#: A class neighbour and its count, as stored: counts below 256 take two bytes.
+SMALL, LARGE = np.dtype([("i", "u1"), ("n", "u1")]), np.dtype([("i", "u1"), ("n", "<u4")])
+
+
+def _packed(acc: np.ndarray, width: int) -> tuple[np.ndarray, pa.Array, pa.Array]:
+    """Rows of a count table that have counts, each as packed cells of small and of large counts."""
     cells = np.flatnonzero(acc)
-    rows = cells // width
-    body = np.empty(len(cells), np.dtype([("i", "<u2"), ("n", "<u4")]))
-    body["i"], body["n"] = cells % width, acc[cells]
-    own, start = np.unique(rows, return_index=True)
-    offsets = np.append(start, len(cells)).astype(np.int32) * 6
-    return own, pa.Array.from_buffers(pa.binary(), len(own), [
-        None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(body.tobytes())])
+    rows, n = cells // width, acc[cells]
+    own = np.unique(rows)
+    out = []
+    for kind, part in ((SMALL, n < 256), (LARGE, n >= 256)):
+        body = np.empty(int(part.sum()), kind)
+        body["i"], body["n"] = cells[part] % width, n[part]
+        out.append(_cut(body, np.searchsorted(rows[part], own, "right")))
+    return own, *out
 
 
 def _add(acc: np.ndarray, cells: np.ndarray) -> np.ndarray:
@@ -269,9 +290,9 @@ def _add(acc: np.ndarray, cells: np.ndarray) -> np.ndarray:
 
 def context_counts(coded: DataFrame, classes, n_types: int, n_classes: int, piece: int,
                    slices: int = SLICES) -> DataFrame:
-    """One scan: rows (type, cells) for one slice of types, and (-1 - class, cells) of class bigrams.
+    """One scan: packed rows for one slice of types, and rows -1 - class of class bigrams.
 
-    ``cells`` of a type count the classes before (0..C-1) and after it (C..2C-1).
+    The cells of a type count the classes before (0..C-1) and after it (C..2C-1).
     """
     width, own = 2 * n_classes, -(-n_types // slices)
 
@@ -287,28 +308,29 @@ def context_counts(coded: DataFrame, classes, n_types: int, n_classes: int, piec
             _add(acc, np.concatenate([row + before[m], row + n_classes + c[m + 1]]))
         for table, w, number in ((acc, width, lambda r: r * slices + piece),
                                  (mat, n_classes, lambda r: -1 - r)):
-            rows, cells = _packed(table, w)
+            rows, small, large = _packed(table, w)
             if len(rows):
-                yield pa.RecordBatch.from_arrays([pa.array(number(rows), pa.int64()), cells],
-                                                 names=["type", "cells"])
+                yield pa.RecordBatch.from_arrays([pa.array(number(rows), pa.int64()), small, large],
+                                                 names=["type", "small", "large"])
 
-    return coded.filter("NOT held_out").select("ids").mapInArrow(run, "type long, cells binary")
+    return (coded.filter("NOT held_out").select("ids")
+            .mapInArrow(run, "type long, small binary, large binary"))
 
 
 def _unpack(batches: Iterable[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Entries of a partition's packed rows: types, then per entry the type's index, cell and count."""
-    kinds, body = [], []
+    kinds, cells, counts = [], [], []
     for b in batches:
-        for t, cells in zip(b.column("type").to_pylist(), b.column("cells").to_pylist()):
-            got = np.frombuffer(cells, np.dtype([("i", "<u2"), ("n", "<u4")]))
-            kinds.append(np.full(len(got), t, np.int64))
-            body.append(got)
+        for name, kind in (("small", SMALL), ("large", LARGE)):
+            got, offsets = _flat(b.column(name), kind)
+            kinds.append(np.repeat(b.column("type").to_numpy(), np.diff(offsets)))
+            cells.append(got["i"].astype(np.int64))
+            counts.append(got["n"].astype(np.float64))
     if not kinds:
         none = np.empty(0, np.int64)
         return none, none, none, none.astype(np.float64)
     types, at = np.unique(np.concatenate(kinds), return_inverse=True)
-    body = np.concatenate(body)
-    return types, *_summed(at, body["i"].astype(np.int64), body["n"].astype(np.float64))
+    return types, *_summed(at, np.concatenate(cells), np.concatenate(counts))
 
 
 def _summed(at: np.ndarray, cell: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -442,22 +464,18 @@ def rare_occurrences(coded: DataFrame, classes, n_classes: int, first_family: in
     """
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cls = classes.value.astype(np.int64)
-        for b in batches:
-            hashes, around = [], []
-            rare = b.column("rare")
-            values, offsets = rare.values.to_numpy(), rare.offsets.to_numpy()
-            for i, (ids, at) in enumerate(zip(b.column("ids").to_pylist(), b.column("at").to_pylist())):
-                if not at:
-                    continue
-                x = np.frombuffer(ids, np.int32)
-                m = np.flatnonzero(x >= first_family)
+        for b in _slices(batches):
+            x = _flat(b.column("ids"), np.int32)[0]
+            m = np.flatnonzero(x >= first_family)
+            if len(m):
                 c = cls[x]
-                left = np.where(m > 0, c[m - 1], cls[0])
-                hashes.append(values[offsets[i] + np.frombuffer(at, np.int32)])
-                around.append((c[m] * n_classes + left) * n_classes + c[m + 1])
-            if hashes:
+                before = np.concatenate([cls[:1], c[:-1]])  # a text's first token follows an end
+                at, texts = _flat(b.column("at"), np.int32)
+                rare = b.column("rare")
+                place = np.repeat(rare.offsets.to_numpy()[:-1], np.diff(texts)) + at
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(hashes)), pa.array(np.concatenate(around).astype(np.int32))],
+                    [pa.array(rare.values.to_numpy()[place]),
+                     pa.array(((c[m] * n_classes + before[m]) * n_classes + c[m + 1]).astype(np.int32))],
                     names=["hash", "around"])
 
     return (coded.filter("NOT held_out").select("ids", "rare", "at")
@@ -516,9 +534,9 @@ class Emissions:
     first_family: int
     base_mass: float
 
-    def rare(self, n: np.ndarray, own: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """Of rarer words with count ``n``, class ``own`` (-1: none) and family type ``ids``."""
-        inside = self.of_type[ids] - self.family_mass[ids - self.first_family]
+    def rare(self, n: np.ndarray, own: np.ndarray, of_family: np.ndarray) -> np.ndarray:
+        """Of rarer words with count ``n``, class ``own`` (-1: none) and family."""
+        inside = self.of_type[self.first_family + of_family] - self.family_mass[of_family]
         return np.log10(n + 0.5) + np.where(own >= 0, -self.class_mass[own], inside)
 
 
@@ -541,49 +559,82 @@ def transitions(mat: np.ndarray, add: float = 0.5) -> np.ndarray:
     return np.log10((mat + add) / (mat.sum(axis=1, keepdims=True) + add * len(mat)))
 
 
+#: Stands for the class of a token whose word must be looked up.
+LATER = 255
+_DRAFT = ("uid long, doc_id long, held_out boolean, n_tokens long, known long, base double, "
+          "emission double, classes binary, families binary, at binary")
 _SPELLED = ("doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, "
             "emission double, classes binary")
 
 
+def draft(coded: DataFrame, emission) -> DataFrame:
+    """Every text as classes (a byte each), LATER where a rarer word stands, and their families."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        e = emission.value
+        classes = e.classes.astype(np.uint8)
+        log_of = e.of_type.copy()
+        classes[e.first_family:], log_of[e.first_family:] = LATER, 0.0
+        for b in _slices(batches):
+            x, ends = _flat(b.column("ids"), np.int32)
+            at, texts = _flat(b.column("at"), np.int32)
+            slots = b.column("rare").offsets.to_numpy()
+            place = np.repeat(slots[:-1] - slots[0], np.diff(texts)) + at
+            families = np.empty(slots[-1] - slots[0], np.uint16)
+            families[place] = x[x >= e.first_family] - e.first_family
+            yield pa.RecordBatch.from_arrays(
+                [*[b.column(k) for k in ("uid", "doc_id", "held_out", "n_tokens", "known", "base")],
+                 pa.array(np.add.reduceat(log_of[x], ends[:-1])), _cut(classes[x], ends[1:]),
+                 _cut(families, slots[1:] - slots[0]), b.column("at")],
+                names=["uid", "doc_id", "held_out", "n_tokens", "known", "base", "emission", "classes",
+                       "families", "at"])
+
+    return coded.mapInArrow(run, _DRAFT)
+
+
 def spell(coded: DataFrame, words: DataFrame, emission) -> DataFrame:
     """Every text as classes, with its base score, n_known and the sum of its emissions.
 
     A text's rarer words meet their class and count by a shuffle on the hash (no
     word has more than a small share of the tokens) and come back to their text.
+    What does not come back was seen once, in a training text, or else never.
     """
-    found = (coded.select("uid", F.posexplode("rare").alias("slot", "hash"))
-             .join(words, "hash", "left")
+    found = (coded.select("uid", "held_out", F.posexplode("rare").alias("slot", "hash"))
+             .join(words, "hash").filter("class IS NOT NULL OR held_out")
              .groupBy("uid").agg(F.collect_list(F.struct(  # a text's own distinct words
-                 "slot", F.coalesce("class", F.lit(-1)).alias("class"),
-                 F.coalesce("n", F.lit(0)).alias("n"))).alias("found")))
+                 "slot", (F.col("n") * 256 + F.coalesce("class", F.lit(LATER))).alias("code"))).alias("found")))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = emission.value
-        for b in batches:
-            offsets, body = b.column("found").offsets.to_numpy(), b.column("found").values
-            slot, own, n = (body.field(i).to_numpy() for i in range(3))
-            known, base = b.column("known").to_numpy().copy(), b.column("base").to_numpy().copy()
-            total, spelled = np.zeros(b.num_rows), []
-            for i, (ids, at) in enumerate(zip(b.column("ids").to_pylist(), b.column("at").to_pylist())):
-                x = np.frombuffer(ids, np.int32)
-                c, log = e.classes[x], e.of_type[x]
-                if at:
-                    m = np.flatnonzero(x >= e.first_family)
-                    here = slice(offsets[i], offsets[i + 1])
-                    order = offsets[i] + np.argsort(slot[here])[np.frombuffer(at, np.int32)]
-                    count, mine = n[order], own[order]
-                    log[m] = e.rare(count, mine, x[m])
-                    c[m] = np.where(mine >= 0, mine, c[m])
-                    known[i] += np.count_nonzero(count)
-                    base[i] += (np.log10(count + 0.5) - e.base_mass).sum()
-                total[i] = log.sum()
-                spelled.append(c.astype(np.uint16).tobytes())
+        own_class = e.classes[e.first_family:].astype(np.uint8)
+        for b in _slices(batches):
+            rows = b.num_rows
+            spelled, ends = _flat(b.column("classes"), np.uint8)
+            families, slots = _flat(b.column("families"), np.uint16)
+            at, texts = _flat(b.column("at"), np.int32)
+            held_out = b.column("held_out").to_numpy(zero_copy_only=False)
+            n = np.repeat(np.where(held_out, 0, 1), np.diff(slots))
+            own = np.full(len(families), -1)
+            lists, body = b.column("found").offsets.to_numpy(), b.column("found").values
+            body = body.slice(lists[0], lists[-1] - lists[0])
+            slot, code = body.field(0).to_numpy(), body.field(1).to_numpy()
+            place = np.repeat(slots[:-1], np.diff(lists)) + slot
+            n[place] = code // 256
+            own[place] = np.where(code % 256 == LATER, -1, code % 256)
+            text = np.repeat(np.arange(rows), np.diff(texts))
+            place = slots[text] + at
+            count, mine, fam = n[place], own[place], families[place].astype(np.int64)
+            spelled = spelled.copy()
+            spelled[spelled == LATER] = np.where(mine >= 0, mine, own_class[fam])
+            per_text = lambda v: np.bincount(text, v, rows)  # noqa: E731, B023
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("held_out"), b.column("n_tokens"), pa.array(known),
-                 pa.array(base), pa.array(total), pa.array(spelled, pa.binary())],
+                [b.column("doc_id"), b.column("held_out"), b.column("n_tokens"),
+                 pa.array(b.column("known").to_numpy() + per_text(count > 0).astype(np.int64)),
+                 pa.array(b.column("base").to_numpy() + per_text(np.log10(count + 0.5) - e.base_mass)),
+                 pa.array(b.column("emission").to_numpy() + per_text(e.rare(count, mine, fam))),
+                 _cut(spelled, ends[1:])],
                 names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "emission", "classes"])
 
-    return coded.drop("rare").join(found, "uid", "left").mapInArrow(run, _SPELLED)
+    return draft(coded, emission).join(found, "uid", "left").mapInArrow(run, _SPELLED)
 
 
 def spelled_bigrams(spelled: DataFrame, n_classes: int) -> np.ndarray:
@@ -591,7 +642,7 @@ def spelled_bigrams(spelled: DataFrame, n_classes: int) -> np.ndarray:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mat = np.zeros(n_classes * n_classes, np.int64)
         for b in batches:
-            c = np.frombuffer(b"".join(b.column("classes").to_pylist()), np.uint16).astype(np.int64)
+            c = _flat(b.column("classes"), np.uint8)[0].astype(np.int64)
             if len(c):  # every text ends with class 0, the next one's context
                 mat += np.bincount(np.concatenate([[0], c[:-1]]) * n_classes + c, minlength=len(mat))
         cell = np.flatnonzero(mat)
@@ -611,12 +662,11 @@ def transition_scores(spelled: DataFrame, transition: np.ndarray) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            lengths = b.column("n_tokens").to_numpy()
-            c = np.frombuffer(b"".join(b.column("classes").to_pylist()), np.uint16)
+            c, ends = _flat(b.column("classes"), np.uint8)
             score = b.column("emission").to_numpy()
             if len(c):
                 step = transition[np.concatenate([[0], c[:-1]]), c]
-                score = score + np.add.reduceat(step, np.cumsum(lengths) - lengths)
+                score = score + np.add.reduceat(step, ends[:-1])
             yield pa.RecordBatch.from_arrays([*[b.column(k) for k in keep], pa.array(score)],
                                              names=[*keep, "score"])
 
@@ -637,7 +687,9 @@ class Fitted:
 
 def fit(docs: DataFrame, n_classes: int = CLASSES, min_share: float = MIN_SHARE,
         id_col: str = "doc_id", text_col: str = "text") -> Fitted:
-    """Counts, exchange over the frequent words, classes of the rarer ones."""
+    """Counts, exchange over the frequent words, classes of the rarer ones; at most 128 classes."""
+    if not 2 <= n_classes <= 128:
+        raise ValueError("n_classes must be between 2 and 128")
     sc = docs.sparkSession.sparkContext
     rows = id_and_raw(docs, id_col, text_col)
     types = word_types(materialize(count_words(rows), "lm-vocab"), min_share)
