@@ -95,3 +95,25 @@ def test_hot_id_history_salted_join_equals_broadcast(spark, monkeypatch):
     salted = answers()
     assert salted == broadcast
     assert any(r[-1] is not None for r in broadcast[0])  # some rule fired
+
+
+def test_pairs_of_a_hot_name_are_dealt_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(mm, "LIST_ROWS", 8)
+    monkeypatch.setattr(mm, "PAIRS_PER_TASK", 500)
+    rows = [("B", i, "same name") for i in range(100)] + [("B", None, "same nome"), (None, 1, "same name"), ("B", 2, None)]
+    a = spark.createDataFrame(rows, "blk string, a_key int, a_name string")
+    b = spark.createDataFrame(rows, "blk string, b_key int, b_name string")
+    out = mm.fuzzy_match(a, b, ["blk"], "a_name", "b_name", 0.7, symmetric=True)
+    tasks = [r.n for r in out.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(tasks) == 101 * 101 and len(tasks) > 3
+    assert max(tasks) < 101 * 101 // 2
+
+
+def test_fields_that_both_match_give_a_pair_once(spark):
+    left = spark.createDataFrame([("b", "same name", "kind"), ("b", "same name", "kind"), ("b", "other", "kind")],
+                                 "k string, a string, at string")
+    right = spark.createDataFrame([("b", "same nome", "kind"), ("b", "other", None)], "k string, b string, bt string")
+    out = mm.field_match(left, right, ["k"], [("a", "b"), ("at", "bt")])
+    assert sorted((r.a, r.b, r.n_left) for r in out.collect()) == [("same name", "same nome", 2)]
+    # no row of a pair is kept to compare it with the others
+    assert "deduplicate" not in out._jdf.queryExecution().optimizedPlan().toString().lower()
