@@ -1,11 +1,13 @@
-"""Points in intervals, by dyadic cover.
+"""Points in intervals, by blocks that fit the interval's length.
 
-An interval of time units is covered by aligned blocks of 1, 2, 4 ... units,
-at most two of each size, so a long interval costs a few rows and not one per
-bucket. A point lies in one block of every size; it is looked up once per size
-that occurs. Interval and point share at most one block (a cover is disjoint),
-so the equi join on (key, size, block) finds every pair once. The exact bounds
-are a residual condition, needed only within the outermost units.
+``dyadic_cover`` covers an interval of time units by aligned blocks of 1, 2,
+4 ... units, at most two of each size. The join needs no exact cover, as the
+bounds are checked on each pair: an interval takes the blocks of one size, the
+largest power of 16 that is no longer than itself, so it has 17 rows at most
+whatever its length. A point lies in one block of every size; it is looked up
+once per size that occurs (with days, three sizes reach eleven years, where
+powers of two would take twelve). Interval and point share at most one block,
+so the equi join on (key, size, block) finds every pair once.
 """
 
 from __future__ import annotations
@@ -15,6 +17,8 @@ from pyspark.sql import functions as F
 
 #: Sizes 2^0 .. 2^(MOST_LEVELS - 1) units: 2^40 seconds are 34,000 years.
 MOST_LEVELS = 41
+#: Block sizes of the join are powers of 2^4.
+STEP = 4
 
 
 def dyadic_cover(lo: Column, hi: Column) -> Column:
@@ -46,6 +50,12 @@ def dyadic_cover(lo: Column, hi: Column) -> Column:
     return F.aggregate(levels, start, step)["out"]
 
 
+def block_level(lo: Column, hi: Column) -> Column:
+    """Largest level whose blocks of ``2^level`` units, a power of ``2^STEP``, are no longer than lo..hi."""
+    bits = F.length(F.bin((hi - lo + 1).cast("long"))) - 1
+    return F.when(lo <= hi, (F.floor(bits / STEP) * STEP).cast("int"))
+
+
 def points_in_intervals(intervals: DataFrame, points: DataFrame, key: str, point_key: str,
                         lo: Column, hi: Column, at: Column, inside: Column) -> DataFrame:
     """Pairs with equal key, the point's unit in lo..hi, and ``inside`` true.
@@ -56,10 +66,13 @@ def points_in_intervals(intervals: DataFrame, points: DataFrame, key: str, point
     lo > hi, give no pair; repeated rows give a pair each. ``intervals`` is
     read twice (once for the sizes that occur), so store it if it is costly.
     """
-    left = intervals.withColumn("_node", F.explode(dyadic_cover(lo, hi)))
-    left = left.withColumns({"_level": F.col("_node.level"), "_block": F.col("_node.block")}).drop("_node")
-    # only the sizes that occur in a cover are looked up
-    sizes = left.select("_level").distinct().agg(F.sort_array(F.collect_set("_level"))).scalar()
+    left = (intervals.withColumns({"_from": lo.cast("long"), "_to": hi.cast("long")})
+            .withColumn("_level", block_level(F.col("_from"), F.col("_to"))).filter(F.col("_level").isNotNull())
+            .withColumn("_block", F.expr("explode(sequence(shiftright(_from, _level), shiftright(_to, _level)))"))
+            .drop("_from", "_to"))
+    # only the sizes that occur are looked up
+    sizes = (intervals.select(block_level(lo.cast("long"), hi.cast("long")).alias("_level"))
+             .agg(F.sort_array(F.collect_set("_level"))).scalar())
     right = (points.withColumn("_unit", at.cast("long")).filter(F.col("_unit").isNotNull())
              .withColumn("_plevel", F.explode(sizes))
              .withColumn("_pblock", F.expr("shiftright(_unit, _plevel)")))

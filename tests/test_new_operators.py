@@ -102,3 +102,17 @@ def test_lines_that_are_no_record_are_rejected(spark, tmp_path):
     (day / "a.csv").write_text("\n".join([";".join(files.GPS_COLUMNS), line, line + ";9"]) + "\n")
     assert files.read_gps_day(spark, str(tmp_path / "gps"), "2024-01-01").count() == 1
     assert files.read_gps_day(spark, str(tmp_path / "gps"), "2024-01-01", rejects=True).count() == 1
+
+
+def test_join_blocks_are_few_whatever_the_length(spark):
+    rnd = random.Random(7)
+    bounds = [(0, 0), (-1, 0), (-9, -2), (5, 4), (3, 2**30), (0, 15), (0, 16), (7, 262)]
+    bounds += [(a, a + rnd.randrange(4000)) for a in (rnd.randrange(-5000, 5000) for _ in range(200))]
+    df = spark.createDataFrame(bounds, "lo long, hi long").withColumn("level", iv.block_level(F.col("lo"), F.col("hi")))
+    for r in df.collect():
+        if r.lo > r.hi:
+            assert r.level is None
+        else:
+            n = (r.hi >> r.level) - (r.lo >> r.level) + 1
+            assert r.level % iv.STEP == 0 and (1 << r.level) <= r.hi - r.lo + 1 and n <= 17
+    assert df.select("level").distinct().count() <= 6
