@@ -66,8 +66,8 @@ def assign_state(interventions: DataFrame, traceability: DataFrame, tolerance: f
     traceability rows on (id, bucket) with the range as a residual, so a
     busy id is spread over its buckets and AQE may split a hot (id, bucket)
     on either side. With ``cover="dyadic"`` a window is covered by blocks of
-    days of doubling size (``intervals.points_in_intervals``): rows per window
-    grow with the logarithm of its length, and a dense month is no bucket, for
+    days sized by its length (``intervals.points_in_intervals``): rows per window
+    are bounded, and a dense month is no bucket, for
     one look-up of each traceability row per block size. It suits long
     windows; short ones cost less with buckets. Every intervention row gets an id of its own, stored with
     its neighbour: it ends the order (several operations may share a number
@@ -112,7 +112,7 @@ HISTORY_SALTS = 16
 
 
 def _join_per_id(r: DataFrame, per_id: DataFrame, try_broadcast: bool = True) -> DataFrame:
-    """``r`` (many rows per id, with ``_o``) joined to ``per_id`` (one row per id).
+    """``r`` (many rows per id, with ``_seq``) joined to ``per_id`` (one row per id).
 
     A plain shuffle join would put all rows of a hot id in one task, and AQE
     does not split it when an aggregate by id follows. With ``try_broadcast``
@@ -122,7 +122,7 @@ def _join_per_id(r: DataFrame, per_id: DataFrame, try_broadcast: bool = True) ->
     """
     if try_broadcast and has_at_most(per_id, HISTORY_BROADCAST_ROWS):
         return r.join(F.broadcast(per_id), ID)
-    salt = F.pmod(F.xxhash64(F.col("_o._seq")), F.lit(HISTORY_SALTS))
+    salt = F.pmod(F.xxhash64("_seq"), F.lit(HISTORY_SALTS))
     spread = per_id.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(HISTORY_SALTS - 1))))
     return r.withColumn("_salt", salt).join(spread, [ID, "_salt"]).drop("_salt")
 
@@ -137,21 +137,24 @@ def _history_facts(rows: DataFrame, order: Sequence[str]) -> tuple[DataFrame, Da
     # The last field breaks exact ties: an identical twin of the first row
     # still counts as a later row, as in a row-by-row window. The ids are
     # fixed by the write, so recomputing a consumer never changes them.
-    o = F.struct(*[F.col(c) for c in order], F.monotonically_increasing_id().alias("_seq"))
-    payload = [F.col(c) for c in (STATE, START, END, KM)]
-    r = materialize(rows.withColumn("_o", o), "history")
-    first = r.groupBy(ID).agg(F.min(F.struct(F.col("_o").alias("o"), *payload)).alias("f"))
-    after = (_join_per_id(r, first, try_broadcast=False).filter(F.col("_o") > F.col("f.o"))
+    r = materialize(rows.withColumn("_seq", F.monotonically_increasing_id()), "history")
+    o = F.struct(*order, "_seq")
+    row = F.struct(o.alias("o"), *[c for c in (STATE, START, END, KM) if c not in order])
+    first = r.groupBy(ID).agg(F.min(row).alias("f"))
+    # of the first row its number is enough to leave it out: only that goes to every salt
+    after = (_join_per_id(r, first.select(ID, F.col("f.o._seq").alias("_first")), try_broadcast=False)
+             .filter(F.col("_seq") != F.col("_first"))
              .groupBy(ID).agg(
-                 F.min(F.when(F.col(STATE).isin(RC, NC, TM),
-                              F.struct(F.col("_o").alias("o"), *payload))).alias("n"),
-                 F.min(F.when(F.col(STATE) == C, F.struct(F.col("_o").alias("o"), *payload)))
-                 .alias("c1"),
-                 F.max(F.when(F.col(STATE) == C, F.struct(F.col("_o").alias("o"), *payload)))
-                 .alias("cl"),
+                 F.min(F.when(F.col(STATE).isin(RC, NC, TM), row)).alias("n"),
+                 F.min(F.when(F.col(STATE) == C, row)).alias("c1"),
+                 F.max(F.when(F.col(STATE) == C, row)).alias("cl"),
                  F.max(F.when(F.col(STATE) == RC, 1).otherwise(0)).alias("next_rc")))
-    facts = materialize(first.join(after, ID, "left")
-                        .withColumn("next_rc", F.coalesce("next_rc", F.lit(0))), "history-facts")
+    # a struct of each row: its order, and the columns that are not part of it
+    facts = first.join(after, ID, "left").withColumn("next_rc", F.coalesce("next_rc", F.lit(0)))
+    for which in ("f", "n", "c1", "cl"):
+        facts = facts.withColumn(which, F.when(F.col(which).isNotNull(), F.struct(
+            F.col(f"{which}.o").alias("o"), *[F.col(f"{which}.o.{c}" if c in order else f"{which}.{c}").alias(c)
+                                              for c in (STATE, START, END, KM)])))
     return facts, r
 
 
@@ -160,10 +163,10 @@ def next_state(rows: DataFrame, order: Sequence[str] = (START, "numero_intervent
     """Per row: first_element (first state of the id's history), element_trouve
     (first RC/NC/TM after it, NULL if none) and next_rc (1 if an RC follows)."""
     facts, r = _history_facts(rows, order)
-    return (_join_per_id(r, facts)
-            .select(*rows.columns, F.col(f"f.{STATE}").alias("first_element"),
-                    F.col(f"n.{STATE}").alias("element_trouve"), F.col("next_rc").cast("int")
-                    .alias("next_rc")))
+    facts = materialize(facts.select(ID, F.col(f"f.{STATE}").alias("first_element"),
+                                     F.col(f"n.{STATE}").alias("element_trouve"),
+                                     F.col("next_rc").cast("int").alias("next_rc")), "history-facts")
+    return _join_per_id(r, facts).select(*rows.columns, "first_element", "element_trouve", "next_rc")
 
 
 def lifetime(rows: DataFrame, order: Sequence[str] = (START, "numero_intervention", DUE, STATE),
@@ -196,17 +199,18 @@ def lifetime(rows: DataFrame, order: Sequence[str] = (START, "numero_interventio
     classes = F.lit(None).cast("string")
     for no, _, _, cls, *_ in LIFETIME_RULES:
         classes = F.when(F.col("_rule") == no, F.lit(cls)).otherwise(classes)
-    facts = (facts.withColumn("_rule", rule)
-             .select(ID, "_rule", classes.alias("_cls"), pick("from").alias("_from"),
-                     pick("to").alias("_to"), pick("row").alias("_row")))
-    here = F.col("_row").isNotNull() & F.col("_o").eqNullSafe(F.col("_row.o"))
     days = F.datediff(F.col(f"_to.{START}").cast("date"), F.col(f"_from.{END}").cast("date"))
     km = F.col(f"_to.{KM}") - F.col(f"_from.{KM}")
-    out = _join_per_id(r, facts)
-    jour = F.when(here, days).alias("duree_vie_jour")
-    dkm = F.when(here, km).alias("duree_vie_km")
-    cls = F.when(here, F.col("_cls")).alias("type_individu")
+    # one row per id takes the result, found by its number: no id is hot there
+    found = materialize(facts.withColumn("_rule", rule).filter(F.col("_rule").isNotNull())
+                        .select(pick("row")["o"]["_seq"].alias("_at"), pick("from").alias("_from"),
+                                pick("to").alias("_to"), classes.alias("type_individu"))
+                        .select("_at", days.alias("duree_vie_jour"), km.alias("duree_vie_km"), "type_individu"),
+                        "history-facts")
+    if has_at_most(found, HISTORY_BROADCAST_ROWS):
+        found = F.broadcast(found)
+    out = r.filter(F.col(ID).isNotNull()).join(found, F.col("_seq") == F.col("_at"), "left")
     if as_struct:
-        dur = F.when(here, F.struct(days.alias("duree_vie_jour"), km.alias("duree_vie_km")))
-        return out.select(*rows.columns, dur.alias("duree_de_vie"), cls)
-    return out.select(*rows.columns, jour, dkm, cls)
+        dur = F.when(F.col("_at").isNotNull(), F.struct("duree_vie_jour", "duree_vie_km"))
+        return out.select(*rows.columns, dur.alias("duree_de_vie"), "type_individu")
+    return out.select(*rows.columns, "duree_vie_jour", "duree_vie_km", "type_individu")

@@ -117,3 +117,23 @@ def test_fields_that_both_match_give_a_pair_once(spark):
     assert sorted((r.a, r.b, r.n_left) for r in out.collect()) == [("same name", "same nome", 2)]
     # no row of a pair is kept to compare it with the others
     assert "deduplicate" not in out._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_facts_of_a_history_do_not_repeat_its_rows(spark, monkeypatch):
+    monkeypatch.setattr(mt, "HISTORY_BROADCAST_ROWS", 0)
+    d = dt.datetime(2020, 1, 1)
+    hist = spark.createDataFrame(
+        [("E", s, d + dt.timedelta(days=i), d + dt.timedelta(days=i + 1), i, str(i)) for i, s in
+         enumerate(["RC", "C", "RC"])] + [(None, "RC", d, d, 0, "9")],
+        "id_materiel string, etat_organe string, date_debut_intervention timestamp_ntz, "
+        "date_fin_intervention timestamp_ntz, releve_km int, numero_intervention string")
+    order = ("date_debut_intervention", "numero_intervention", "etat_organe", "releve_km")
+    stored = []
+    real = mt.materialize
+    monkeypatch.setattr(mt, "materialize", lambda df, label="stage", **k: stored.append((label, df.columns)) or real(df, label, **k))
+    out = mt.lifetime(hist, order, as_struct=False)
+    assert sorted((r.id_materiel, r.releve_km, r.duree_vie_jour, r.type_individu) for r in out.collect()) == [
+        ("E", 0, 1, "defaillant"), ("E", 1, None, None), ("E", 2, None, None)]
+    # a row is stored once, and the result is found by its number, without the 16 salts of an id
+    assert dict(stored)["history"] == [*hist.columns, "_seq"]
+    assert "_salt" not in out._jdf.queryExecution().optimizedPlan().toString()
