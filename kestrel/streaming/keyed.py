@@ -55,18 +55,28 @@ def _key(us, speed, lat, lng) -> tuple:
     return (us, speed is not None, speed or 0.0, lat, lng)
 
 
+def _place(us, speed, lat, lng, fix) -> tuple:
+    """Place of a fix among a vehicle's rows: by ``ORDER`` and hash, unknown values first."""
+    return (us, speed is not None, speed or 0.0, lat == lat, lat if lat == lat else 0.0, lng == lng,
+            lng if lng == lng else 0.0, fix)
+
+
 def _cells(column: pd.Series) -> list:
-    return [None if pd.isna(v) else v for v in column]
+    return [None if v is None or v != v else v for v in column.tolist()]
 
 
 def step(rows: pd.DataFrame, last: tuple | None, seen_us: np.ndarray, seen_hash: np.ndarray, horizon_us: int,
          drop_repeats: bool, speed_factor: float) -> tuple[pd.DataFrame, tuple, np.ndarray, np.ndarray]:
     """One vehicle's rows of a micro-batch: the rows with outcome and acceleration, and the state after them."""
-    rows = rows.sort_values([*ORDER, "fix_hash"], na_position="first", kind="stable")
+    # plain lists and one build at the end: a vehicle has few rows, and each pandas call costs more than they do
+    fixes = list(zip(rows["us"].tolist(), _cells(rows["speed"]), rows["lat"].tolist(), rows["lng"].tolist(),
+                     rows["fix_hash"].tolist()))
+    places = sorted(range(len(fixes)), key=lambda i: _place(*fixes[i]))
+    if places != list(range(len(fixes))):
+        rows, fixes = rows.take(places), [fixes[i] for i in places]
     before, known = last, set(seen_hash.tolist())
     outcome, acceleration = [], []
-    for us, speed, lat, lng, fix in zip(rows["us"].tolist(), _cells(rows["speed"]), rows["lat"].tolist(),
-                                        rows["lng"].tolist(), rows["fix_hash"].tolist()):
+    for us, speed, lat, lng, fix in fixes:
         mine, a = _key(us, speed, lat, lng), None
         if drop_repeats and fix in known:
             outcome.append("duplicate")
@@ -107,7 +117,8 @@ def with_outcome(good: DataFrame, horizon_seconds: int = HORIZON_SECONDS, drop_r
             *last, seen_us, seen_hash = state.get
             last = tuple(None if isinstance(v, float) and v != v else v for v in last)
             seen = np.frombuffer(seen_us, np.int64), np.frombuffer(seen_hash, np.int64)
-        out, last, *seen = step(pd.concat(list(frames), ignore_index=True), last, *seen, horizon_seconds * 1_000_000,
+        frames = list(frames)
+        out, last, *seen = step(frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True), last, *seen, horizon_seconds * 1_000_000,
                                 drop_repeats, speed_factor)
         if last is not None:
             state.update((*last, seen[0].tobytes(), seen[1].tobytes()))
