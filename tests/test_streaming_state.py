@@ -142,3 +142,15 @@ def test_open_windows_wait_and_lost_rows_are_an_error(spark):
     with pytest.raises(RuntimeError, match="behind the watermark"):
         _deliver(spark, [rows(0, 30), rows(1)], lambda s: windows.run(
             windows.component_metrics(s, delay="5 minutes"), base + "-late"), sample)
+
+
+def test_a_vehicles_step_sorts_unknown_values_first_without_pandas_sorting(monkeypatch):
+    import numpy as np
+    import pandas as pd
+    monkeypatch.setattr(pd.DataFrame, "sort_values", lambda *a, **k: pytest.fail("a pandas sort per vehicle"))
+    rows = pd.DataFrame({"us": [2_000_000, 1_000_000, 1_000_000], "speed": [20.0, 10.0, None], "lat": [1.0] * 3,
+                         "lng": [2.0] * 3, "fix_hash": [3, 2, 1]})
+    none = np.zeros(0, np.int64)
+    out, last, _, seen = keyed.step(rows, None, none, none, 10**12, True, 1.0)
+    assert out["fix_hash"].tolist() == [1, 2, 3] == seen.tolist() and last == (2_000_000, 20.0, 1.0, 2.0)
+    assert out["outcome"].tolist() == ["enriched"] * 3 and out["acceleration"].tolist()[2] == 10.0
