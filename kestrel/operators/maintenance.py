@@ -47,10 +47,24 @@ def _bucket(ts: Column | str, width_s: int) -> Column:
     return F.floor(F.unix_timestamp(ts) / width_s)
 
 
+# Windows and states of one id are compared in one task up to this many rows of either; an id with
+# more of them goes by time buckets.
+DENSE_ROWS = 1000
+
+
+def _dense_ids(interventions: DataFrame, states: DataFrame, most: int) -> DataFrame | None:
+    """Ids with more than ``most`` rows on either side, None if there are none."""
+    counts = [df.filter(F.col(c).isNotNull()).groupBy(F.col(c).alias(ID)).count().filter(F.col("count") > most)
+              for df, c in ((interventions, ID), (states, "_tid"))]
+    dense = materialize(counts[0].unionByName(counts[1]).select(ID).distinct(), "dense-ids")
+    return None if has_at_most(dense, 0) else dense
+
+
 def assign_state(interventions: DataFrame, traceability: DataFrame, tolerance: float = 0.2,
                  fill: str = TM, bucket_days: int = 30,
                  order: Sequence[str] = (START, "numero_intervention"),
-                 censor_last: bool = False, cover: str = "buckets") -> DataFrame:
+                 censor_last: bool = False, cover: str = "buckets",
+                 dense_rows: int = DENSE_ROWS) -> DataFrame:
     """Attach each traceability row to the interventions whose tolerance window holds it.
 
     window of an intervention = (start - d, next_start - d], d = tolerance x
@@ -61,18 +75,23 @@ def assign_state(interventions: DataFrame, traceability: DataFrame, tolerance: f
     may overlap or leave holes (each uses its own d), so a row can match
     two interventions or none.
 
-    Range join without a per-id nested loop: each window is exploded over
-    the ``bucket_days`` time buckets it covers and inner-joined to the
-    traceability rows on (id, bucket) with the range as a residual, so a
-    busy id is spread over its buckets and AQE may split a hot (id, bucket)
-    on either side. With ``cover="dyadic"`` a window is covered by blocks of
+    Range join without a per-id nested loop over a busy id. An id with at most
+    ``dense_rows`` interventions and as many states is left-joined on the id
+    alone, with the range as a residual: each of its windows is shuffled once,
+    however long it is. The windows of a dense id (found by counting) are
+    exploded over the ``bucket_days`` time buckets they cover and
+    inner-joined to the traceability rows on (id, bucket), so
+    it is spread over its buckets and AQE may split a hot (id, bucket)
+    on either side; so many rows make short windows, that cover few buckets.
+    A window that ends where it begins (several operations
+    at one start) holds nothing and is not joined at all.
+    With ``cover="dyadic"`` every window is covered by blocks of
     days sized by its length (``intervals.points_in_intervals``): rows per window
     are bounded, and a dense month is no bucket, for
-    one look-up of each traceability row per block size. It suits long
-    windows; short ones cost less with buckets. Every intervention row gets an id of its own, stored with
+    one look-up of each traceability row per block size. Every intervention row gets an id of its own, stored with
     its neighbour: it ends the order (several operations may share a number
     and a start, and numbers may be NULL) and tells which rows had a match.
-    The matches (the answer's size) are materialized once, because rows with
+    The matches of buckets and blocks are materialized once, because rows with
     no match come from a left-anti join against them.
     """
     width = bucket_days * 86400
@@ -81,28 +100,46 @@ def assign_state(interventions: DataFrame, traceability: DataFrame, tolerance: f
                    [*order, *rest, "_rid"], [START], _bucket(START, width), prefix="next_")
     nxt = F.col("next_" + START)
     delta = (nxt - F.col(START)) * F.lit(tolerance)
-    win = (iv.filter(nxt.isNotNull())
-           .withColumns({"_lo": F.col(START) - delta, "_hi": nxt - delta}))
+    bounds = iv.withColumns({"_lo": F.col(START) - delta, "_hi": nxt - delta})
+    # NULL bounds count as no window; one condition, so that both sides of the split read the same exchange
+    holds = F.coalesce(F.col(ID).isNotNull() & (F.col("_lo") < F.col("_hi")), F.lit(False))
+    win = bounds.filter(holds)
     tr = traceability.withColumnRenamed(ID, "_tid")
     trace_cols = [c for c in traceability.columns if c != ID]
     inside = (F.col(DUE) > F.col("_lo")) & (F.col(DUE) <= F.col("_hi"))
+
+    def unmatched(rows):
+        rows = rows.filter(nxt.isNotNull()) if censor_last else rows
+        return rows.select(*interventions.columns, *[F.lit(None).cast(traceability.schema[c].dataType).alias(c)
+                                                     for c in trace_cols])
+
+    def matched_or_not(pairs, rows):
+        matched = materialize(pairs.select("_rid", *interventions.columns, *trace_cols), "interval-matches")
+        without = rows.join(matched.select("_rid").distinct(), "_rid", "left_anti")
+        return matched.drop("_rid").unionByName(unmatched(without))
+
     if cover == "dyadic":
         pairs = points_in_intervals(win, tr, ID, "_tid", _bucket("_lo", 86400), _bucket("_hi", 86400),
                                     _bucket(DUE, 86400), inside)
+        out = matched_or_not(pairs, iv)
     elif cover == "buckets":
-        win = win.withColumn("_b", F.explode(F.sequence(_bucket("_lo", width), _bucket("_hi", width))))
-        tr = tr.withColumn("_tb", _bucket(DUE, width))
-        pairs = win.join(tr, (F.col(ID) == F.col("_tid")) & (F.col("_b") == F.col("_tb")) & inside)
+        tr = materialize(tr.filter(F.col("_tid").isNotNull() & F.col(DUE).isNotNull()), "states")
+        dense = _dense_ids(iv, tr, dense_rows)
+        out = unmatched(bounds.filter(~holds))
+        sparse, sparse_tr = win, tr
+        if dense is not None:
+            dense_tr = dense.withColumnRenamed(ID, "_tid")
+            sparse, sparse_tr = win.join(dense, ID, "left_anti"), tr.join(dense_tr, "_tid", "left_anti")
+            win, tr = win.join(dense, ID, "left_semi"), tr.join(dense_tr, "_tid", "left_semi")
+            pieces = win.withColumn("_b", F.explode(F.sequence(_bucket("_lo", width), _bucket("_hi", width))))
+            pairs = pieces.join(tr.withColumn("_tb", _bucket(DUE, width)),
+                                (F.col(ID) == F.col("_tid")) & (F.col("_b") == F.col("_tb")) & inside)
+            out = out.unionByName(matched_or_not(pairs, win))
+        out = out.unionByName(sparse.join(sparse_tr, (F.col(ID) == F.col("_tid")) & inside, "left")
+                              .select(*interventions.columns, *trace_cols))
     else:
         raise ValueError("cover must be 'buckets' or 'dyadic'")
-    matched = materialize(
-        pairs.select("_rid", *interventions.columns, *trace_cols), "interval-matches")
-    pool = iv.filter(nxt.isNotNull()) if censor_last else iv
-    unmatched = (pool.join(matched.select("_rid").distinct(), "_rid", "left_anti")
-                 .select("_rid", *interventions.columns,
-                         *[F.lit(None).cast(traceability.schema[c].dataType).alias(c)
-                           for c in trace_cols]))
-    return matched.unionByName(unmatched).drop("_rid").fillna({STATE: fill})
+    return out.fillna({STATE: fill})
 
 
 # Joining history rows to one-row-per-id facts: broadcast the facts up to this

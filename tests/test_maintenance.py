@@ -1,6 +1,8 @@
 import datetime as dt
+import random
 
 from kestrel.operators import maintenance as mt
+from kestrel.session import materialize
 
 IV = ("numero_intervention string, code_operation string, id_materiel string, "
       "date_debut_intervention timestamp_ntz, date_fin_intervention timestamp_ntz, releve_km int")
@@ -129,3 +131,57 @@ def test_history_job_from_files(spark, tmp_path):
               for r in rows("lifetime") if r.type_individu]
     assert marked == [("1", "defaillant", "9", "100")]
     assert {(r.first_element, r.element_trouve) for r in rows("next_state")} == {("RC", "NC")}
+
+
+def test_sparse_and_dense_ids_give_the_same_rows(spark):
+    rnd = random.Random(12)
+    # id A is dense above three rows, B is not; several operations at one start, NULL ids, dates and numbers, twins
+    rows = [(str(i // 2) if i % 7 else None, f"op{i % 2}", "A", D(1) + dt.timedelta(days=40 * (i // 2)),
+             D(2) + dt.timedelta(days=40 * (i // 2)), i) for i in range(16)]
+    rows += [("90", "op", "B", D(1), D(2), 1), ("91", "op", "B", D(1, 6), D(2, 6), 2), ("92", "op", "C", D(1), D(2), 3)]
+    rows += [("93", "op", None, D(1), D(2), 4), ("94", "op", None, D(9), D(9), 5), ("95", "op", "B", None, D(2), 6)]
+    rows += [rows[3], rows[16]]
+    states = [("A", rnd.choice(["RC", "NC", "C", None]), D(1) + dt.timedelta(days=rnd.randint(-30, 400)))
+              for _ in range(40)]
+    states += [("B", "C", D(3, 3)), ("B", "C", D(3, 3)), ("B", "RC", None), (None, "RC", D(5)), ("C", "NC", D(5)),
+               ("D", "NC", D(5))]
+    iv, tr = spark.createDataFrame(rows, IV), spark.createDataFrame(states, TR)
+
+    def key(r):
+        return tuple((x is not None, str(x)) for x in r)
+
+    for censor_last in (False, True):
+        want = []
+        for ident in ("A", "B", "C", None):
+            # NULLs come first in the order
+            mine = sorted((r for r in rows if r[2] == ident), key=lambda r: key((r[3], r[0], r[1])) + (r[4], r[5]))
+            for a, b in zip(mine, mine[1:] + [None]):
+                nxt = b and b[3]
+                # a row without a date is in no bucket and has no neighbour
+                known = a[3] is not None and nxt is not None
+                delta = (nxt - a[3]) * 0.2 if known else None
+                hits = [s for s in states if known and ident is not None and s[0] == ident and s[2] is not None
+                        and a[3] - delta < s[2] <= nxt - delta]
+                if hits or nxt is not None and a[3] is not None or not censor_last:
+                    want += [(*a, s[1] or "TM", s[2]) for s in hits] or [(*a, "TM", None)]
+        for options in ({}, {"dense_rows": 3}, {"dense_rows": 0}, {"cover": "dyadic"}):
+            got = [(r.numero_intervention, r.code_operation, r.id_materiel, r.date_debut_intervention,
+                    r.date_fin_intervention, r.releve_km, r.etat_organe, r.date_echeance)
+                   for r in mt.assign_state(iv, tr, censor_last=censor_last, **options).collect()]
+            assert sorted(got, key=key) == sorted(want, key=key), (censor_last, options)
+
+
+def test_long_windows_of_a_sparse_id_are_shuffled_once(spark, monkeypatch):
+    plans = []
+
+    def noted(df, *args, **kwargs):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return materialize(df, *args, **kwargs)
+
+    monkeypatch.setattr(mt, "materialize", noted)
+    iv = _iv(spark, [D(1, 1, 1950), D(1, 1, 2021), D(1, 1, 2021)])
+    tr = spark.createDataFrame([("X", "C", D(3, 6, 1990))], TR)
+    out = mt.assign_state(iv, tr)
+    plans.append(out._jdf.queryExecution().optimizedPlan().toString())
+    assert not [p for p in plans if "explode" in p]
+    assert sorted((r.numero_intervention, r.etat_organe) for r in out.collect()) == [("1", "C"), ("2", "TM"), ("3", "TM")]
