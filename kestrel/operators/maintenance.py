@@ -143,25 +143,42 @@ def assign_state(interventions: DataFrame, traceability: DataFrame, tolerance: f
 
 
 # Joining history rows to one-row-per-id facts: broadcast the facts up to this
-# many ids; above it, a join salted over HISTORY_SALTS spreads a hot id's rows.
+# many ids; above it the join shuffles, and an id with more than
+# HISTORY_HOT_ROWS rows is spread over tasks of so many.
 HISTORY_BROADCAST_ROWS = 200_000
-HISTORY_SALTS = 16
+HISTORY_HOT_ROWS = 1_000_000
 
 
-def _join_per_id(r: DataFrame, per_id: DataFrame, try_broadcast: bool = True) -> DataFrame:
-    """``r`` (many rows per id, with ``_seq``) joined to ``per_id`` (one row per id).
+def _small_or_merged(df: DataFrame) -> DataFrame:
+    """A stored side of a join: broadcast up to ``HISTORY_BROADCAST_ROWS`` rows, above it never.
+
+    Unhinted, the planner goes by the size of the files, and a few megabytes of
+    well packed rows are hundreds in the driver.
+    """
+    return F.broadcast(df) if has_at_most(df, HISTORY_BROADCAST_ROWS) else df.hint("merge")
+
+
+def _join_per_id(r: DataFrame, per_id: DataFrame) -> DataFrame:
+    """``r`` (many rows per id, with ``_seq``) joined to the stored ``per_id`` (one row per id, ``_rows`` of it in ``r``).
 
     A plain shuffle join would put all rows of a hot id in one task, and AQE
-    does not split it when an aggregate by id follows. With ``try_broadcast``
-    (for a stored ``per_id``, cheap to count) the facts are broadcast below
-    the bound, with no shuffle of ``r``. Otherwise each row gets a salt from
-    its fixed sequence id and the facts are repeated once per salt.
+    does not split it when an aggregate by id follows. Few facts are broadcast,
+    with no shuffle of ``r``. Otherwise the rows of a hot id get a salt from
+    their fixed sequence id and its facts are repeated once per salt; the other
+    ids have one row of facts each. At most ``HISTORY_BROADCAST_ROWS`` ids can have more
+    than that part of all rows, so the list of the hot ones can be broadcast.
     """
-    if try_broadcast and has_at_most(per_id, HISTORY_BROADCAST_ROWS):
-        return r.join(F.broadcast(per_id), ID)
-    salt = F.pmod(F.xxhash64("_seq"), F.lit(HISTORY_SALTS))
-    spread = per_id.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(HISTORY_SALTS - 1))))
-    return r.withColumn("_salt", salt).join(spread, [ID, "_salt"]).drop("_salt")
+    if has_at_most(per_id, HISTORY_BROADCAST_ROWS):
+        return r.join(F.broadcast(per_id.drop("_rows")), ID)
+    hot_rows = max(HISTORY_HOT_ROWS, r.count() // max(HISTORY_BROADCAST_ROWS, 1))
+    salts = F.ceil(F.col("_rows") / hot_rows).cast("int")
+    hot = per_id.filter(F.col("_rows") > hot_rows).select(ID, salts.alias("_salts"))
+    if has_at_most(hot, 0):
+        return r.join(per_id.drop("_rows").hint("merge"), ID)
+    salt = F.pmod(F.xxhash64("_seq"), F.coalesce("_salts", F.lit(1))).cast("int")
+    spread = per_id.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_rows")
+    return (r.join(F.broadcast(hot), ID, "left").withColumn("_salt", salt).drop("_salts")
+            .join(spread.hint("merge"), [ID, "_salt"]).drop("_salt"))
 
 
 def _history_facts(rows: DataFrame, order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -169,7 +186,7 @@ def _history_facts(rows: DataFrame, order: Sequence[str]) -> tuple[DataFrame, Da
 
     Two partially-aggregated passes instead of a window over the whole id:
     (1) the first row in a total order, (2) among rows after it: first RC/NC/TM (``next``),
-    first and last C, any RC. Returns (facts per id, per-row order struct).
+    first and last C, any RC. Returns (facts per id, with its number of ``_rows``, and the stored rows).
     """
     # The last field breaks exact ties: an identical twin of the first row
     # still counts as a later row, as in a row-by-row window. The ids are
@@ -177,10 +194,11 @@ def _history_facts(rows: DataFrame, order: Sequence[str]) -> tuple[DataFrame, Da
     r = materialize(rows.withColumn("_seq", F.monotonically_increasing_id()), "history")
     o = F.struct(*order, "_seq")
     row = F.struct(o.alias("o"), *[c for c in (STATE, START, END, KM) if c not in order])
-    first = r.groupBy(ID).agg(F.min(row).alias("f"))
-    # of the first row its number is enough to leave it out: only that goes to every salt
-    after = (_join_per_id(r, first.select(ID, F.col("f.o._seq").alias("_first")), try_broadcast=False)
-             .filter(F.col("_seq") != F.col("_first"))
+    known = r.filter(F.col(ID).isNotNull())
+    first = materialize(known.groupBy(ID).agg(F.min(row).alias("f"), F.count(F.lit(1)).alias("_rows")), "history-first")
+    # the first row is left out by its number: no id is hot there, and nothing is repeated
+    after = (known.join(_small_or_merged(first.select(F.col("f.o._seq").alias("_first"))),
+                        F.col("_seq") == F.col("_first"), "left_anti")
              .groupBy(ID).agg(
                  F.min(F.when(F.col(STATE).isin(RC, NC, TM), row)).alias("n"),
                  F.min(F.when(F.col(STATE) == C, row)).alias("c1"),
@@ -202,7 +220,7 @@ def next_state(rows: DataFrame, order: Sequence[str] = (START, "numero_intervent
     facts, r = _history_facts(rows, order)
     facts = materialize(facts.select(ID, F.col(f"f.{STATE}").alias("first_element"),
                                      F.col(f"n.{STATE}").alias("element_trouve"),
-                                     F.col("next_rc").cast("int").alias("next_rc")), "history-facts")
+                                     F.col("next_rc").cast("int").alias("next_rc"), "_rows"), "history-facts")
     return _join_per_id(r, facts).select(*rows.columns, "first_element", "element_trouve", "next_rc")
 
 
@@ -244,9 +262,7 @@ def lifetime(rows: DataFrame, order: Sequence[str] = (START, "numero_interventio
                                 pick("to").alias("_to"), classes.alias("type_individu"))
                         .select("_at", days.alias("duree_vie_jour"), km.alias("duree_vie_km"), "type_individu"),
                         "history-facts")
-    if has_at_most(found, HISTORY_BROADCAST_ROWS):
-        found = F.broadcast(found)
-    out = r.filter(F.col(ID).isNotNull()).join(found, F.col("_seq") == F.col("_at"), "left")
+    out = r.filter(F.col(ID).isNotNull()).join(_small_or_merged(found), F.col("_seq") == F.col("_at"), "left")
     if as_struct:
         dur = F.when(F.col("_at").isNotNull(), F.struct("duree_vie_jour", "duree_vie_km"))
         return out.select(*rows.columns, dur.alias("duree_de_vie"), "type_individu")

@@ -137,3 +137,70 @@ def test_facts_of_a_history_do_not_repeat_its_rows(spark, monkeypatch):
     # a row is stored once, and the result is found by its number, without the 16 salts of an id
     assert dict(stored)["history"] == [*hist.columns, "_seq"]
     assert "_salt" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def _one_hot_history(spark):
+    """1200 rows of one id, ten of each of 30 others, two of none."""
+    rnd = random.Random(8)
+    ids = ["HOT"] * 1200 + [f"E{i % 30}" for i in range(300)] + [None] * 2
+    days = [dt.datetime(2020, 1, 1) + dt.timedelta(days=rnd.randint(0, 60)) for _ in ids]
+    return spark.createDataFrame(
+        [(i, rnd.choice(["RC", "NC", "C", "TM", None]), d, d + dt.timedelta(days=1), rnd.randint(0, 9000), str(rnd.randint(1, 5)))
+         for i, d in zip(ids, days)],
+        "id_materiel string, etat_organe string, date_debut_intervention timestamp_ntz, "
+        "date_fin_intervention timestamp_ntz, releve_km int, numero_intervention string")
+
+
+def test_facts_of_many_ids_are_neither_broadcast_nor_repeated(spark, monkeypatch):
+    # their files are small, so the planner alone would broadcast them, 16 rows per id before
+    hist = _one_hot_history(spark)
+    order = ("date_debut_intervention", "numero_intervention", "etat_organe", "releve_km")
+    want = sorted(map(tuple, mt.next_state(hist, order).collect()), key=repr)
+    monkeypatch.setattr(mt, "HISTORY_BROADCAST_ROWS", 20)
+    plans = []
+    real = mt.materialize
+
+    def noted(df, label="stage", **k):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, label, **k)
+
+    monkeypatch.setattr(mt, "materialize", noted)
+    out = mt.next_state(hist, order)
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert sorted(map(tuple, out.collect()), key=repr) == want
+    assert len(want) == 1500
+    assert not any("_salt" in p for p in plans)
+    # of the two joins with one row per id neither is a broadcast; the others read both sides' aggregates
+    assert "SortMergeJoin" in plans[-1] and "Broadcast" not in plans[-1]
+    assert any("LeftAnti" in p and "BroadcastHashJoin [_seq" not in p for p in plans)
+
+
+def test_only_a_hot_id_is_salted(spark, monkeypatch):
+    hist = _one_hot_history(spark)
+    order = ("date_debut_intervention", "numero_intervention", "etat_organe", "releve_km")
+    want = sorted(map(tuple, mt.next_state(hist, order).collect()), key=repr)
+    monkeypatch.setattr(mt, "HISTORY_BROADCAST_ROWS", 20)
+    monkeypatch.setattr(mt, "HISTORY_HOT_ROWS", 100)
+    spread = []
+    real = mt._join_per_id
+
+    def noted(r, per_id):
+        out = real(r, per_id)
+        spread.append(out)
+        return out
+
+    monkeypatch.setattr(mt, "_join_per_id", noted)
+    assert sorted(map(tuple, mt.next_state(hist, order).collect()), key=repr) == want
+    plan = spread[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan and "explode" in plan
+    # twelve salts of the hot id fall on several of the eight tasks
+    monkeypatch.setattr(mt, "_join_per_id", real)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        tasks = [r.n for r in spread[0].filter("id_materiel = 'HOT'").groupBy(F.spark_partition_id()).agg(
+            F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.set(key, before)
+    assert sum(tasks) == 1200 and len(tasks) > 3 and max(tasks) < 600
