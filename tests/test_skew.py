@@ -204,3 +204,23 @@ def test_only_a_hot_id_is_salted(spark, monkeypatch):
     finally:
         spark.conf.set(key, before)
     assert sum(tasks) == 1200 and len(tasks) > 3 and max(tasks) < 600
+
+
+def test_lists_meet_by_blocks(spark, monkeypatch):
+    # all that one row gives is kept until it is complete: it must be two blocks, not two lists
+    monkeypatch.setattr(mm, "LIST_ROWS", 16)
+    monkeypatch.setattr(mm, "BLOCK_ROWS", 4)
+    lrows = [("B", "same name", i if i % 5 else None) for i in range(37)] + [("B", "other", 1), (None, "same name", 2)]
+    rrows = [("B", "same nome", i if i % 7 else None, f"x{i}") for i in range(21)] + [("B", None, 1, "y")]
+    left = spark.createDataFrame(lrows, "blk string, a_name string, a_key int")
+    right = spark.createDataFrame(rrows, "blk string, b_name string, b_key int, b_text string")
+    out = mm.fuzzy_match(left, right, ["blk"], "a_name", "b_name", 0.7)
+    got = sorted(((r.a_name, r.a_key, r.b_name, r.b_key, r.b_text) for r in out.collect()), key=repr)
+    assert got == sorted(((a[1], a[2], *b[1:]) for a in lrows for b in rrows
+                          if a[0] == b[0] and a[1] == "same name" and b[1] is not None), key=repr)
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    cuts = [line for line in plan.splitlines() if "Generate explode(transform(sequence(" in line]
+    assert len(cuts) == 2 and not any("*(" in line for line in cuts)  # outside the compiled loops
+    # rows without other columns
+    alone = mm.fuzzy_match(left.drop("a_key"), right.select("blk", "b_name"), ["blk"], "a_name", "b_name", 0.7)
+    assert alone.columns == ["blk", "b_name", "a_name", "score"] and alone.count() == 37 * 21
